@@ -79,17 +79,19 @@ def clean_review(c: str | Column) -> Column:
 
 
 def tokens(c: str | Column, sep: str = " ") -> Column:
-    """Tokenise on a single literal delimiter; empty tokens are dropped."""
-    return F.filter(F.split(col_of(c), _regex_literal(sep)),
-                    lambda x: (x != "") & (x != " "))
+    """Tokenise on a single literal delimiter; empty and blank (" ") tokens are
+    dropped.  ``array_remove`` keeps this inside whole-stage codegen."""
+    parts = F.array_remove(F.split(col_of(c), _regex_literal(sep)), "")
+    return parts if sep == " " else F.array_remove(parts, " ")
 
 
 def without_words(arr: Column, words: Sequence[str]) -> Column:
-    """Array minus the given words, evaluated inside the row (no shuffle)."""
+    """Array minus the given words, order and duplicates kept, evaluated inside
+    the row (no shuffle); the word list becomes a hash set (``InSet``)."""
     if not words:
         return arr
-    lit_words = F.array(*[F.lit(w) for w in sorted(set(words))])
-    return F.filter(arr, lambda x: ~F.array_contains(lit_words, x))
+    listed = sorted(set(words))
+    return F.filter(arr, lambda x: ~x.isin(listed))
 
 
 def _regex_literal(sep: str) -> str:

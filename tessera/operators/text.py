@@ -2,19 +2,22 @@
 count words and rows, top-k words per group.
 
 Table shape used throughout (all strings): ``id, review, aspect, category,
-sentiment``.  The pipeline stays row-local until the first aggregation:
-
-* cleaning, tokenising and stopword removal are expressions evaluated inside
-  each row (``regexp_replace``/``split``/``filter``); for the token-per-row
-  form (:func:`tokenize_reviews` + :func:`remove_stopwords`) the word list is
-  joined with a broadcast left-anti join whose size is bounded by the list;
-* merging two rows with one (id, aspect, category, sentiment) key does not
-  change the multiset of words, so word counts are taken straight from the
-  per-row token arrays, and row counts from the distinct keys - the cleaned
-  text itself is shuffled only by :func:`rebuild_clean_text`, whose output is
-  that text;
-* word counts are partial+final hash aggregates (a hot word is combined
-  map-side) and the per-group top-k carries a partial ``WindowGroupLimit``.
+sentiment`` (extra columns are carried along).  Design:
+
+* Cleaning and tokenising are row-local, code-generated expressions
+  (``regexp_replace``, ``btrim``, ``lower``, ``split``, ``array_remove``).
+* Removing stopwords commutes with grouping by word, so the word-count jobs
+  aggregate every token (partial + final hash aggregate: a hot word is
+  combined map-side) and drop the stopwords from the *aggregated* words - a
+  filter on distinct words instead of a check on every token.
+* Whether a review keeps any word is ``size(array_except(tokens, stop)) > 0``
+  (code-generated); row counts then shuffle only the key columns.
+* The per-token form (:func:`tokenize_reviews` + :func:`remove_stopwords`) uses
+  a left-anti join whose stopword side is broadcast only when its size is
+  bounded (a word list).
+* Stopwords are either a literal word list (``Sequence[str]``) or a DataFrame
+  with a ``stopword`` column (read from a file); the latter goes through
+  joins instead of literal expressions, so nothing is collected.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from tessera.operators.topk import top_k, top_k_per_group
 
 KEYS = ("id", "aspect", "category", "sentiment")
 WORDS = "words"
+Stopwords = Sequence[str] | DataFrame
 
 
 def clean_reviews(df: DataFrame, header_id: str | None = "id") -> DataFrame:
@@ -43,61 +47,100 @@ def clean_reviews(df: DataFrame, header_id: str | None = "id") -> DataFrame:
 def tokenize_reviews(cleaned: DataFrame, sep: str = " ") -> DataFrame:
     """One row per non-empty token, with its 0-based position in the review."""
     others = [c for c in cleaned.columns if c != "review"]
-    return cleaned.select(*others, F.posexplode(tokens("review", sep)).alias("pos", "word"))
+    out = cleaned.select(*others, F.posexplode_outer(tokens("review", sep)).alias("pos", "word"))
+    return out.filter(F.col("word").isNotNull())
 
 
-def remove_stopwords(token_rows: DataFrame, stopwords: DataFrame,
-                     word_col: str = "word", stop_col: str = "stopword",
+def _stop_side(stopwords: DataFrame, bounded: bool) -> DataFrame:
+    stop = stopwords.select(F.col("stopword").alias("__stop")).filter(F.col("__stop").isNotNull())
+    return bounded_broadcast(stop) if bounded else stop
+
+
+def remove_stopwords(token_rows: DataFrame, stopwords: Stopwords, word_col: str = "word",
                      bounded: bool = True) -> DataFrame:
-    """Tokens whose word is not a stopword (JN-7) as a left-anti join.
+    """Rows whose word is not a stopword (JN-7), as a left-anti join.
 
     ``bounded=True`` asserts the list has a fixed size (a word list file), so
-    it is broadcast; otherwise the planner decides from its size.
-    A NULL stopword never removes anything (unlike ``NOT IN``).
+    it is broadcast; otherwise the planner decides from its size.  A NULL
+    stopword never removes anything (unlike ``NOT IN``).  A literal list is
+    applied as an ``IN``-set filter.
     """
-    stop = stopwords.select(F.col(stop_col).alias("__stop")).filter(F.col("__stop").isNotNull())
-    if bounded:
-        stop = bounded_broadcast(stop)
+    if not isinstance(stopwords, DataFrame):
+        words = sorted(set(stopwords))
+        return token_rows.filter(~F.col(word_col).isin(words)) if words else token_rows
+    stop = _stop_side(stopwords, bounded)
     return token_rows.join(stop, token_rows[word_col] == stop["__stop"], "left_anti")
 
 
-def review_words(cleaned: DataFrame, stopwords: Sequence[str], sep: str = " ") -> DataFrame:
-    """Per review row: the array of its non-stopword tokens, in text order.
-
-    Row-local equivalent of tokenise + anti join + regroup for a literal word
-    list; nothing is shuffled.
-    """
-    return cleaned.withColumn(WORDS, without_words(tokens("review", sep), stopwords)).drop("review")
+def review_tokens(cleaned: DataFrame, sep: str = " ") -> DataFrame:
+    """Per review row: the array of all its tokens, in text order (row-local)."""
+    return cleaned.withColumn(WORDS, tokens("review", sep)).drop("review")
 
 
-def rebuild_clean_text(word_rows: DataFrame) -> DataFrame:
-    """The cleaned table: words joined by ``,`` per (id, aspect, category,
-    sentiment); a review whose words were all stopwords disappears.
+def tokens_of_cleaned_table(cleaned_table: DataFrame) -> DataFrame:
+    """A stored cleaned table (``review`` = ``a,b,c``) back to token arrays."""
+    return cleaned_table.withColumn(WORDS, tokens("review", ",")).drop("review")
 
-    Rows sharing a key are merged in a deterministic order (by their text).
-    """
-    per_row = word_rows.filter(F.size(WORDS) > 0).select(
-        *KEYS, F.array_join(WORDS, ",").alias("__text"))
-    merged = per_row.groupBy(*KEYS).agg(F.sort_array(F.collect_list("__text")).alias("__parts"))
-    return merged.select("id", F.array_join("__parts", ",").alias("review"),
-                         "aspect", "category", "sentiment")
 
+def _has_word(stopwords: Sequence[str]) -> Column:
+    words = sorted(set(stopwords))
+    if not words:
+        return F.size(WORDS) > 0
+    return F.size(F.array_except(F.col(WORDS), F.array(*[F.lit(w) for w in words]))) > 0
 
-def words_of_cleaned_table(cleaned_table: DataFrame) -> DataFrame:
-    """A stored cleaned table (``review`` = ``a,b,c``) back to word arrays."""
-    words = F.filter(F.split("review", ","), lambda x: (x != "") & (x != " "))
-    return cleaned_table.withColumn(WORDS, words).drop("review")
 
+def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
+                       bounded: bool = True) -> DataFrame:
+    """The cleaned table: non-stopword words joined by ``,`` per (id, aspect,
+    category, sentiment); a review whose words were all stopwords disappears.
+    Rows sharing a key are merged in a deterministic order (by their text).
 
-def cleaned_keys(word_rows: DataFrame) -> DataFrame:
+    The grouping shuffles the cleaned text once - it is the output.
+    """
+    if isinstance(stopwords, DataFrame):
+        toks = token_rows.select(*KEYS, F.monotonically_increasing_id().alias("__row"),
+                                 F.posexplode_outer(WORDS).alias("__pos", "word"))
+        kept = remove_stopwords(toks.filter(F.col("word").isNotNull()), stopwords,
+                                bounded=bounded)
+        per_row = kept.groupBy(*KEYS, "__row").agg(
+            F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__w"))
+        per_row = per_row.select(*KEYS, F.array_join(F.col("__w.word"), ",").alias("__text"))
+    else:
+        words = without_words(F.col(WORDS), stopwords)
+        per_row = token_rows.select(*KEYS, F.array_join(words, ",").alias("__text"))
+    # Empty texts are dropped inside the aggregate (collect_list skips NULL)
+    # and empty groups after it, so no filter on the text is pushed down.
+    text = F.when(F.col("__text") != "", F.col("__text"))
+    merged = per_row.groupBy(*KEYS).agg(F.sort_array(F.collect_list(text)).alias("__parts"))
+    return merged.filter(F.size("__parts") > 0).select(
+        "id", F.array_join("__parts", ",").alias("review"), "aspect", "category", "sentiment")
+
+
+def cleaned_keys(token_rows: DataFrame, stopwords: Stopwords, bounded: bool = True) -> DataFrame:
     """The rows of the cleaned table without their text: distinct keys of the
-    reviews that kept at least one word.  Only key columns are shuffled.
+    reviews that keep at least one non-stopword word.  Only key columns are
+    shuffled.
 
     Without a ``sentiment`` column the keys are (id, aspect, category); when
     sentiment is a lookup on id this gives the same rows, and the lookup can
-    then be joined to the keys instead of the text."""
-    keys = [c for c in KEYS if c in word_rows.columns]
-    return word_rows.filter(F.size(WORDS) > 0).select(*keys).distinct()
+    then be joined to the keys instead of to the text."""
+    keys = [c for c in KEYS if c in token_rows.columns]
+    if isinstance(stopwords, DataFrame):
+        toks = _explode_words(token_rows, *keys)
+        return remove_stopwords(toks, stopwords, bounded=bounded).select(*keys).distinct()
+    # The test is aggregated (max) and filtered after the aggregate, so it is
+    # computed once, next to the tokenising, and never pushed below it.
+    flagged = token_rows.select(*keys, _has_word(stopwords).alias("__has"))
+    return (flagged.groupBy(*keys).agg(F.max("__has").alias("__has"))
+            .filter(F.col("__has")).drop("__has"))
+
+
+def _explode_words(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per token.  ``explode_outer`` + a filter on the generated word:
+    a plain ``explode`` makes Catalyst infer ``size(words) > 0`` and push that
+    - i.e. the whole cleaning expression - below the preceding exchange."""
+    out = rows.select(*keep, F.explode_outer(WORDS).alias("word"))
+    return out.filter(F.col("word").isNotNull())
 
 
 def _not_null(*cols: str) -> Column:
@@ -107,16 +150,17 @@ def _not_null(*cols: str) -> Column:
     return cond
 
 
-def word_count(word_rows: DataFrame) -> DataFrame:
-    """Frequency of every word over reviews with text, category and aspect."""
-    rows = word_rows.filter(_not_null(WORDS, "category", "aspect"))
-    return (rows.select(F.explode(WORDS).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
+def word_count(token_rows: DataFrame, stopwords: Stopwords, bounded: bool = True) -> DataFrame:
+    """Frequency of every non-stopword word over reviews with text, category
+    and aspect.  Stopwords are removed from the aggregated words."""
+    rows = token_rows.filter(_not_null("category", "aspect"))
+    counts = _explode_words(rows).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    return remove_stopwords(counts, stopwords, bounded=bounded)
 
 
-def top_words(word_rows: DataFrame, k: int = 5) -> DataFrame:
+def top_words(token_rows: DataFrame, stopwords: Stopwords, k: int = 5) -> DataFrame:
     """Global top-k words by frequency (ties: word ascending)."""
-    return top_k(word_count(word_rows), [F.col("freq").desc(), F.col("word").asc()], k)
+    return top_k(word_count(token_rows, stopwords), [F.col("freq").desc(), F.col("word").asc()], k)
 
 
 def count_rows_by(keys_df: DataFrame, group: str) -> DataFrame:
@@ -137,18 +181,21 @@ def top_aspect(keys_df: DataFrame, sentiment: str) -> DataFrame:
     return top_k(counts, [F.col("total").desc(), F.col("aspect").asc()], 1)
 
 
-def category_word_counts(word_rows: DataFrame, sentiment: str | None = None) -> DataFrame:
-    """(category, word, freq); optionally only reviews of one sentiment."""
-    need = [WORDS, "category"] + (["sentiment"] if sentiment is not None else [])
-    rows = word_rows.filter(_not_null(*need))
+def category_word_counts(token_rows: DataFrame, stopwords: Stopwords,
+                         sentiment: str | None = None, bounded: bool = True) -> DataFrame:
+    """(category, word, freq) without stopwords; optionally only reviews of
+    one sentiment."""
+    need = ["category"] + (["sentiment"] if sentiment is not None else [])
+    rows = token_rows.filter(_not_null(*need))
     if sentiment is not None:
         rows = rows.filter(F.col("sentiment") == F.lit(sentiment))
-    return (rows.select("category", F.explode(WORDS).alias("word"))
-            .groupBy("category", "word").agg(F.count(F.lit(1)).alias("freq")))
+    counts = (_explode_words(rows, "category")
+              .groupBy("category", "word").agg(F.count(F.lit(1)).alias("freq")))
+    return remove_stopwords(counts, stopwords, bounded=bounded)
 
 
-def top_words_by_category(word_rows: DataFrame, k: int = 5,
+def top_words_by_category(token_rows: DataFrame, stopwords: Stopwords, k: int = 5,
                           sentiment: str | None = None) -> DataFrame:
     """Top-k words per category by frequency (ties: word ascending)."""
-    counts = category_word_counts(word_rows, sentiment)
+    counts = category_word_counts(token_rows, stopwords, sentiment)
     return top_k_per_group(counts, ["category"], [F.col("freq").desc(), F.col("word").asc()], k)

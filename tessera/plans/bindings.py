@@ -29,7 +29,7 @@ from tessera.operators.dims import lookup
 from tessera.operators.profile import entity_counts, schema_profile
 from tessera.plans import commerce as C
 from tessera.plans import ratings as R
-from tessera.sources.tables import load
+from tessera.sources.tables import load, spread
 
 # ---------------------------------------------------------------- parameters
 MIN_SUPPORT = 25                       # per-item score counts run 14-49 at sf0.01
@@ -143,9 +143,10 @@ def q_avg_score_by_epoch_year(spark, d):
 
 # ------------------------------------------------------------- review inputs
 def review_base(spark: SparkSession, d: str) -> DataFrame:
-    docs = load(spark, d, "documents")
-    return docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("review"),
-                       F.col("source").alias("aspect"), F.col("lang").alias("category"))
+    docs = load(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("review"),
+        F.col("source").alias("aspect"), F.col("lang").alias("category"))
+    return spread(docs, "id")
 
 
 def sentiments(spark: SparkSession, d: str) -> DataFrame:
@@ -160,8 +161,8 @@ def with_sentiment(df: DataFrame, spark: SparkSession, d: str) -> DataFrame:
 
 
 def word_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Per review: non-stopword tokens in text order (row-local)."""
-    return T.review_words(T.clean_reviews(review_base(spark, d)), STOPWORDS)
+    """Per review: its tokens in text order (row-local)."""
+    return T.review_tokens(T.clean_reviews(review_base(spark, d)))
 
 
 def stopword_table(spark: SparkSession) -> DataFrame:
@@ -178,31 +179,31 @@ def q_tokenize_reviews(spark, d):
 
 
 def q_remove_stopwords(spark, d):
-    return T.remove_stopwords(q_tokenize_reviews(spark, d), stopword_table(spark))
+    return T.remove_stopwords(q_tokenize_reviews(spark, d), stopword_table(spark), bounded=True)
 
 
 def q_rebuild_clean_text(spark, d):
-    return T.rebuild_clean_text(with_sentiment(word_rows(spark, d), spark, d))
+    return T.rebuild_clean_text(with_sentiment(word_rows(spark, d), spark, d), STOPWORDS)
 
 
 def q_word_count(spark, d):
-    return T.word_count(word_rows(spark, d))
+    return T.word_count(word_rows(spark, d), STOPWORDS)
 
 
 def q_top_words(spark, d):
-    return T.top_words(word_rows(spark, d), TOP_WORDS_K)
+    return T.top_words(word_rows(spark, d), STOPWORDS, TOP_WORDS_K)
 
 
 def q_count_by_category(spark, d):
-    return T.count_rows_by(T.cleaned_keys(word_rows(spark, d)), "category")
+    return T.count_rows_by(T.cleaned_keys(word_rows(spark, d), STOPWORDS), "category")
 
 
 def q_count_by_aspect(spark, d):
-    return T.count_rows_by(T.cleaned_keys(word_rows(spark, d)), "aspect")
+    return T.count_rows_by(T.cleaned_keys(word_rows(spark, d), STOPWORDS), "aspect")
 
 
 def _keys_with_sentiment(spark, d):
-    return with_sentiment(T.cleaned_keys(word_rows(spark, d)), spark, d)
+    return with_sentiment(T.cleaned_keys(word_rows(spark, d), STOPWORDS), spark, d)
 
 
 def q_count_by_aspect_sentiment(spark, d):
@@ -218,17 +219,17 @@ def q_top_aspect_positive(spark, d):
 
 
 def q_top_words_by_category_positive(spark, d):
-    return T.top_words_by_category(with_sentiment(word_rows(spark, d), spark, d), TOP_WORDS_K,
-                                   "positive")
+    return T.top_words_by_category(with_sentiment(word_rows(spark, d), spark, d), STOPWORDS,
+                                   TOP_WORDS_K, "positive")
 
 
 def q_top_words_by_category_negative(spark, d):
-    return T.top_words_by_category(with_sentiment(word_rows(spark, d), spark, d), TOP_WORDS_K,
-                                   "negative")
+    return T.top_words_by_category(with_sentiment(word_rows(spark, d), spark, d), STOPWORDS,
+                                   TOP_WORDS_K, "negative")
 
 
 def q_top_words_by_category(spark, d):
-    return T.top_words_by_category(word_rows(spark, d), TOP_WORDS_K)
+    return T.top_words_by_category(word_rows(spark, d), STOPWORDS, TOP_WORDS_K)
 
 
 # ------------------------------------------------------------ commerce jobs
