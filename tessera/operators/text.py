@@ -98,8 +98,9 @@ def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
     The grouping shuffles the cleaned text once - it is the output.
     """
     if isinstance(stopwords, DataFrame):
-        toks = token_rows.select(*KEYS, F.monotonically_increasing_id().alias("__row"),
-                                 F.posexplode_outer(WORDS).alias("__pos", "word"))
+        # the row id is assigned before the explode, once per review row
+        numbered = token_rows.select(*KEYS, WORDS, F.monotonically_increasing_id().alias("__row"))
+        toks = numbered.select(*KEYS, "__row", F.posexplode_outer(WORDS).alias("__pos", "word"))
         kept = remove_stopwords(toks.filter(F.col("word").isNotNull()), stopwords,
                                 bounded=bounded)
         per_row = kept.groupBy(*KEYS, "__row").agg(

@@ -94,7 +94,9 @@ def tag_avg_score(ratings: DataFrame, items: DataFrame, default_tag: str | None
     Duplicate tags of one item count twice.
     """
     stats = score_stats(ratings, "item_id", "score")
-    tags = dedupe_dimension(items.select("item_id", "tags"), "item_id")
+    # the same dimension row per key as the title lookups (smallest title)
+    tags = dedupe_dimension(items.select("item_id", "title", "tags"), "item_id",
+                            order_by="title").select("item_id", "tags")
     how = "inner" if default_tag is None else "left"
     joined = stats.join(tags, "item_id", how)
     exploded = explode_tags(joined, "tags", "tag", default=default_tag)

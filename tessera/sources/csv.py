@@ -18,11 +18,12 @@ def read_quoted_multiline(spark: SparkSession, path: str | Sequence[str], schema
     breaks (SRC-7).
 
     ``escape='"'`` is required: with Spark's default escape a field holding
-    ``""`` followed by the separator is torn apart.  A multi-line file is read
-    by one task per file, so large inputs should be many files.
+    ``""`` followed by the separator is torn apart.  A quoted empty field is
+    an empty string, an unquoted empty field is NULL.  A multi-line file is
+    read by one task per file, so large inputs should be many files.
     """
     return (spark.read.schema(schema)
-            .options(sep=sep, quote='"', escape='"', multiLine="true",
+            .options(sep=sep, quote='"', escape='"', multiLine="true", nullValue="\u0000",
                      header=str(header).lower(), mode="PERMISSIVE", **_VERBATIM)
             .csv(path))
 
