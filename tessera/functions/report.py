@@ -9,8 +9,10 @@ from tessera.functions.strings import col_of
 
 
 def fixed2(c: str | Column) -> Column:
-    """Two decimals, half-up (Java ``%.2f``): ``format_string('%.2f')``."""
-    return F.format_string("%.2f", col_of(c))
+    """Two decimals, half-up (Java ``%.2f``); NULL stays NULL (Java would
+    print ``"nu"``, i.e. "null" cut to the precision)."""
+    v = col_of(c)
+    return F.when(v.isNotNull(), F.format_string("%.2f", v))
 
 
 def left_justify(c: str | Column, width: int) -> Column:

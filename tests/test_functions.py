@@ -84,6 +84,7 @@ def test_epoch_seconds_of_timestamp_ntz(spark):
 def test_report_formatting(spark):
     # half-up two decimals (Java %.2f), padding never truncates, thousands
     assert one(spark, fixed2("v"), 4.125, "v double") == "4.13"
+    assert one(spark, fixed2("v"), None, "v double") is None
     assert one(spark, left_justify("v", 5), "1234567") == "1234567"
     assert one(spark, left_justify("v", 5), "12") == "12   "
     assert one(spark, thousands("v"), 1234567, "v bigint") == "1,234,567"
