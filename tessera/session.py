@@ -42,17 +42,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     is read from the session.  Only when it is unset (unit tests, a laptop) a
     fresh local folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(conf_dir)
+    try:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # not readable through the SQL conf on some deployments
+        conf_dir = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Connect sessions have no SparkContext
+        sc = None
+    if sc is not None:
+        conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
+        if conf_dir:
+            if sc.getCheckpointDir() is None:
+                sc.setCheckpointDir(conf_dir)
+            return conf_dir.rstrip("/")
+        current = sc.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
+    elif conf_dir:
         return conf_dir.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
