@@ -45,6 +45,10 @@ CLEANED = (f"(SELECT CAST(doc_id AS VARCHAR) AS id, {CLEAN} AS review, source AS
            f"AND CAST(doc_id AS VARCHAR) <> 'id')")
 WORD_ROWS = (f"(SELECT id, aspect, category, {WORDS} AS words FROM "
              f"(SELECT id, aspect, category, {TOKENS} AS toks FROM {CLEANED}))")
+TOKEN_ROWS = (f"(SELECT id, aspect, category, sentiment, CAST(pos AS INTEGER) AS pos, word FROM "
+              f"(SELECT id, aspect, category, sentiment, unnest(range(len(toks))) AS pos, "
+              f"unnest(toks) AS word FROM (SELECT c.id, c.aspect, c.category, s.sentiment, "
+              f"{TOKENS} AS toks FROM {CLEANED} c LEFT JOIN {SENT} s USING (id))))")
 KEYS = f"(SELECT DISTINCT id, aspect, category FROM {WORD_ROWS} WHERE len(words) > 0)"
 KEYS_SENT = f"(SELECT k.*, s.sentiment FROM {KEYS} k LEFT JOIN {SENT} s USING (id))"
 WORD_ROWS_SENT = f"(SELECT w.*, s.sentiment FROM {WORD_ROWS} w LEFT JOIN {SENT} s USING (id))"
@@ -142,15 +146,8 @@ SQL: dict[str, str] = {
     "clean_text": (
         f"SELECT c.id, c.review, c.aspect, c.category, s.sentiment FROM {CLEANED} c "
         f"LEFT JOIN {SENT} s USING (id)"),
-    "tokenize_reviews": (
-        f"SELECT id, aspect, category, sentiment, unnest(range(len(toks))) AS pos, "
-        f"unnest(toks) AS word FROM (SELECT c.id, c.aspect, c.category, s.sentiment, "
-        f"{TOKENS} AS toks FROM {CLEANED} c LEFT JOIN {SENT} s USING (id))"),
-    "remove_stopwords": (
-        f"SELECT * FROM (SELECT id, aspect, category, sentiment, unnest(range(len(toks))) AS pos, "
-        f"unnest(toks) AS word FROM (SELECT c.id, c.aspect, c.category, s.sentiment, "
-        f"{TOKENS} AS toks FROM {CLEANED} c LEFT JOIN {SENT} s USING (id))) "
-        f"WHERE NOT list_contains({STOP}, word)"),
+    "tokenize_reviews": f"SELECT * FROM {TOKEN_ROWS}",
+    "remove_stopwords": f"SELECT * FROM {TOKEN_ROWS} WHERE NOT list_contains({STOP}, word)",
     "rebuild_clean_text": (
         f"SELECT id, string_agg(t, ',' ORDER BY t) AS review, aspect, category, sentiment FROM "
         f"(SELECT w.id, w.aspect, w.category, w.sentiment, array_to_string(w.words, ',') AS t "

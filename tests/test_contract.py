@@ -45,5 +45,10 @@ def test_query_matches_oracle(spark, sf_small, duck, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(ocols)
     idx = [ocols.index(c) for c in cols]
+    types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN"}
+    stypes = [types.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+              for f in df.schema.fields]
+    assert stypes == [str(cur.description[i][1]).upper() for i in idx]
     want = Counter(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
     assert got == want
