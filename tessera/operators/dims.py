@@ -76,11 +76,18 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 def two_hop_lookup(fact: DataFrame, fact_user: str, users: DataFrame, user_key: str,
                    user_code: str, codes: DataFrame, code_key: str, code_name: str,
-                   out: str = "label", missing_user: str = "Unknown") -> DataFrame:
+                   out: str = "label", missing_user: str = "Unknown",
+                   measures: Sequence[str] | None = None) -> DataFrame:
     """``fact.user -> users.code -> codes.name`` (JN-6).
 
     An unknown code falls back to the code itself (as text); an unknown user
     gives ``missing_user``.  Both dimensions are de-duplicated first.
+
+    With ``measures`` (additive columns such as partial sums and counts) the
+    rows are re-aggregated per code between the two hops, so the second join
+    sees one row per code - a code shared by a third of all users is not a
+    hot key there - and the result has one row per code with ``out`` and the
+    summed measures.
     """
     u = dedupe_dimension(
         users.select(F.col(user_key).alias("__u_key"), F.col(user_code).alias("__u_code")),
@@ -89,6 +96,9 @@ def two_hop_lookup(fact: DataFrame, fact_user: str, users: DataFrame, user_key:
         codes.select(F.col(code_key).cast("string").alias("__c_key"),
                      F.col(code_name).alias("__c_name")), "__c_key")
     step1 = fact.join(u, fact[fact_user] == u["__u_key"], "left")
+    if measures:
+        step1 = step1.groupBy(F.col("__u_code").cast("string").alias("__u_code"), _FOUND).agg(
+            *[F.sum(m).alias(m) for m in measures])
     step2 = step1.join(c, step1["__u_code"].cast("string") == c["__c_key"], "left")
     label = (F.when(F.col(_FOUND).isNull(), F.lit(missing_user))
              .otherwise(F.coalesce(F.col("__c_name"), F.col("__u_code").cast("string"),

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tessera.functions.bands import UNKNOWN_LABEL, band
 from tessera.functions.timeparts import epoch_year
 from tessera.operators.dims import dedupe_dimension, lookup, two_hop_lookup
-from tessera.operators.scores import (conditional_means, conditional_stats, merge_stats,
-                                      min_support, ranked, score_stats, with_mean)
+from tessera.operators.scores import (N, SUM, conditional_means, conditional_stats,
+                                      merge_stats, min_support, ranked, score_stats, with_mean)
 from tessera.operators.tags import explode_tags
 
 # Default labels printed by the reference for a missing title.
@@ -152,10 +152,12 @@ def avg_score_by_two_hop_label(ratings: DataFrame, users: DataFrame, codes: Data
     """#11 Mean and count per label reached user -> code -> name; an unknown
     code falls back to the code, an unknown user to ``missing_user``.
 
-    Ratings are reduced per user before the two lookups."""
+    Ratings are reduced per user before the first lookup and re-reduced per
+    code before the second, so neither join sees a hot key."""
     per_user = score_stats(ratings, "user_id", "score")
     labelled = two_hop_lookup(per_user, "user_id", users, "user_id", "code",
-                              codes, "code", "name", out="label", missing_user=missing_user)
+                              codes, "code", "name", out="label", missing_user=missing_user,
+                              measures=[SUM, N])
     stats = merge_stats(labelled, "label")
     return with_mean(stats, digits=digits).orderBy(F.col("avg_score").desc(), "label")
 
