@@ -46,10 +46,21 @@ def dedupe_dimension(df: DataFrame, key: str | Sequence[str],
     return packed.select(*keys, *[F.col(f"{_ROW}.{c}").alias(c) for c in values])
 
 
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded by construction
-    (a literal word list, a fixed code table such as nations).  Never use it
-    on a side that grows with the data."""
+MAX_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a side that should be a small, fixed-size table (a
+    word list, a code table such as nations).
+
+    The bound is checked, not assumed: ``limit(max_rows + 1).count()`` stops
+    after ``max_rows + 1`` rows however large the input is.  Beyond the bound
+    the hint is dropped and the planner's own size-checked choice (broadcast
+    under ``autoBroadcastJoinThreshold``, else a shuffle join) applies.
+    ``max_rows=None`` skips the check for sides built from a literal list.
+    """
+    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
+        return df
     return F.broadcast(df)
 
 
@@ -60,7 +71,8 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """Left lookup ``fact.fact_key -> dim.value`` with a default (JN-5).
 
     Fact rows are never dropped or multiplied.  ``bounded=True`` declares the
-    dimension a fixed-size code table and broadcasts it (after de-duplication).
+    dimension a small code table: it is broadcast (after de-duplication) once
+    :func:`bounded_broadcast` has checked its row count.
     """
     d = dim.select(F.col(dim_key).alias("__lk_key"), F.col(value).alias("__lk_val"))
     if dedupe:

@@ -32,6 +32,7 @@ from tessera.operators.dims import bounded_broadcast
 from tessera.operators.topk import top_k, top_k_per_group
 
 KEYS = ("id", "aspect", "category", "sentiment")
+MAX_STOPWORDS = 1_000_000
 WORDS = "words"
 Stopwords = Sequence[str] | DataFrame
 
@@ -53,15 +54,16 @@ def tokenize_reviews(cleaned: DataFrame, sep: str = " ") -> DataFrame:
 
 def _stop_side(stopwords: DataFrame, bounded: bool) -> DataFrame:
     stop = stopwords.select(F.col("stopword").alias("__stop")).filter(F.col("__stop").isNotNull())
-    return bounded_broadcast(stop) if bounded else stop
+    return bounded_broadcast(stop, MAX_STOPWORDS) if bounded else stop
 
 
 def remove_stopwords(token_rows: DataFrame, stopwords: Stopwords, word_col: str = "word",
                      bounded: bool = True) -> DataFrame:
     """Rows whose word is not a stopword (JN-7), as a left-anti join.
 
-    ``bounded=True`` asserts the list has a fixed size (a word list file), so
-    it is broadcast; otherwise the planner decides from its size.  A NULL
+    ``bounded=True`` treats the list as a word list of at most
+    ``MAX_STOPWORDS`` rows and broadcasts it once that count is checked;
+    otherwise (or beyond the bound) the planner decides from its size.  A NULL
     stopword never removes anything (unlike ``NOT IN``).  A literal list is
     applied as an ``IN``-set filter.
     """

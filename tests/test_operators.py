@@ -117,3 +117,23 @@ def test_label_and_year_jobs(spark):
         ("Unknown", 3.0, 1), ("artist", 3.5, 2), ("c7", 4.0, 1), ("writer", round(8 / 3, 4), 3)]
     assert rows(R.avg_score_by_epoch_year(r)) == [("2000", 2.5, 4), ("2001", 4.0, 2),
                                                    ("Unknown", 4.0, 1)]
+
+
+def test_bounded_broadcast_checks_the_bound(spark):
+    from tessera.operators.dims import bounded_broadcast
+
+    small = spark.range(10)
+    big = spark.range(1000)
+    other = spark.range(5000).withColumnRenamed("id", "k")
+
+    def plan(side):
+        return other.join(side, other.k == side.id)._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "BroadcastHashJoin" in plan(bounded_broadcast(small, max_rows=100))
+        assert "SortMergeJoin" in plan(bounded_broadcast(big, max_rows=100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
