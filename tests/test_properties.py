@@ -1,0 +1,98 @@
+"""Property tests: ratings jobs on random tables equal a brute-force Python
+computation (hypothesis)."""
+
+from collections import defaultdict
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tessera.plans import ratings as R
+
+USERS = [f"u{i}" for i in range(6)]
+ITEMS = [f"m{i}" for i in range(5)]
+
+ratings_st = st.lists(st.tuples(st.sampled_from(USERS + ["ux"]), st.sampled_from(ITEMS + ["mx"]),
+                                st.integers(1, 5).map(float)), min_size=1, max_size=30)
+users_st = st.lists(st.tuples(st.sampled_from(USERS), st.sampled_from(["M", "F", "X"]),
+                              st.sampled_from(["10", "18", "30", "35", "49", "50", "70", "x"])),
+                    max_size=8)
+items_st = st.lists(st.tuples(st.sampled_from(ITEMS), st.sampled_from(["a b", "b", "c a a", ""])),
+                    max_size=7)
+
+SETTINGS = settings(max_examples=12, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _frames(spark, ratings, users, items):
+    r = spark.createDataFrame(ratings, "user_id string, item_id string, score double")
+    u = spark.createDataFrame(users, "user_id string, segment string, age string")
+    i = spark.createDataFrame([(k, t, [w for w in t.split(" ") if w]) for k, t in items],
+                              "item_id string, title string, tags array<string>")
+    return r, u, i
+
+
+def _first_title(items):
+    out = {}
+    for k, t in sorted(items):
+        out.setdefault(k, t)
+    return out
+
+
+@SETTINGS
+@given(ratings=ratings_st, items=items_st)
+def test_item_and_tag_means(spark, ratings, items):
+    r, _, i = _frames(spark, ratings, [], items)
+    titles = _first_title(items)
+    acc = defaultdict(list)
+    for _, item, s in ratings:
+        if item in titles:
+            acc[item].append(s)
+    expect = sorted((k, titles[k], round(sum(v) / len(v), 4), len(v)) for k, v in acc.items())
+    assert sorted(tuple(x) for x in R.item_avg_score(r, i).collect()) == expect
+
+    tags = defaultdict(list)
+    for _, item, s in ratings:
+        words = [w for w in titles[item].split(" ") if w] if item in titles else ["Unknown"]
+        for w in words:
+            tags[w].append(s)
+    expect = sorted((t, round(sum(v) / len(v), 4), len(v)) for t, v in tags.items())
+    got = sorted(tuple(x) for x in R.tag_avg_score(r, i, default_tag="Unknown").collect())
+    assert got == expect
+
+
+@SETTINGS
+@given(ratings=ratings_st, users=users_st, items=items_st)
+def test_segment_and_band_means(spark, ratings, users, items):
+    r, u, i = _frames(spark, ratings, users, items)
+    titles = _first_title(items)
+    seg = defaultdict(list)
+    band = defaultdict(list)
+
+    def right_band(a):
+        try:
+            v = float(a)
+        except ValueError:
+            return None
+        return "0-18" if v <= 18 else "18-35" if v <= 35 else "35-50" if v <= 50 else "50+"
+
+    for user, item, s in ratings:
+        for uu, g, age in users:            # users may repeat: rows multiply
+            if uu == user:
+                seg[(item, g)].append(s)
+                b = right_band(age)
+                if b:
+                    band[(item, b)].append(s)
+
+    def mean(v):
+        return round(sum(v) / len(v), 4) if v else None
+
+    wide = R.item_avg_by_segment_wide(r, u, i, ["M", "F"], ["male", "female"])
+    expect = sorted((k, titles[k], mean(seg.get((k, "M"), [])), mean(seg.get((k, "F"), [])))
+                    for k in titles)
+    assert sorted(tuple(x) for x in wide.collect()) == expect
+
+    labels = ["0-18", "18-35", "35-50", "50+"]
+    bw = R.item_avg_by_band_wide(r, u, i, [18, 35, 50], labels, ["b1", "b2", "b3", "b4"])
+    expect = sorted((k, titles[k], *[mean(band.get((k, lab), [])) for lab in labels])
+                    for k in titles)
+    assert sorted(tuple(x) for x in bw.collect()) == expect
