@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.timeparts import month_of, year_of
-from tessera.operators.profile import entity_counts, schema_profile  # noqa: F401 (re-export)
 from tessera.operators.topk import top_k
 
 
