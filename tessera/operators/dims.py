@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ROW = "__first_row"
+_FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date",
+                "timestamp", "timestamp_ntz"}
 _FOUND = "__found"
 
 
@@ -34,12 +36,17 @@ def dedupe_dimension(df: DataFrame, key: str | Sequence[str],
     """One row per key: the smallest row by ``order_by`` then the other columns.
 
     Implemented as ``groupBy(key).agg(min(struct(...)))`` so that it is
-    combined map-side (a key repeated a billion times costs one row per task).
+    combined map-side (a key repeated a billion times costs one row per task);
+    a single fixed-width value column uses a plain ``min`` (hash aggregate).
     """
     keys = _as_list(key)
     values = [c for c in df.columns if c not in keys]
     if not values:
         return df.select(*keys).distinct()
+    types = dict(df.dtypes)
+    if len(values) == 1 and types[values[0]] in _FIXED_WIDTH:
+        # a single fixed-width value: plain min keeps the hash aggregate
+        return df.groupBy(*keys).agg(F.min(values[0]).alias(values[0]))
     order = [c for c in _as_list(order_by or []) if c in values]
     fields = order + [c for c in values if c not in order]
     packed = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias(_ROW))
