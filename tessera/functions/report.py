@@ -9,12 +9,20 @@ from tessera.functions.strings import col_of
 
 
 def fixed2(c: str | Column) -> Column:
-    """Two decimals, half-up (Java ``%.2f``); NULL stays NULL (Java would
+    """Two decimals the way Java's ``%.2f`` prints them (half-up on the
+    decimal representation: 4.125 -> "4.13"); NULL stays NULL (Java would
     print ``"nu"``, i.e. "null" cut to the precision)."""
     v = col_of(c)
     return F.when(v.isNotNull(), F.format_string("%.2f", v))
 
 
+def python_fixed(c: str | Column, digits: int = 2) -> Column:
+    """Decimals the way Python's ``f"{x:.2f}"`` prints them: correctly rounded
+    from the exact binary value, ties to even (4.125 -> "4.12").
+    ``format_number`` rounds the same way; its grouping commas are removed."""
+    return F.regexp_replace(F.format_number(col_of(c), digits), ",", "")
+
+
 def left_justify(c: str | Column, width: int) -> Column:
     """``f"{x:<width}"``: pad on the right, never truncate (``rpad`` truncates)."""
     return F.format_string(f"%-{width}s", col_of(c))
@@ -28,14 +36,3 @@ def thousands(c: str | Column) -> Column:
 def or_label(c: str | Column, label: str = "NA") -> Column:
     """Missing value shown as a label in text reports, else two decimals."""
     return F.coalesce(fixed2(c), F.lit(label))
-
-
-# The per-(item, band) report line of the ratings jobs
-# (id left-justified to 5, band to 8, mean with two decimals, then the title).
-BAND_REPORT_TEMPLATE = "ID: %-5s | Nhóm tuổi: %-8s | Điểm TB: %.2f | Phim: %s"
-
-
-def band_report_line(item: Column, band: Column, mean: Column, title: Column,
-                     template: str = BAND_REPORT_TEMPLATE) -> Column:
-    """One formatted report line (STR-11, STR-13, STR-14)."""
-    return F.format_string(template, item, band, mean, title)

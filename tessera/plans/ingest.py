@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tessera.functions.report import band_report_line
 from tessera.functions.timeparts import epoch_seconds
 from tessera.plans import bindings as B
 from tessera.plans import ratings as R
+from tessera.plans.reports import age_lines
 from tessera.session import scratch_path
 from tessera.sources.csv import read_glob, read_header_inferred, read_quoted_multiline
 from tessera.sources.tables import load
@@ -91,14 +91,12 @@ def q_read_header_inferred(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_format_report(spark: SparkSession, d: str) -> DataFrame:
-    """#38 The per-(item, band) means of #10 as fixed-width text lines; the
-    mean is rounded once, from its exact value."""
+    """#38 The per-(item, band) means of #10 as the reference's fixed-width
+    text lines; the mean is formatted from its exact value."""
     rows = R.item_avg_by_band_long(B.ratings(spark, d), B.users(spark, d),
                                    B.items(spark, d, B.SMALL_PART_MAX_SIZE),
                                    B.PRICE_EDGES, B.PRICE_BANDS_LEFT, digits=None)
-    line = band_report_line(F.col("item_id").cast("string"), F.col("band"),
-                            F.round("avg_score", 2), F.col("title"))
-    return rows.select("item_id", "band", line.alias("line"))
+    return age_lines(rows)
 
 
 def _spark_type(name: str):

@@ -8,7 +8,7 @@ conversations``.  Column names and types match the Spark results.
 from __future__ import annotations
 
 from tessera.functions.bands import band_sql
-from tessera.functions.report import BAND_REPORT_TEMPLATE
+from tessera.plans.reports import AGE_LINE
 from tessera.plans import bindings as B
 
 _Q = "'"
@@ -83,7 +83,9 @@ BAND_LONG = (f"SELECT st.item_id, st.band, round(st.s / st.n, 4) AS avg_score, "
              f"sum(score) AS s, count(score) AS n FROM {RATED} GROUP BY ALL) st "
              f"LEFT JOIN {SMALL_ITEMS} i USING (item_id)")
 
-_REPORT_FMT = BAND_REPORT_TEMPLATE.replace("'", "''")
+# the age line with the widths of its fields (id to 5, band to 8)
+_REPORT_FMT = AGE_LINE.replace("ID: %s", "ID: %-5s").replace("tuổi: %s", "tuổi: %-8s") \
+    .replace("TB: %s", "TB: %.2f").replace("'", "''")
 
 SQL: dict[str, str] = {
     # ---------------------------------------------------------- ratings
@@ -228,7 +230,7 @@ SQL: dict[str, str] = {
         "c_mktsegment FROM customer"),
     "format_report": (
         f"SELECT st.item_id, st.band, printf('{_REPORT_FMT}', CAST(st.item_id AS VARCHAR), st.band, "
-        f"round(st.s / st.n, 2), coalesce(i.title, 'Unknown')) AS line "
+        f"st.s / st.n, coalesce(i.title, 'Unknown')) AS line "
         f"FROM (SELECT item_id, {_BAND_LEFT} AS band, sum(score) AS s, count(score) AS n "
         f"FROM {RATED} GROUP BY ALL) st LEFT JOIN {SMALL_ITEMS} i USING (item_id)"),
 }

@@ -1,5 +1,7 @@
 """Column helpers: one test per semantic trap of the blueprint (§2.12)."""
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import (band, clean_review, epoch_year, java_trim, last_field,
@@ -7,7 +9,7 @@ from tessera.functions import (band, clean_review, epoch_year, java_trim, last_f
                                thousands, tokens, without_words)
 from tessera.functions.bands import (LEFT_CLOSED_AGE_EDGES, LEFT_CLOSED_AGE_LABELS,
                                      RIGHT_CLOSED_AGE_EDGES, RIGHT_CLOSED_AGE_LABELS)
-from tessera.functions.report import band_report_line, fixed2
+from tessera.functions.report import fixed2, python_fixed
 from tessera.functions.timeparts import epoch_seconds
 
 
@@ -88,6 +90,34 @@ def test_report_formatting(spark):
     assert one(spark, left_justify("v", 5), "1234567") == "1234567"
     assert one(spark, left_justify("v", 5), "12") == "12   "
     assert one(spark, thousands("v"), 1234567, "v bigint") == "1,234,567"
-    line = spark.range(1).select(band_report_line(F.lit("1010"), F.lit("18-34"), F.lit(3.6),
-                                                  F.lit("Lawrence of Arabia (1962)"))).first()[0]
-    assert line == "ID: 1010  | Nhóm tuổi: 18-34    | Điểm TB: 3.60 | Phim: Lawrence of Arabia (1962)"
+    # Python rounding: ties on the exact binary value go to even
+    assert one(spark, python_fixed("v"), 4.125, "v double") == "4.12"
+    assert one(spark, python_fixed("v"), 1234.5, "v double") == "1234.50"
+
+
+@settings(max_examples=40, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.floats(-1e6, 1e6, allow_nan=False),
+                          st.integers(-4000, 4000).map(lambda k: k / 8)), min_size=1, max_size=50))
+def test_python_fixed_matches_python(spark, values):
+    # (values that round to minus zero are left out: Python prints "-0.00")
+    values = [v for v in values if f"{v:.2f}" != "-0.00"]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(python_fixed("v")).collect()] == [f"{v:.2f}" for v in values]
+
+
+def test_report_lines(spark):
+    from tessera.plans import reports as RP
+    long = spark.createDataFrame([(1010, "18-34", 3.6, "Lawrence of Arabia (1962)")],
+                                 "item_id bigint, band string, avg_score double, title string")
+    assert RP.age_lines(long).first()["line"] == (
+        "ID: 1010  | Nhóm tuổi: 18-34    | Điểm TB: 3.60 | Phim: Lawrence of Arabia (1962)")
+    labels = spark.createDataFrame([("Programmer", 4.25, 12345)],
+                                   "label string, avg_score double, n_scores bigint")
+    assert RP.occupation_lines(labels).first()["line"] == (
+        "Nghề nghiệp: Programmer      | Điểm TB: 4.25 | Tổng số lượt đánh giá: 12,345")
+    best = spark.createDataFrame([("1015", "Sunset Boulevard (1950)", 4.357, 7)],
+                                 "item_id string, title string, avg_score double, n_scores bigint")
+    block = [r["line"] for r in RP.summary_lines(best).orderBy("line_no").collect()]
+    assert block[3:7] == ["ID phim: 1015", "Ten phim: Sunset Boulevard (1950)",
+                          "Diem trung binh: 4.36 / 5.0", "So luot danh gia: 7 luot"]

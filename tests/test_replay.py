@@ -11,11 +11,10 @@ import os
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.functions.bands import RIGHT_CLOSED_AGE_EDGES, RIGHT_CLOSED_AGE_LABELS
-from tessera.functions.report import fixed2, or_label
 from tessera.plans import ratings as R
+from tessera.plans import reports as RP
 
 HERE = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
 # one representative age inside each right-closed band
@@ -67,8 +66,7 @@ def frames(spark):
 
 def test_item_means_replay(frames):
     r, u, i = frames
-    out = R.item_avg_score(r, i, digits=None).select(F.format_string(
-        "%s\tAverage Rating: %s (Total Ratings: %d)", "title", fixed2("avg_score"), "n_scores"))
+    out = RP.item_mean_lines(R.item_avg_score(r, i, digits=None)).select("line")
     assert sorted(x[0] for x in out.collect()) == sorted(_lines("recorded_item_means.txt"))
     # no movie has 5 ratings: the winner job returns no row at all
     assert R.best_item_min_support(r, i, 5).count() == 0
@@ -78,8 +76,7 @@ def test_segment_means_replay(frames):
     r, u, i = frames
     wide = R.item_avg_by_segment_wide(r, u, i, ["M", "F"], ["male", "female"], fill=0.0,
                                       digits=None)
-    out = wide.select(F.format_string("%s:\tMale: %s, Female: %s", "title", fixed2("male"),
-                                      fixed2("female")))
+    out = RP.segment_means_lines(wide).select("line")
     assert sorted(x[0] for x in out.collect()) == sorted(_lines("recorded_segment_means.txt"))
 
 
@@ -88,8 +85,5 @@ def test_band_means_replay(frames):
     names = ["b1", "b2", "b3", "b4"]
     wide = R.item_avg_by_band_wide(r, u, i, RIGHT_CLOSED_AGE_EDGES, RIGHT_CLOSED_AGE_LABELS,
                                    names, digits=None)
-    parts = [F.format_string(f"{lab}: %s", or_label(n)) for lab, n in
-             zip(RIGHT_CLOSED_AGE_LABELS, names)]
-    out = wide.select(F.concat(F.col("title"), F.lit(":\t["), F.concat_ws(", ", *parts),
-                               F.lit("]")))
+    out = RP.band_means_lines(wide, RIGHT_CLOSED_AGE_LABELS, names).select("line")
     assert sorted(x[0] for x in out.collect()) == sorted(_lines("recorded_band_means.txt"))
