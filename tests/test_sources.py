@@ -98,3 +98,17 @@ def test_materialize_uses_shared_checkpoint_folder(spark):
     files = back.inputFiles()
     assert files and all("/tessera/stage-" in f for f in files)
     assert all(root in f for f in files)
+
+
+def test_tab_separated_hand_over_between_jobs(spark):
+    """A job's key<TAB>value output re-read by the next job (SRC-4, SNK-1):
+    trimmed like one chained job, kept verbatim like the other."""
+    d = tempfile.mkdtemp(prefix="tessera-test-")
+    df = spark.createDataFrame([("m1 ", "GR:M:4.0"), ("m2", " GR:F:3.5")], "k string, v string")
+    out = os.path.join(d, "stage1")
+    write_key_value_text(df, "k", "v", out)
+    fields = [("movie", "string"), ("value", "string")]
+    trimmed = rows(read_delimited_tolerant(spark, out, fields, 2, sep="\t"))
+    assert trimmed == [("m1", "GR:M:4.0"), ("m2", "GR:F:3.5")]
+    verbatim = rows(read_delimited_tolerant(spark, out, fields, 2, sep="\t", trim_fields=False))
+    assert verbatim == [("m1 ", "GR:M:4.0"), ("m2", " GR:F:3.5")]
