@@ -20,7 +20,13 @@ def test_stopword_removal_is_broadcast_anti_join(spark, sf_small, qs):
 
 
 def test_per_group_top_k_has_window_group_limit(spark, sf_small, qs):
-    assert "WindowGroupLimit" in plan(qs["top_words_by_category"](spark, sf_small))
+    p = plan(qs["top_words_by_category"](spark, sf_small))
+    # the partial limit runs map-side, below the exchange on the category
+    final_at = p.index("WindowGroupLimit")
+    exchange_at = p.index("Exchange hashpartitioning(category")
+    partial_at = p.index("WindowGroupLimit", exchange_at)
+    assert final_at < exchange_at < partial_at
+    assert "Partial" in p[partial_at:p.index("\n", partial_at)]
 
 
 @pytest.mark.parametrize("name", ["best_item_min_support", "top_words", "seller_ranking"])
