@@ -49,10 +49,11 @@ def _valid_scores(reviews: DataFrame, low: float, high: float) -> DataFrame:
 
 
 def average_valid_score(reviews: DataFrame, low: float = 1.0, high: float = 5.0,
-                        digits: int = 4) -> DataFrame:
+                        digits: int | None = 4) -> DataFrame:
     """#31 One row: the mean of the valid scores and how many there are."""
+    mean = F.avg("score") if digits is None else F.round(F.avg("score"), digits)
     return _valid_scores(reviews, low, high).agg(
-        F.round(F.avg("score"), digits).alias("avg_score"),
+        mean.alias("avg_score"),
         F.count(F.lit(1)).alias("n_valid"))
 
 

@@ -32,6 +32,11 @@ from tessera.operators.tags import explode_tags
 UNKNOWN_TITLE = "Không rõ tên"
 
 
+def _rounded(col: str, digits: int | None):
+    """``round(col, digits)``; ``digits=None`` keeps the exact value."""
+    return F.col(col) if digits is None else F.round(col, digits)
+
+
 def _titles(items: DataFrame) -> DataFrame:
     return dedupe_dimension(items.select("item_id", "title"), "item_id")
 
@@ -50,7 +55,7 @@ def best_item_min_support(ratings: DataFrame, items: DataFrame, min_n: int,
     (inner with the dimension). Ties: smaller item id. None -> zero rows."""
     per_item = item_avg_score(ratings, items, digits=None)
     best = ranked(min_support(per_item, min_n), "avg_score", "item_id").limit(1)
-    return best.select("item_id", "title", F.round("avg_score", digits).alias("avg_score"),
+    return best.select("item_id", "title", _rounded("avg_score", digits).alias("avg_score"),
                        "n_scores")
 
 
@@ -61,7 +66,7 @@ def item_ranking_min_support(ratings: DataFrame, items: DataFrame, min_n: int,
     stats = min_support(with_mean(score_stats(ratings, "item_id", "score"), digits=None),
                         min_n)
     named = lookup(stats, items, "item_id", "item_id", "title", default=default_title)
-    out = named.select("item_id", "title", F.round("avg_score", digits).alias("avg_score"),
+    out = named.select("item_id", "title", _rounded("avg_score", digits).alias("avg_score"),
                        "n_scores", F.col("avg_score").alias("__exact"))
     return out.orderBy(F.col("__exact").desc(), F.col("item_id").asc()).drop("__exact")
 
@@ -74,11 +79,11 @@ def ranking_with_summary(ratings: DataFrame, items: DataFrame, min_n: int,
                         min_n)
     named = lookup(stats, items, "item_id", "item_id", "title", default=default_title)
     rows = named.select(F.lit("ranking").alias("section"), "item_id", "title",
-                        F.round("avg_score", digits).alias("avg_score"), "n_scores",
+                        _rounded("avg_score", digits).alias("avg_score"), "n_scores",
                         F.col("avg_score").alias("__exact"))
     best = ranked(named, "avg_score", "item_id").limit(1).select(
         F.lit("best").alias("section"), "item_id", "title",
-        F.round("avg_score", digits).alias("avg_score"), "n_scores",
+        _rounded("avg_score", digits).alias("avg_score"), "n_scores",
         F.col("avg_score").alias("__exact"))
     return rows.unionByName(best).drop("__exact")
 
