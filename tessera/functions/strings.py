@@ -29,7 +29,8 @@ def java_trim(c: str | Column) -> Column:
 def drop_trailing_empty(arr: Column) -> Column:
     """Java ``String.split`` drops trailing empty strings; Spark keeps them.
 
-    The array is cut after its last non-empty element.
+    The array is cut after its last non-empty element (for an array that is
+    already built; :func:`split_java` avoids building the empties at all).
     """
     keep = F.coalesce(
         F.array_max(F.transform(arr, lambda x, i: F.when(x != "", i + 1).otherwise(F.lit(0)))),
@@ -40,13 +41,19 @@ def drop_trailing_empty(arr: Column) -> Column:
 
 
 def split_java(c: str | Column, sep: str, limit: int = -1) -> Column:
-    """Split like Java ``String.split(regex[, limit])``.
+    """Split on a literal separator like Java ``String.split(sep[, limit])``.
 
-    ``limit <= 0`` removes trailing empty fields (Java semantics for 0); a
-    positive limit keeps the remainder in the last field, exactly like Spark.
+    ``limit <= 0`` drops trailing empty fields (Java semantics for 0): the
+    trailing separators are stripped before splitting, which keeps the whole
+    expression code-generated.  A positive limit keeps the remainder in the
+    last field, exactly like Spark.
     """
-    parts = F.split(col_of(c), sep, limit if limit > 0 else -1)
-    return parts if limit > 0 else drop_trailing_empty(parts)
+    lit = regex_literal(sep)
+    if limit > 0:
+        return F.split(col_of(c), lit, limit)
+    stripped = F.regexp_replace(col_of(c), f"(?:{lit})+$", "")
+    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
+        F.split(stripped, lit, -1))
 
 
 def split_title_fields(c: str | Column) -> tuple[Column, Column, Column]:
@@ -65,9 +72,9 @@ def last_field(c: str | Column, sep: str = ",") -> Column:
     return F.substring_index(col_of(c), sep, -1)
 
 
-def split_tags(c: str | Column, sep_regex: str = r"\|") -> Column:
+def split_tags(c: str | Column, sep: str = "|") -> Column:
     """Multi-valued field -> array of non-empty tags (duplicates kept)."""
-    return F.filter(F.split(col_of(c), sep_regex), lambda x: x != "")
+    return F.array_remove(F.split(col_of(c), regex_literal(sep)), "")
 
 
 def clean_review(c: str | Column) -> Column:
@@ -81,7 +88,7 @@ def clean_review(c: str | Column) -> Column:
 def tokens(c: str | Column, sep: str = " ") -> Column:
     """Tokenise on a single literal delimiter; empty and blank (" ") tokens are
     dropped.  ``array_remove`` keeps this inside whole-stage codegen."""
-    parts = F.array_remove(F.split(col_of(c), _regex_literal(sep)), "")
+    parts = F.array_remove(F.split(col_of(c), regex_literal(sep)), "")
     return parts if sep == " " else F.array_remove(parts, " ")
 
 
@@ -94,6 +101,7 @@ def without_words(arr: Column, words: Sequence[str]) -> Column:
     return F.filter(arr, lambda x: ~x.isin(listed))
 
 
-def _regex_literal(sep: str) -> str:
+def regex_literal(sep: str) -> str:
+    """A literal string as a Java regex (special characters escaped)."""
     special = set(r"\^$.|?*+()[]{}")
     return "".join("\\" + ch if ch in special else ch for ch in sep)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.strings import _regex_literal, java_trim, split_java
+from tessera.functions.strings import java_trim, split_java
 
 VALID = "is_valid"
 
@@ -27,7 +27,7 @@ def parse_positional(lines: DataFrame, fields: Sequence[tuple[str, str]], min_fi
     ``limit > 0`` keeps the rest of the line in the last field.
     """
     line = java_trim(line_col)
-    parts = split_java(line, _regex_literal(sep), limit)
+    parts = split_java(line, sep, limit)
     cols: list[Column] = []
     ok = (F.length(line) > 0) & (F.size(parts) >= F.lit(min_fields))
     for i, (name, dtype) in enumerate(fields):
