@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.session import checkpoint_root
@@ -112,3 +114,14 @@ def test_tab_separated_hand_over_between_jobs(spark):
     assert trimmed == [("m1", "GR:M:4.0"), ("m2", "GR:F:3.5")]
     verbatim = rows(read_delimited_tolerant(spark, out, fields, 2, sep="\t", trim_fields=False))
     assert verbatim == [("m1 ", "GR:M:4.0"), ("m2", " GR:F:3.5")]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_declared_table_schemas_match_the_files(spark, sf):
+    from tessera.sources.tables import TABLES, load
+    d = f"/root/testdata/{sf}"
+    if not os.path.isdir(d):
+        pytest.skip("test tables not available")
+    for t in TABLES:
+        declared = load(spark, d, t).schema.simpleString()
+        assert declared == load(spark, d, t, declared=False).schema.simpleString(), t
