@@ -66,19 +66,18 @@ def q_read_quoted_multiline(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_read_glob(spark: SparkSession, d: str) -> DataFrame:
-    """#36 ``lineitem`` ratings written as two folders ``ratings_1`` (shipped
-    up to 1998) and ``ratings_2`` (later), read back by one glob."""
+    """#36 ``lineitem`` ratings written, in one pass, as two folders of
+    ``ratings_1`` (shipped up to 1998) and ``ratings_2`` (later) files, then
+    read back by one glob over both."""
     li = load(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-        epoch_seconds("l_shipdate").alias("epoch"), F.year("l_shipdate").alias("y"))
+        epoch_seconds("l_shipdate").alias("epoch"),
+        F.when(F.year("l_shipdate") <= 1998, "ratings_1").otherwise("ratings_2").alias("src"))
     root = scratch_path(spark, "glob")
-    early = li.filter(F.col("y") <= 1998).drop("y")
-    late = li.filter(F.col("y") > 1998).drop("y")
-    write_delimited(early, f"{root}/ratings_1", sep=",")
-    write_delimited(late, f"{root}/ratings_2", sep=",")
+    write_delimited(li, root, sep=",", partition_by=["src"])
     schema = StructType([StructField(n, _spark_type(t)) for n, t in RATING_FIELDS])
-    df = read_glob(spark, f"{root}/ratings_*", schema, sep=",", source_col="source_file")
-    return df.withColumn("source", F.regexp_extract("source_file", r"/(ratings_[^/]+)/", 1)) \
+    df = read_glob(spark, f"{root}/src=ratings_*", schema, sep=",", source_col="source_file")
+    return df.withColumn("source", F.regexp_extract("source_file", r"/src=(ratings_[^/]+)/", 1)) \
         .drop("source_file")
 
 

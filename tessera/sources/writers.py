@@ -18,17 +18,21 @@ def write_key_value_text(df: DataFrame, key: str, value: str, path: str,
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = False,
-                    quoted: bool = False, mode: str = "errorifexists") -> None:
+                    quoted: bool = False, mode: str = "errorifexists",
+                    partition_by: Sequence[str] | None = None) -> None:
     """``;``/``,`` delimited part files (SNK-3). ``quoted`` writes a quoted
     multi-line-safe CSV readable by ``read_quoted_multiline``: fields holding
     the separator, a quote or a line break are quoted, an empty string is
-    written as ``""`` and NULL as nothing."""
+    written as ``""`` and NULL as nothing.  ``partition_by`` writes one
+    ``col=value`` folder per value in a single pass over ``df``."""
     w = df.write.mode(mode).option("sep", sep).option("header", str(header).lower())
     w = w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     if quoted:
         w = w.option("quote", '"').option("escape", '"')
     else:
         w = w.option("quote", "\u0000")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.csv(path)
 
 
