@@ -54,11 +54,13 @@ def run_ratings(spark: SparkSession, src: str, out: str, min_support: int) -> No
     _lines(RP.best_item_lines(best, min_support), o("best_item"), ["line"], True)
     _lines(RP.tag_mean_lines(R.tag_avg_score(ratings, movies, digits=None)),
            o("tag_means"), ["tag"], True)
+    # the MapReduce jobs remember one gender and one age per user
     wide = R.item_avg_by_segment_wide(ratings, users, movies, ["M", "F"], ["male", "female"],
-                                      digits=None)
+                                      digits=None, dedupe_users=True)
     _lines(RP.segment_means_lines(wide), o("segment_means"), ["item_id"], False)
     bands = R.item_avg_by_band_wide(ratings, users, movies, RIGHT_CLOSED_AGE_EDGES,
-                                    RIGHT_CLOSED_AGE_LABELS, BAND_COLUMNS, digits=None)
+                                    RIGHT_CLOSED_AGE_LABELS, BAND_COLUMNS, digits=None,
+                                    dedupe_users=True)
     _lines(RP.band_means_lines(bands, RIGHT_CLOSED_AGE_LABELS, BAND_COLUMNS), o("band_means"),
            ["item_id"], False)
 

@@ -108,18 +108,35 @@ def tag_avg_score(ratings: DataFrame, items: DataFrame, default_tag: str | None
     return with_mean(merge_stats(exploded, "tag"), digits=digits)
 
 
-def item_avg_by_segment_wide(ratings: DataFrame, users: DataFrame, items: DataFrame,
-                             segments: Sequence[str], names: Sequence[str],
-                             fill: float | None = None, digits: int = 4) -> DataFrame:
-    """#7 Per item of the dimension: the mean score of each fixed user segment
-    as its own column (AGG-8).  Ratings join users (inner, rows multiply per
-    matching user); items without scores are kept with NULL (or ``fill``)."""
-    rated = ratings.join(users.select("user_id", "segment"), "user_id", "inner")
+def _wide(ratings: DataFrame, user_segments: DataFrame, items: DataFrame,
+          segments: Sequence[str], names: Sequence[str], fill: float | None,
+          digits: int | None) -> DataFrame:
+    rated = ratings.join(user_segments, "user_id", "inner")
     stats = conditional_stats(rated, "item_id", "segment", segments, "score", names)
     kept = _titles(items).join(stats, "item_id", "left")
     return conditional_means(kept, names, digits, fill)
 
 
+def item_avg_by_segment_wide(ratings: DataFrame, users: DataFrame, items: DataFrame,
+                             segments: Sequence[str], names: Sequence[str],
+                             fill: float | None = None, digits: int = 4,
+                             dedupe_users: bool = False) -> DataFrame:
+    """#7 Per item of the dimension: the mean score of each fixed user segment
+    as its own column (AGG-8); items without scores are kept with NULL (or
+    ``fill``).
+
+    The ratings join the users as a plain sort-merge join, so AQE can split
+    the partition of a user key holding a large share of the ratings.
+    ``dedupe_users=True`` keeps one segment per repeated user (a reducer that
+    remembers one value per key); the de-duplicating aggregate then sits
+    between the exchange and the join, which rules out that split.
+    """
+    user_segments = users.select("user_id", "segment")
+    if dedupe_users:
+        user_segments = dedupe_dimension(user_segments, "user_id")
+    return _wide(ratings, user_segments, items, segments, names, fill, digits)
+
+
 def item_avg_by_segment_long(ratings: DataFrame, users: DataFrame, items: DataFrame,
                              default_title: str = UNKNOWN_LABEL,
                              digits: int = 4) -> DataFrame:
@@ -132,12 +149,17 @@ def item_avg_by_segment_long(ratings: DataFrame, users: DataFrame, items: DataFr
 
 def item_avg_by_band_wide(ratings: DataFrame, users: DataFrame, items: DataFrame,
                           edges: Sequence[float], labels: Sequence[str],
-                          names: Sequence[str], digits: int = 4) -> DataFrame:
+                          names: Sequence[str], digits: int = 4,
+                          dedupe_users: bool = False) -> DataFrame:
     """#9 Right-closed bands of a numeric user attribute as columns; a band
-    without scores is NULL (printed "NA" by the report)."""
-    banded = users.select("user_id", band(F.col("age").try_cast("double"), edges, labels,
-                                          closed="right").alias("segment"))
-    return item_avg_by_segment_wide(ratings, banded, items, labels, names, None, digits)
+    without scores is NULL (printed "NA" by the report).  ``dedupe_users``
+    as in :func:`item_avg_by_segment_wide`."""
+    ages = users.select("user_id", "age")
+    if dedupe_users:
+        ages = dedupe_dimension(ages, "user_id")
+    banded = ages.select("user_id", band(F.col("age").try_cast("double"), edges, labels,
+                                         closed="right").alias("segment"))
+    return _wide(ratings, banded, items, labels, names, None, digits)
 
 
 def item_avg_by_band_long(ratings: DataFrame, users: DataFrame, items: DataFrame,

@@ -19,7 +19,7 @@ users_st = st.lists(st.tuples(st.sampled_from(USERS), st.sampled_from(["M", "F",
 items_st = st.lists(st.tuples(st.sampled_from(ITEMS), st.sampled_from(["a b", "b", "c a a", ""])),
                     max_size=7)
 
-SETTINGS = settings(max_examples=12, deadline=None,
+SETTINGS = settings(max_examples=16, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -61,8 +61,8 @@ def test_item_and_tag_means(spark, ratings, items):
 
 
 @SETTINGS
-@given(ratings=ratings_st, users=users_st, items=items_st)
-def test_segment_and_band_means(spark, ratings, users, items):
+@given(ratings=ratings_st, users=users_st, items=items_st, dedupe=st.booleans())
+def test_segment_and_band_means(spark, ratings, users, items, dedupe):
     r, u, i = _frames(spark, ratings, users, items)
     titles = _first_title(items)
     seg = defaultdict(list)
@@ -75,24 +75,32 @@ def test_segment_and_band_means(spark, ratings, users, items):
             return None
         return "0-18" if v <= 18 else "18-35" if v <= 35 else "35-50" if v <= 50 else "50+"
 
+    if dedupe:  # a repeated user keeps one attribute value (the smallest)
+        gender = {u: [min(g for uu, g, _ in users if uu == u)] for u, _, _ in users}
+        age = {u: [min(a for uu, _, a in users if uu == u)] for u, _, _ in users}
+    else:       # a repeated user multiplies its ratings
+        gender = {u: [g for uu, g, _ in users if uu == u] for u, _, _ in users}
+        age = {u: [a for uu, _, a in users if uu == u] for u, _, _ in users}
     for user, item, s in ratings:
-        for uu, g, age in users:            # users may repeat: rows multiply
-            if uu == user:
-                seg[(item, g)].append(s)
-                b = right_band(age)
-                if b:
-                    band[(item, b)].append(s)
+        for g in gender.get(user, []):
+            seg[(item, g)].append(s)
+        for a in age.get(user, []):
+            b = right_band(a)
+            if b:
+                band[(item, b)].append(s)
 
     def mean(v):
         return round(sum(v) / len(v), 4) if v else None
 
-    wide = R.item_avg_by_segment_wide(r, u, i, ["M", "F"], ["male", "female"])
+    wide = R.item_avg_by_segment_wide(r, u, i, ["M", "F"], ["male", "female"],
+                                      dedupe_users=dedupe)
     expect = sorted((k, titles[k], mean(seg.get((k, "M"), [])), mean(seg.get((k, "F"), [])))
                     for k in titles)
     assert sorted(tuple(x) for x in wide.collect()) == expect
 
     labels = ["0-18", "18-35", "35-50", "50+"]
-    bw = R.item_avg_by_band_wide(r, u, i, [18, 35, 50], labels, ["b1", "b2", "b3", "b4"])
+    bw = R.item_avg_by_band_wide(r, u, i, [18, 35, 50], labels, ["b1", "b2", "b3", "b4"],
+                                 dedupe_users=dedupe)
     expect = sorted((k, titles[k], *[mean(band.get((k, lab), [])) for lab in labels])
                     for k in titles)
     assert sorted(tuple(x) for x in bw.collect()) == expect
