@@ -44,7 +44,13 @@ def start_word_count(spark: SparkSession, source_dir: str, schema: StructType,
     """Keep ``table_path`` (parquet) equal to the word counts of every file
     seen so far.  Progress and state live in ``checkpoint`` (default: a folder
     under the shared ``spark.checkpoint.dir``), so a restarted query resumes
-    exactly once.  ``available_now`` processes what is there and stops.
+    exactly once; each micro-batch overwrites the table with the complete
+    counts, so a retried batch is idempotent.  ``available_now`` processes
+    what is there and stops.
+
+    The state holds one row per distinct word; for a large vocabulary run it
+    on the RocksDB state store
+    (``spark.sql.streaming.stateStore.providerClass``).
     """
     counts = word_count_stream(review_stream(spark, source_dir, schema), stopwords)
 
