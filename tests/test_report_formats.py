@@ -66,3 +66,14 @@ def test_per_item_reports(spark, i, label, col, fn):
         rows.append((int(m.group(1)), m.group(2), float(m.group(3)), m.group(4)))
     df = _df(spark, rows, f"item_id bigint, {col} string, avg_score double, title string")
     assert [r["line"] for r in fn(df).collect()] == lines
+
+
+def test_tag_mean_lines_of_the_mapreduce_job(spark):
+    with open(os.path.join(HERE, "recorded_tag_means.txt"), encoding="utf-8") as f:
+        lines = f.read().split("\n")[:-1]
+    rows = []
+    for ln in lines:
+        m = re.match(r"^(.*) \tAvg: ([0-9.]+),  Count: (\d+)$", ln)
+        rows.append((m.group(1), float(m.group(2)), int(m.group(3))))
+    df = _df(spark, rows, "tag string, avg_score double, n_scores bigint")
+    assert [r["line"] for r in RP.tag_mean_lines(df).collect()] == lines
