@@ -95,11 +95,27 @@ def tokens(c: str | Column, sep: str = " ") -> Column:
     return parts if sep == " " else F.array_remove(parts, " ")
 
 
-def without_words(arr: Column, words: Sequence[str]) -> Column:
+def sql_list(words: Sequence[str]) -> str:
+    """Words as a SQL list of string literals (``'a', 'b'``), sorted, unique."""
+    def lit(w: str) -> str:
+        return "'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ", ".join(lit(w) for w in sorted(set(words)))
+
+
+def not_in(col_name: str, words: Sequence[str]) -> Column:
+    """``col NOT IN (words)`` as one SQL expression (Catalyst makes it a hash
+    ``InSet``); a NULL value is not kept, like ``~isin``."""
+    return F.expr(f"NOT (`{col_name}` IN ({sql_list(words)}))")
+
+
+def without_words(arr: str | Column, words: Sequence[str]) -> Column:
     """Array minus the given words, order and duplicates kept, evaluated inside
-    the row (no shuffle); the word list becomes a hash set (``InSet``)."""
+    the row (no shuffle); the word list becomes a hash set (``InSet``).
+    Given a column name, the filter is built as one SQL expression."""
     if not words:
-        return arr
+        return col_of(arr)
+    if isinstance(arr, str):
+        return F.expr(f"filter(`{arr}`, x -> NOT (x IN ({sql_list(words)})))")
     listed = sorted(set(words))
     return F.filter(arr, lambda x: ~x.isin(listed))
 

@@ -86,11 +86,13 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
         d = dedupe_dimension(d, "__lk_key")
     if bounded:
         d = bounded_broadcast(d)
-    joined = fact.join(d, fact[fact_key] == d["__lk_key"], "left").drop("__lk_key")
+    joined = fact.join(d, fact[fact_key] == d["__lk_key"], "left")
     val = F.col("__lk_val")
     if default is not None:
         val = F.coalesce(val, default if isinstance(default, Column) else F.lit(default))
-    return joined.withColumn(out or value, val).drop("__lk_val")
+    name = out or value
+    keep = [F.col(c) for c in fact.columns if c != name]
+    return joined.select(*keep, val.alias(name))
 
 
 def two_hop_lookup(fact: DataFrame, fact_user: str, users: DataFrame, user_key: str,

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.strings import clean_review, tokens, without_words
+from tessera.functions.strings import clean_review, not_in, sql_list, tokens, without_words
 from tessera.operators.dims import bounded_broadcast
 from tessera.operators.topk import top_k, top_k_per_group
 
@@ -52,25 +52,25 @@ def tokenize_reviews(cleaned: DataFrame, sep: str = " ") -> DataFrame:
     return out.filter(F.col("word").isNotNull())
 
 
-def _stop_side(stopwords: DataFrame, bounded: bool) -> DataFrame:
+def _stop_side(stopwords: DataFrame, bounded: bool, max_rows: int | None) -> DataFrame:
     stop = stopwords.select(F.col("stopword").alias("__stop")).filter(F.col("__stop").isNotNull())
-    return bounded_broadcast(stop, MAX_STOPWORDS) if bounded else stop
+    return bounded_broadcast(stop, max_rows) if bounded else stop
 
 
 def remove_stopwords(token_rows: DataFrame, stopwords: Stopwords, word_col: str = "word",
-                     bounded: bool = True) -> DataFrame:
+                     bounded: bool = True, max_rows: int | None = MAX_STOPWORDS) -> DataFrame:
     """Rows whose word is not a stopword (JN-7), as a left-anti join.
 
-    ``bounded=True`` treats the list as a word list of at most
-    ``MAX_STOPWORDS`` rows and broadcasts it once that count is checked;
-    otherwise (or beyond the bound) the planner decides from its size.  A NULL
-    stopword never removes anything (unlike ``NOT IN``).  A literal list is
-    applied as an ``IN``-set filter.
+    ``bounded=True`` treats the list as a word list of at most ``max_rows``
+    rows and broadcasts it once that count is checked (``max_rows=None``: the
+    size is known, e.g. the table was built from a literal list); otherwise
+    (or beyond the bound) the planner decides from its size.  A NULL stopword
+    never removes anything (unlike ``NOT IN``).  A literal list is applied as
+    an ``IN``-set filter.
     """
     if not isinstance(stopwords, DataFrame):
-        words = sorted(set(stopwords))
-        return token_rows.filter(~F.col(word_col).isin(words)) if words else token_rows
-    stop = _stop_side(stopwords, bounded)
+        return token_rows.filter(not_in(word_col, stopwords)) if stopwords else token_rows
+    stop = _stop_side(stopwords, bounded, max_rows)
     return token_rows.join(stop, token_rows[word_col] == stop["__stop"], "left_anti")
 
 
@@ -85,10 +85,9 @@ def tokens_of_cleaned_table(cleaned_table: DataFrame) -> DataFrame:
 
 
 def _has_word(stopwords: Sequence[str]) -> Column:
-    words = sorted(set(stopwords))
-    if not words:
+    if not stopwords:
         return F.size(WORDS) > 0
-    return F.size(F.array_except(F.col(WORDS), F.array(*[F.lit(w) for w in words]))) > 0
+    return F.expr(f"size(array_except(`{WORDS}`, array({sql_list(stopwords)}))) > 0")
 
 
 def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
@@ -109,7 +108,7 @@ def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
             F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__w"))
         per_row = per_row.select(*KEYS, F.array_join(F.col("__w.word"), ",").alias("__text"))
     else:
-        words = without_words(F.col(WORDS), stopwords)
+        words = without_words(WORDS, stopwords)
         per_row = token_rows.select(*KEYS, F.array_join(words, ",").alias("__text"))
     # Empty texts are dropped inside the aggregate (collect_list skips NULL)
     # and empty groups after it, so no filter on the text is pushed down.

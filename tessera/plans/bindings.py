@@ -179,7 +179,9 @@ def q_tokenize_reviews(spark, d):
 
 
 def q_remove_stopwords(spark, d):
-    return T.remove_stopwords(q_tokenize_reviews(spark, d), stopword_table(spark), bounded=True)
+    # the word table is built from the literal list: its size is known
+    return T.remove_stopwords(q_tokenize_reviews(spark, d), stopword_table(spark), bounded=True,
+                              max_rows=None)
 
 
 def q_rebuild_clean_text(spark, d):
