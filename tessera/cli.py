@@ -114,7 +114,7 @@ def run_reviews(spark: SparkSession, src: str, stopwords_path: str, out: str) ->
 
 def run_commerce(spark: SparkSession, src: str, out: str) -> None:
     def t(name: str, **kw) -> DataFrame:
-        return D.read_commerce_table(spark, os.path.join(src, f"{name}.csv"), **kw)
+        return D.read_commerce_table(spark, os.path.join(src, f"{name}.csv"), name, **kw)
 
     customers, items = t("Customer_List"), t("Order_Items")
     orders, reviews = t("Orders"), t("Order_Reviews", free_text=True)

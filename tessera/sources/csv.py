@@ -38,18 +38,19 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
 
 
 def read_header_inferred(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
-                         schema: StructType | None = None, sampling_ratio: float = 1.0,
+                         schema: StructType | str | None = None, sampling_ratio: float = 1.0,
                          multi_line: bool = False) -> DataFrame:
     """Header row + inferred types (SRC-10).
 
-    Inference costs an extra pass over the input; pass ``schema`` to skip it.
+    Inference costs an extra pass over the input; pass ``schema`` to skip it
+    (the header is then checked against the schema's column names).
     ``multi_line`` keeps quoted free text with line breaks in one row (the
     file is then read by one task).
     """
     reader = spark.read.options(sep=sep, header="true", multiLine=str(multi_line).lower(),
                                 quote='"', escape='"')
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        return reader.schema(schema).option("enforceSchema", "false").csv(path)
     return reader.options(inferSchema="true", samplingRatio=str(sampling_ratio)).csv(path)
 
 

@@ -21,6 +21,26 @@ from tessera.functions.strings import java_trim, split_tags, split_title_fields
 from tessera.sources.csv import read_delimited, read_header_inferred, read_quoted_multiline
 from tessera.sources.text import read_delimited_tolerant, read_wordlist
 
+# The commerce tables' columns and types as the reference
+# recorded them (Review_Score and Review_Creation_Date are text there).
+COMMERCE_SCHEMAS = {
+    "Customer_List": "Customer_Trx_ID string, Subscriber_ID string, Subscribe_Date date, "
+                     "First_Order_Date date, Customer_Postal_Code string, Customer_City string, "
+                     "Customer_Country string, Customer_Country_Code string, Age int, "
+                     "Gender string",
+    "Order_Items": "Order_ID string, Order_Item_ID int, Product_ID string, Seller_ID string, "
+                   "Shipping_Limit_Date timestamp, Price double, Freight_Value double",
+    "Order_Reviews": "Review_ID string, Order_ID string, Review_Score string, "
+                     "Review_Comment_Title_En string, Review_Comment_Message_En string, "
+                     "Review_Creation_Date string, Review_Answer_Timestamp timestamp",
+    "Orders": "Order_ID string, Customer_Trx_ID string, Order_Status string, "
+              "Order_Purchase_Timestamp timestamp, Order_Approved_At timestamp, "
+              "Order_Delivered_Carrier_Date timestamp, Order_Delivered_Customer_Date timestamp, "
+              "Order_Estimated_Delivery_Date timestamp",
+    "Products": "Product_ID string, Product_Category_Name string, Product_Weight_Gr int, "
+                "Product_Length_Cm int, Product_Height_Cm int, Product_Width_Cm int",
+}
+
 REVIEW_COLUMNS = ("id", "review", "aspect", "category", "sentiment")
 REVIEW_SCHEMA = StructType([StructField(c, StringType()) for c in REVIEW_COLUMNS])
 
@@ -77,9 +97,16 @@ def read_cleaned_reviews(spark: SparkSession, path: str | Sequence[str]) -> Data
     return read_delimited(spark, path, REVIEW_SCHEMA, sep=";", header=False)
 
 
-def read_commerce_table(spark: SparkSession, path: str | Sequence[str],
-                        schema: StructType | None = None, free_text: bool = False) -> DataFrame:
-    """A ``;`` CSV with a header; types inferred unless a schema is given.
-    ``free_text`` (e.g. review comments) reads quoted line breaks as part of
-    the field instead of starting broken rows."""
+def read_commerce_table(spark: SparkSession, path: str | Sequence[str], name: str | None = None,
+                        schema: StructType | str | None = None, infer: bool = False,
+                        free_text: bool = False) -> DataFrame:
+    """A ``;`` CSV with a header.
+
+    The declared schema of table ``name`` (:data:`COMMERCE_SCHEMAS`) is the
+    default - one pass over the file, and the header is checked against it;
+    ``infer=True`` (or an unknown name) infers types instead, which costs an
+    extra pass.  ``free_text`` (e.g. review comments) reads quoted line breaks
+    as part of the field instead of starting broken rows."""
+    if schema is None and not infer and name in COMMERCE_SCHEMAS:
+        schema = COMMERCE_SCHEMAS[name]
     return read_header_inferred(spark, path, sep=";", schema=schema, multi_line=free_text)

@@ -64,11 +64,25 @@ def test_reviews_family(spark):
 def test_commerce_family(spark):
     src, out = tempfile.mkdtemp(prefix="tessera-cli-"), tempfile.mkdtemp(prefix="tessera-out-")
     tables = {
-        "Customer_List": "Customer_Trx_ID;Subscriber_ID;Customer_Country\nc1;s1;DE\nc2;s2;FR\n",
-        "Orders": "Order_ID;Customer_Trx_ID;Order_Purchase_Timestamp\no1;c1;2023-12-01 10:00:00\n"
-                  "o2;c2;2023-11-01 10:00:00\n",
-        "Order_Items": "Order_ID;Order_Item_ID;Seller_ID;Price\no1;1;x;2.50\no2;1;x;1.25\n",
-        "Order_Reviews": 'Review_ID;Order_ID;Review_Score;Msg\nr1;o1;5;"a\nb"\nr2;o2;abc;"c"\n',
+        "Customer_List": (
+            "Customer_Trx_ID;Subscriber_ID;Subscribe_Date;First_Order_Date;Customer_Postal_Code;"
+            "Customer_City;Customer_Country;Customer_Country_Code;Age;Gender\n"
+            "c1;s1;2023-01-01;2023-02-01;10115;Berlin;DE;DE;30;F\n"
+            "c2;s2;2023-01-05;2023-03-01;75001;Paris;FR;FR;41;M\n"),
+        "Orders": (
+            "Order_ID;Customer_Trx_ID;Order_Status;Order_Purchase_Timestamp;Order_Approved_At;"
+            "Order_Delivered_Carrier_Date;Order_Delivered_Customer_Date;"
+            "Order_Estimated_Delivery_Date\n"
+            "o1;c1;delivered;2023-12-01 10:00:00;;;;\n"
+            "o2;c2;delivered;2023-11-01 10:00:00;;;;\n"),
+        "Order_Items": (
+            "Order_ID;Order_Item_ID;Product_ID;Seller_ID;Shipping_Limit_Date;Price;Freight_Value\n"
+            "o1;1;p1;x;2023-12-02 10:00:00;2.50;1.0\no2;1;p2;x;2023-11-02 10:00:00;1.25;1.0\n"),
+        "Order_Reviews": (
+            "Review_ID;Order_ID;Review_Score;Review_Comment_Title_En;Review_Comment_Message_En;"
+            "Review_Creation_Date;Review_Answer_Timestamp\n"
+            'r1;o1;5;t;"a\nb";2023-12-05;2023-12-06 10:00:00\n'
+            'r2;o2;abc;t;"c";2023-11-05;2023-11-06 10:00:00\n'),
     }
     for name, text in tables.items():
         _write(os.path.join(src, f"{name}.csv"), text)
@@ -79,3 +93,6 @@ def test_commerce_family(spark):
         "seller_id,total_revenue,order_count", "x,3.75,2"]
     assert _read(os.path.join(out, "score_distribution")) == ["score,total_reviews", "5.0,1"]
     assert os.path.isdir(os.path.join(out, "schema_Orders"))
+    # declared schema: the timestamp column is typed without an inference pass
+    assert any(ln.startswith("Order_Purchase_Timestamp,4,timestamp,")
+               for ln in _read(os.path.join(out, "schema_Orders")))

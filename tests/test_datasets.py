@@ -184,3 +184,21 @@ def test_commerce_files(spark):
     # s1 and s2 both earn 15.10; s1 has two orders, so it ranks first
     assert [tuple(r) for r in C.seller_ranking(items, 2).collect()] == [("s1", 15.1, 2),
                                                                        ("s2", 15.1, 1)]
+
+
+def test_declared_commerce_schema_checks_the_header(spark):
+    from tessera.sources.datasets import read_commerce_table
+
+    d = tempfile.mkdtemp(prefix="tessera-data-")
+    path = os.path.join(d, "Products.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("Product_ID;Product_Category_Name;Product_Weight_Gr;Product_Length_Cm;"
+                "Product_Height_Cm;Product_Width_Cm\np1;toys;100;10;5;3\n")
+    df = read_commerce_table(spark, path, "Products")
+    assert df.schema.simpleString().startswith("struct<Product_ID:string,")
+    assert tuple(df.first()) == ("p1", "toys", 100, 10, 5, 3)
+    bad = os.path.join(d, "bad.csv")
+    with open(bad, "w", encoding="utf-8") as f:
+        f.write("Wrong;Header\na;b\n")
+    with pytest.raises(Exception):
+        read_commerce_table(spark, bad, "Products").collect()
