@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.functions.timeparts import epoch_seconds
 from tessera.plans import bindings as B
@@ -50,10 +49,7 @@ def q_read_delimited_tolerant(spark: SparkSession, d: str) -> DataFrame:
     return read_delimited_tolerant(spark, path, ITEM_FIELDS, min_fields=3)
 
 
-DOC_SCHEMA = StructType([
-    StructField("doc_id", LongType()), StructField("text", StringType()),
-    StructField("lang", StringType()), StructField("source", StringType()),
-])
+DOC_SCHEMA = "doc_id bigint, text string, lang string, source string"
 
 
 def q_read_quoted_multiline(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +71,7 @@ def q_read_glob(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.year("l_shipdate") <= 1998, "ratings_1").otherwise("ratings_2").alias("src"))
     root = scratch_path(spark, "glob")
     write_delimited(li, root, sep=",", partition_by=["src"])
-    schema = StructType([StructField(n, _spark_type(t)) for n, t in RATING_FIELDS])
+    schema = ", ".join(f"{n} {t}" for n, t in RATING_FIELDS)
     df = read_glob(spark, f"{root}/src=ratings_*", schema, sep=",", source_col="source_file")
     return df.withColumn("source", F.regexp_extract("source_file", r"/src=(ratings_[^/]+)/", 1)) \
         .drop("source_file")
@@ -97,8 +93,3 @@ def q_format_report(spark: SparkSession, d: str) -> DataFrame:
                                    B.PRICE_EDGES, B.PRICE_BANDS_LEFT, digits=None)
     return age_lines(rows)
 
-
-def _spark_type(name: str):
-    from pyspark.sql.types import DoubleType, IntegerType
-    return {"bigint": LongType(), "int": IntegerType(), "double": DoubleType(),
-            "string": StringType()}[name]

@@ -12,7 +12,8 @@ from pyspark.sql.types import StructType
 _VERBATIM = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_quoted_multiline(spark: SparkSession, path: str | Sequence[str], schema: StructType,
+def read_quoted_multiline(spark: SparkSession, path: str | Sequence[str],
+                          schema: StructType | str,
                           sep: str = ";", header: bool = True) -> DataFrame:
     """Quoted CSV whose fields may hold the separator, doubled quotes and line
     breaks (SRC-7).
@@ -28,7 +29,7 @@ def read_quoted_multiline(spark: SparkSession, path: str | Sequence[str], schema
             .csv(path))
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType,
+def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | str,
                    sep: str = ";", header: bool = False) -> DataFrame:
     """Unquoted delimited text with a declared schema (SRC-8): empty -> NULL."""
     return (spark.read.schema(schema)
@@ -54,7 +55,7 @@ def read_header_inferred(spark: SparkSession, path: str | Sequence[str], sep: st
     return reader.options(inferSchema="true", samplingRatio=str(sampling_ratio)).csv(path)
 
 
-def read_glob(spark: SparkSession, pattern: str, schema: StructType, sep: str = ",",
+def read_glob(spark: SparkSession, pattern: str, schema: StructType | str, sep: str = ",",
               header: bool = False, source_col: str | None = "source_file") -> DataFrame:
     """Several files matched by a glob read as one table (SRC-6).
 
