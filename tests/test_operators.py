@@ -137,3 +137,24 @@ def test_bounded_broadcast_checks_the_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_spread_only_when_the_scan_is_narrow(spark):
+    from tessera.sources.tables import spread
+
+    narrow = spark.range(100).coalesce(1)
+    wide = spark.range(100).repartition(32)
+    assert spread(narrow, "id", min_tasks=8).rdd.getNumPartitions() == 8
+    assert spread(wide, "id", min_tasks=8) is wide      # already wide: untouched
+
+
+def test_schema_profile_counts_nulls_and_distincts(spark):
+    from tessera.operators.profile import entity_counts, schema_profile
+
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "b")], "k int, v string")
+    got = {r["column_name"]: (r["position"], r["data_type"], r["non_null"], r["n_distinct"])
+           for r in schema_profile(df).collect()}
+    assert got == {"k": (1, "int", 3, 2), "v": (2, "string", 3, 2)}
+    counts = dict(tuple(r) for r in entity_counts([("keys", df, "k"), ("values", df, "v")])
+                  .collect())
+    assert counts == {"keys": 2, "values": 2}
