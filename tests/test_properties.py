@@ -104,3 +104,49 @@ def test_segment_and_band_means(spark, ratings, users, items, dedupe):
     expect = sorted((k, titles[k], *[mean(band.get((k, lab), [])) for lab in labels])
                     for k in titles)
     assert sorted(tuple(x) for x in bw.collect()) == expect
+
+
+# ------------------------------------------------------------ text pipeline
+import re  # noqa: E402
+
+from tessera.operators import text as T  # noqa: E402
+
+STOP = ["và", "the", "of"]
+PIECES = ["và", "the", "of", "Phòng", "ĐẸP", "giá", "rẻ", "a", "B", '"', '""', ";", ",", ".",
+          "!", "(", ")", "[", "]", "+", "-", "*", "/", "?", ":", " ", "  ", "\n", "\r\n", "\t",
+          "x\ty", "É", "ệ"]
+review_st = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)
+reviews_st = st.lists(st.tuples(st.sampled_from(["1", "2", "3"]), review_st,
+                                st.sampled_from(["A", "B", None]), st.sampled_from(["C", "D"])),
+                      min_size=1, max_size=8)
+
+
+def _py_clean(s):
+    s = s.replace('""', " ")
+    s = re.sub(r'["\n\r,.!?:;()\[\]+\-*/]', " ", s)
+    return s.strip("".join(chr(i) for i in range(33))).lower()
+
+
+@SETTINGS
+@given(rows=reviews_st)
+def test_text_pipeline_matches_python(spark, rows):
+    df = spark.createDataFrame([(i, r, a, c, "positive") for i, r, a, c in rows],
+                               "id string, review string, aspect string, category string, "
+                               "sentiment string")
+    toks = T.review_tokens(T.clean_reviews(df))
+    cleaned = [(i, _py_clean(r), a, c) for i, r, a, c in rows]
+    got = sorted((r["id"], r["review"]) for r in T.clean_reviews(df).collect())
+    assert got == sorted((i, r) for i, r, _, _ in cleaned)
+    words = {}
+    table = {}
+    for i, r, a, c in cleaned:
+        kept = [w for w in r.split(" ") if w and w not in STOP]
+        if a is not None:
+            for w in kept:
+                words[w] = words.get(w, 0) + 1
+        if kept:
+            table.setdefault((i, a, c), []).append(",".join(kept))
+    assert dict((r["word"], r["freq"]) for r in T.word_count(toks, STOP).collect()) == words
+    rebuilt = {(r["id"], r["aspect"], r["category"]): r["review"]
+               for r in T.rebuild_clean_text(toks, STOP).collect()}
+    assert rebuilt == {k: ",".join(sorted(v)) for k, v in table.items()}
