@@ -150,3 +150,50 @@ def test_text_pipeline_matches_python(spark, rows):
     rebuilt = {(r["id"], r["aspect"], r["category"]): r["review"]
                for r in T.rebuild_clean_text(toks, STOP).collect()}
     assert rebuilt == {k: ",".join(sorted(v)) for k, v in table.items()}
+
+
+# --------------------------------------------------------------- commerce
+from decimal import Decimal  # noqa: E402
+
+from tessera.plans import commerce as C  # noqa: E402
+
+items_st_c = st.lists(st.tuples(st.sampled_from(["s1", "s2", "s3", "s4"]),
+                                st.sampled_from(["o1", "o2", "o3", "o4", "o5"]),
+                                st.sampled_from([0.0, 1.25, 2.5, 10.1, 15.1, 0.05])),
+                      min_size=1, max_size=25)
+scores_st = st.lists(st.sampled_from(["1", "2", "3", "4", "5", "4.0", "0", "6", "abc", "", None,
+                                      " 5", "5.5", "1e0"]), min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(rows=items_st_c, k=st.integers(1, 4))
+def test_seller_ranking(spark, rows, k):
+    df = spark.createDataFrame(rows, "seller_id string, order_id string, price double")
+    rev, orders = {}, {}
+    for s, o, p in rows:
+        rev[s] = rev.get(s, Decimal(0)) + Decimal(str(p)).quantize(Decimal("0.01"))
+        orders.setdefault(s, set()).add(o)
+    ranked = sorted(rev, key=lambda s: (-rev[s], -len(orders[s]), s))[:k]
+    expect = [(s, float(rev[s]), len(orders[s])) for s in ranked]
+    assert [tuple(r) for r in C.seller_ranking(df, k).collect()] == expect
+
+
+@SETTINGS
+@given(scores=scores_st)
+def test_valid_scores(spark, scores):
+    df = spark.createDataFrame([(s,) for s in scores], "score string")
+
+    def parse(s):
+        try:
+            return float(s)
+        except (TypeError, ValueError):
+            return None
+    valid = [v for v in map(parse, scores) if v is not None and 1 <= v <= 5]
+    hist = sorted({v: valid.count(v) for v in valid}.items())
+    assert [tuple(r) for r in C.score_distribution(df).collect()] == hist
+    mean = C.average_valid_score(df, digits=None).first()
+    assert mean["n_valid"] == len(valid)
+    if valid:
+        assert abs(mean["avg_score"] - sum(valid) / len(valid)) < 1e-12
+    else:
+        assert mean["avg_score"] is None
