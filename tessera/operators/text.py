@@ -99,14 +99,19 @@ def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
     The grouping shuffles the cleaned text once - it is the output.
     """
     if isinstance(stopwords, DataFrame):
-        # the row id is assigned before the explode, once per review row
-        numbered = token_rows.select(*KEYS, WORDS, F.monotonically_increasing_id().alias("__row"))
-        toks = numbered.select(*KEYS, "__row", F.posexplode_outer(WORDS).alias("__pos", "word"))
+        # Rows are identified by their content (key + token array) with a
+        # multiplicity, which is deterministic under task retries (a row id
+        # taken after a shuffle would not be).
+        rows = token_rows.groupBy(*KEYS, WORDS).agg(F.count(F.lit(1)).alias("__n"))
+        toks = rows.select(*KEYS, WORDS, "__n",
+                           F.posexplode_outer(WORDS).alias("__pos", "word"))
         kept = remove_stopwords(toks.filter(F.col("word").isNotNull()), stopwords,
                                 bounded=bounded)
-        per_row = kept.groupBy(*KEYS, "__row").agg(
+        per_row = kept.groupBy(*KEYS, WORDS, "__n").agg(
             F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__w"))
-        per_row = per_row.select(*KEYS, F.array_join(F.col("__w.word"), ",").alias("__text"))
+        text = F.array_join(F.col("__w.word"), ",")
+        per_row = per_row.select(
+            *KEYS, F.explode(F.array_repeat(text, F.col("__n").cast("int"))).alias("__text"))
     else:
         words = without_words(WORDS, stopwords)
         per_row = token_rows.select(*KEYS, F.array_join(words, ",").alias("__text"))

@@ -22,6 +22,7 @@ REVIEWS = [
     ("5", "!!! ... ;;; ()", "PRICES", "HOTEL", "negative"),             # only punctuation
     ("6", "Giá\tcao, phục vụ CHẬM\r\nkhông tốt", "PRICES", "SERVICE", "negative"),
     ("6", "giá cao quá", "PRICES", "SERVICE", "negative"),              # same key twice
+    ("6", "giá cao quá", "PRICES", "SERVICE", "negative"),              # an exact copy
     ("7", "ĐẸP và SẠCH", "COMFORT", "ROOMS", None),                     # NULL sentiment
     ("8", "sạch sẽ, đẹp", None, "ROOMS", "positive"),                   # NULL aspect
     ("9", "sạch đẹp rẻ", "COMFORT", None, "positive"),                  # NULL category
@@ -95,7 +96,8 @@ def test_rebuild_clean_text(spark, token_rows, as_table):
     assert got == py_cleaned_table()
     assert ("4", "SERVICE", "HOTEL", "positive") not in got      # only stopwords: gone
     # two rows with one key merge, ordered by their text ("\t" sorts before ",")
-    assert got[("6", "PRICES", "SERVICE", "negative")] == "giá\tcao,phục,vụ,chậm,không,tốt,giá,cao,quá"
+    assert got[("6", "PRICES", "SERVICE", "negative")] == (
+        "giá\tcao,phục,vụ,chậm,không,tốt,giá,cao,quá,giá,cao,quá")
 
 
 def py_table_rows():
