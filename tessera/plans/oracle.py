@@ -59,9 +59,10 @@ def _cat_top(sentiment: str | None) -> str:
     src = WORD_ROWS if sentiment is None else WORD_ROWS_SENT
     return (f"SELECT category, word, freq FROM (SELECT category, word, freq, row_number() OVER "
             f"(PARTITION BY category ORDER BY freq DESC, word ASC) AS rn FROM "
-            f"(SELECT category, word, count(*) AS freq FROM (SELECT category, unnest(words) AS word "
-            f"FROM {src} WHERE words IS NOT NULL AND category IS NOT NULL{filt}) GROUP BY category, word)) "
-            f"WHERE rn <= {B.TOP_WORDS_K}")
+            f"(SELECT category, word, count(*) AS freq FROM "
+            f"(SELECT category, unnest(words) AS word FROM {src} "
+            f"WHERE words IS NOT NULL AND category IS NOT NULL{filt}) "
+            f"GROUP BY category, word)) WHERE rn <= {B.TOP_WORDS_K}")
 
 
 def _seg_cols(labels, names, value="segment") -> tuple[str, str]:
@@ -109,7 +110,8 @@ SQL: dict[str, str] = {
         f"FROM r ORDER BY m DESC, item_id LIMIT 1)"),
     "tag_avg_score": (
         f"SELECT tag, round(sum(s) / sum(n), 4) AS avg_score, CAST(sum(n) AS BIGINT) AS n_scores "
-        f"FROM (SELECT st.s, st.n, unnest(list_filter(string_split(i.title, ' '), lambda x: x <> '')) "
+        f"FROM (SELECT st.s, st.n, "
+        f"unnest(list_filter(string_split(i.title, ' '), lambda x: x <> '')) "
         f"AS tag FROM {ITEM_STATS} st JOIN {ITEMS} i USING (item_id)) GROUP BY tag"),
     "tag_avg_score_default": (
         f"SELECT tag, round(sum(s) / sum(n), 4) AS avg_score, CAST(sum(n) AS BIGINT) AS n_scores "
@@ -153,7 +155,8 @@ SQL: dict[str, str] = {
     "rebuild_clean_text": (
         f"SELECT id, string_agg(t, ',' ORDER BY t) AS review, aspect, category, sentiment FROM "
         f"(SELECT w.id, w.aspect, w.category, w.sentiment, array_to_string(w.words, ',') AS t "
-        f"FROM {WORD_ROWS_SENT} w WHERE len(w.words) > 0) GROUP BY id, aspect, category, sentiment"),
+        f"FROM {WORD_ROWS_SENT} w WHERE len(w.words) > 0) "
+        f"GROUP BY id, aspect, category, sentiment"),
     "word_count": (
         f"SELECT word, count(*) AS freq FROM (SELECT unnest(words) AS word FROM {WORD_ROWS} "
         f"WHERE words IS NOT NULL AND category IS NOT NULL AND aspect IS NOT NULL) GROUP BY word"),
@@ -229,7 +232,8 @@ SQL: dict[str, str] = {
         "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, "
         "c_mktsegment FROM customer"),
     "format_report": (
-        f"SELECT st.item_id, st.band, printf('{_REPORT_FMT}', CAST(st.item_id AS VARCHAR), st.band, "
+        f"SELECT st.item_id, st.band, "
+        f"printf('{_REPORT_FMT}', CAST(st.item_id AS VARCHAR), st.band, "
         f"st.s / st.n, coalesce(i.title, 'Unknown')) AS line "
         f"FROM (SELECT item_id, {_BAND_LEFT} AS band, sum(score) AS s, count(score) AS n "
         f"FROM {RATED} GROUP BY ALL) st LEFT JOIN {SMALL_ITEMS} i USING (item_id)"),
