@@ -71,3 +71,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+
+
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3,
+               target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` on
+    ``total_cores`` cores.
+
+    * initial shuffle partitions: enough for ~``target_partition_bytes`` of
+      shuffle data each (the shuffle is taken as ``shuffle_fraction`` of the
+      input after pruning and partial aggregation), at least two waves of
+      tasks; AQE then coalesces small ones and splits skewed ones;
+    * scan splits of 128 MB;
+    * AQE with skew-join splitting and partition coalescing on.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    partitions = -(-partitions // total_cores) * total_cores      # whole waves
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(128 * MB),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str], only_unset: bool = True) -> dict:
+    """Set SQL settings on a running session; by default only those not set
+    explicitly in the cluster's configuration (spark-defaults / --conf).
+    Returns what was set."""
+    explicit = spark.sparkContext.getConf()
+    done = {}
+    for key, value in conf.items():
+        if only_unset and explicit.contains(key):
+            continue
+        spark.conf.set(key, value)
+        done[key] = value
+    return done

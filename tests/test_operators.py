@@ -158,3 +158,15 @@ def test_schema_profile_counts_nulls_and_distincts(spark):
     counts = dict(tuple(r) for r in entity_counts([("keys", df, "k"), ("values", df, "v")])
                   .collect())
     assert counts == {"keys": 2, "values": 2}
+
+
+def test_scale_conf_for_100_tb():
+    from tessera.session import scale_conf
+
+    conf = scale_conf(100 * 1024 ** 4, total_cores=8000)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    # 30 TB of shuffle at 256 MB per partition, rounded up to whole waves
+    assert parts % 8000 == 0 and 30 * 1024 ** 4 / parts <= 256 * 1024 ** 2
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = scale_conf(10 * 1024 ** 2, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"      # two waves minimum
