@@ -29,7 +29,7 @@ from tessera.plans import commerce as C
 from tessera.plans import ratings as R
 from tessera.plans import reports as RP
 from tessera.sources import datasets as D
-from tessera.sources.writers import write_delimited, write_report
+from tessera.sources.writers import materialize, write_delimited, write_report
 
 BAND_COLUMNS = ("band_0_18", "band_18_35", "band_35_50", "band_50_plus")
 TOP_K = 5
@@ -42,10 +42,14 @@ def _lines(df: DataFrame, path: str, order: list, single_file: bool) -> None:
 
 
 def run_ratings(spark: SparkSession, src: str, out: str, min_support: int) -> None:
-    ratings = D.read_ratings(spark, os.path.join(src, "ratings_*.txt"))
-    movies = D.read_movies(spark, os.path.join(src, "movies.txt"))
-    users = D.read_users(spark, os.path.join(src, "users.txt"))
-    occupations = D.read_occupations(spark, os.path.join(src, "occupation.txt"))
+    # every input feeds several reports: parse the text once into parquet
+    ratings = materialize(D.read_ratings(spark, os.path.join(src, "ratings_*.txt")), spark,
+                          "cli-ratings")
+    movies = materialize(D.read_movies(spark, os.path.join(src, "movies.txt")), spark,
+                         "cli-movies")
+    users = materialize(D.read_users(spark, os.path.join(src, "users.txt")), spark, "cli-users")
+    occupations = materialize(D.read_occupations(spark, os.path.join(src, "occupation.txt")),
+                              spark, "cli-occupations")
     o = lambda name: os.path.join(out, name)
 
     means = R.item_avg_score(ratings, movies, digits=None)
@@ -114,7 +118,9 @@ def run_reviews(spark: SparkSession, src: str, stopwords_path: str, out: str) ->
 
 def run_commerce(spark: SparkSession, src: str, out: str) -> None:
     def t(name: str, **kw) -> DataFrame:
-        return D.read_commerce_table(spark, os.path.join(src, f"{name}.csv"), name, **kw)
+        # each table feeds several results: parse the CSV once into parquet
+        table = D.read_commerce_table(spark, os.path.join(src, f"{name}.csv"), name, **kw)
+        return materialize(table, spark, f"cli-{name}")
 
     customers, items = t("Customer_List"), t("Order_Items")
     orders, reviews = t("Orders"), t("Order_Reviews", free_text=True)
