@@ -10,8 +10,12 @@ partitioning instead of shuffling the dimension a second time.
 Broadcasting is left to the planner (``autoBroadcastJoinThreshold`` at plan
 time, AQE at run time): both check the side's size and fall back to a
 sort-merge join beyond it, which is what a dimension that grows with the data
-needs.  Only sides whose size is fixed by construction are hinted (see
-:func:`bounded_broadcast`).
+needs.  Only small fixed-size tables are hinted, and only after their row
+count is checked (:func:`bounded_broadcast`).
+
+The de-duplicating aggregate sits between the exchange and the join, which
+keeps AQE from splitting a skewed partition of that join; lookups are
+therefore joined to facts already reduced to one row per key.
 """
 
 from __future__ import annotations
