@@ -60,6 +60,9 @@ QUERIES: dict[str, QueryFn] = {
     "read_glob": I.q_read_glob,
     "read_header_inferred": I.q_read_header_inferred,
     "format_report": I.q_format_report,
+    # further reader/sink operators of the inventory
+    "malformed_count": I.q_malformed_count,
+    "key_value_hand_over": I.q_key_value_hand_over,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL", "QueryFn"]

@@ -18,8 +18,8 @@ from tessera.plans.reports import age_lines
 from tessera.session import scratch_path
 from tessera.sources.csv import read_glob, read_header_inferred, read_quoted_multiline
 from tessera.sources.tables import load
-from tessera.sources.text import read_delimited_tolerant
-from tessera.sources.writers import write_delimited
+from tessera.sources.text import malformed_count, read_delimited_tolerant
+from tessera.sources.writers import write_delimited, write_key_value_text
 
 # Malformed lines mixed into the tolerant reader's input
 # (blank, whitespace only, too short, trailing empty field, non-numeric
@@ -39,14 +39,37 @@ RATING_FIELDS = (("user_id", "bigint"), ("item_id", "bigint"), ("line", "int"),
                  ("score", "double"), ("epoch", "bigint"))
 
 
-def q_read_delimited_tolerant(spark: SparkSession, d: str) -> DataFrame:
-    """#34 ``part`` as headerless ``id,name,size`` lines plus malformed lines."""
+def _part_lines(spark: SparkSession, d: str) -> str:
+    """``part`` written as headerless ``id,name,size`` lines plus the
+    malformed lines; returns the folder."""
     part = load(spark, d, "part")
     lines = part.select(F.concat_ws(",", "p_partkey", "p_name", "p_size").alias("value"))
     bad = spark.createDataFrame([(s,) for s in MALFORMED_LINES], "value string")
     path = scratch_path(spark, "tolerant")
     lines.unionByName(bad).write.text(path)
-    return read_delimited_tolerant(spark, path, ITEM_FIELDS, min_fields=3)
+    return path
+
+
+def q_read_delimited_tolerant(spark: SparkSession, d: str) -> DataFrame:
+    """#34 ``part`` as headerless ``id,name,size`` lines plus malformed lines."""
+    return read_delimited_tolerant(spark, _part_lines(spark, d), ITEM_FIELDS, min_fields=3)
+
+
+def q_malformed_count(spark: SparkSession, d: str) -> DataFrame:
+    """How many lines of the #34 input the tolerant reader keeps and skips
+    (FLT-1..3; bad ratings are skipped with a count available)."""
+    return malformed_count(spark, _part_lines(spark, d), ITEM_FIELDS, min_fields=3)
+
+
+def q_key_value_hand_over(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-1 -> SRC-4: the per-item rating counts of #1 written as
+    ``item<TAB>count`` part files and read back by the tab-separated reader,
+    like one chained job handing its output to the next."""
+    counts = R.item_avg_score(B.ratings(spark, d), B.items(spark, d))
+    path = scratch_path(spark, "keyvalue")
+    write_key_value_text(counts, "item_id", "n_scores", path)
+    return read_delimited_tolerant(spark, path, [("item_id", "bigint"), ("n_scores", "bigint")],
+                                   min_fields=2, sep="\t")
 
 
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string"

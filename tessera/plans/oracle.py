@@ -10,6 +10,7 @@ from __future__ import annotations
 from tessera.functions.bands import band_sql
 from tessera.plans.reports import AGE_LINE
 from tessera.plans import bindings as B
+from tessera.plans.ingest import MALFORMED_LINES
 
 _Q = "'"
 
@@ -223,6 +224,13 @@ SQL: dict[str, str] = {
     "read_delimited_tolerant": (
         "SELECT p_partkey AS item_id, p_name AS title, p_size AS size FROM part"),
     "read_quoted_multiline": "SELECT doc_id, text, lang, source FROM documents",
+    # every injected line is malformed; every part line parses
+    "malformed_count": (
+        f"SELECT count(*) AS kept, CAST({len(MALFORMED_LINES)} AS BIGINT) AS malformed "
+        f"FROM part"),
+    "key_value_hand_over": (
+        f"SELECT st.item_id, st.n AS n_scores FROM {ITEM_STATS} st JOIN {ITEMS} i "
+        f"USING (item_id)"),
     "read_glob": (
         "SELECT l_orderkey AS user_id, l_partkey AS item_id, l_linenumber AS line, "
         "l_quantity AS score, CAST(epoch(l_shipdate) AS BIGINT) AS epoch, "
