@@ -63,6 +63,7 @@ QUERIES: dict[str, QueryFn] = {
     # further reader/sink operators of the inventory
     "malformed_count": I.q_malformed_count,
     "key_value_hand_over": I.q_key_value_hand_over,
+    "cleaned_table_hand_over": I.q_cleaned_table_hand_over,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL", "QueryFn"]

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.timeparts import epoch_seconds
+from tessera.operators import text as T
 from tessera.plans import bindings as B
 from tessera.plans import ratings as R
 from tessera.plans.reports import age_lines
 from tessera.session import scratch_path
 from tessera.sources.csv import read_glob, read_header_inferred, read_quoted_multiline
+from tessera.sources.datasets import read_cleaned_reviews
 from tessera.sources.tables import load
 from tessera.sources.text import malformed_count, read_delimited_tolerant
 from tessera.sources.writers import write_delimited, write_key_value_text
@@ -61,6 +63,17 @@ def q_malformed_count(spark: SparkSession, d: str) -> DataFrame:
     return malformed_count(spark, _part_lines(spark, d), ITEM_FIELDS, min_fields=3)
 
 
+def q_cleaned_table_hand_over(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-3 -> SRC-8: the cleaned review table of #16 stored as ``;`` text
+    (no header, no quoting) and read back, then counted per word the way the
+    downstream text jobs read it - the same answer as #17."""
+    table = B.q_rebuild_clean_text(spark, d)
+    path = scratch_path(spark, "cleaned")
+    write_delimited(table, path, sep=";")
+    stored = T.tokens_of_cleaned_table(read_cleaned_reviews(spark, path))
+    return T.word_count(stored, [])
+
+
 def q_key_value_hand_over(spark: SparkSession, d: str) -> DataFrame:
     """SNK-1 -> SRC-4: the per-item rating counts of #1 written as
     ``item<TAB>count`` part files and read back by the tab-separated reader,

@@ -246,3 +246,5 @@ SQL: dict[str, str] = {
         f"FROM (SELECT item_id, {_BAND_LEFT} AS band, sum(score) AS s, count(score) AS n "
         f"FROM {RATED} GROUP BY ALL) st LEFT JOIN {SMALL_ITEMS} i USING (item_id)"),
 }
+# the stored cleaned table gives the same word counts as the in-plan pipeline
+SQL["cleaned_table_hand_over"] = SQL["word_count"]
