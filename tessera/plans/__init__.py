@@ -64,6 +64,7 @@ QUERIES: dict[str, QueryFn] = {
     "malformed_count": I.q_malformed_count,
     "key_value_hand_over": I.q_key_value_hand_over,
     "cleaned_table_hand_over": I.q_cleaned_table_hand_over,
+    "streaming_word_count": I.q_streaming_word_count,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL", "QueryFn"]

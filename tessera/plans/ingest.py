@@ -18,7 +18,8 @@ from tessera.plans import ratings as R
 from tessera.plans.reports import age_lines
 from tessera.session import scratch_path
 from tessera.sources.csv import read_glob, read_header_inferred, read_quoted_multiline
-from tessera.sources.datasets import read_cleaned_reviews
+from tessera.sources.datasets import REVIEW_SCHEMA, read_cleaned_reviews
+from tessera.streaming import start_word_count
 from tessera.sources.tables import load
 from tessera.sources.text import malformed_count, read_delimited_tolerant
 from tessera.sources.writers import write_delimited, write_key_value_text
@@ -74,6 +75,20 @@ def q_cleaned_table_hand_over(spark: SparkSession, d: str) -> DataFrame:
     return T.word_count(stored, [])
 
 
+def q_streaming_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """The documents written as review CSV files (several part files) and
+    counted per word by the incremental Structured Streaming job, run until
+    all files are processed; the published table equals #17."""
+    base = B.review_base(spark, d).withColumn("sentiment", F.lit(None).cast("string"))
+    src = scratch_path(spark, "stream-src")
+    write_delimited(base, src, sep=";", header=True, quoted=True)
+    table = scratch_path(spark, "stream-table")
+    query = start_word_count(spark, src, REVIEW_SCHEMA, B.STOPWORDS, table,
+                             checkpoint=scratch_path(spark, "stream-ckpt"))
+    query.awaitTermination()
+    return spark.read.parquet(table)
+
+
 def q_key_value_hand_over(spark: SparkSession, d: str) -> DataFrame:
     """SNK-1 -> SRC-4: the per-item rating counts of #1 written as
     ``item<TAB>count`` part files and read back by the tab-separated reader,

@@ -248,3 +248,5 @@ SQL: dict[str, str] = {
 }
 # the stored cleaned table gives the same word counts as the in-plan pipeline
 SQL["cleaned_table_hand_over"] = SQL["word_count"]
+# so does the incremental (Structured Streaming) word count over review files
+SQL["streaming_word_count"] = SQL["word_count"]
