@@ -197,3 +197,30 @@ def test_valid_scores(spark, scores):
         assert abs(mean["avg_score"] - sum(valid) / len(valid)) < 1e-12
     else:
         assert mean["avg_score"] is None
+
+
+# ------------------------------------------------------------ two-hop labels
+hop_users_st = st.lists(st.tuples(st.sampled_from(USERS), st.sampled_from(["c1", "c2", "c9"])),
+                        max_size=8)
+hop_codes_st = st.lists(st.tuples(st.sampled_from(["c1", "c2", "c3"]),
+                                  st.sampled_from(["writer", "artist", "nurse"])), max_size=5)
+
+
+@SETTINGS
+@given(ratings=ratings_st, users=hop_users_st, codes=hop_codes_st)
+def test_two_hop_labels(spark, ratings, users, codes):
+    r = spark.createDataFrame(ratings, "user_id string, item_id string, score double")
+    u = spark.createDataFrame(users, "user_id string, code string")
+    c = spark.createDataFrame(codes, "code string, name string")
+    user_code = {k: min(v for kk, v in users if kk == k) for k, _ in users}   # one per user
+    code_name = {k: min(v for kk, v in codes if kk == k) for k, _ in codes}   # one per code
+    acc = {}
+    for user, _, s in ratings:
+        if user not in user_code:
+            label = "Unknown"
+        else:
+            label = code_name.get(user_code[user], user_code[user])
+        acc.setdefault(label, []).append(s)
+    expect = sorted((k, round(sum(v) / len(v), 4), len(v)) for k, v in acc.items())
+    got = sorted(tuple(x) for x in R.avg_score_by_two_hop_label(r, u, c).collect())
+    assert got == expect
