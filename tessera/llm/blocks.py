@@ -34,9 +34,10 @@ _BASE_BYTES = U64(0x9E3779B97F4A7C15)
 _BASE_WORDS = U64(0xD1342543DE82EF95)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of few rows: the texts of a batch are in memory at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded size: the texts of a batch are in memory at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
 def bound_tables(df: DataFrame, *columns: str) -> DataFrame:

@@ -28,7 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.blocks import (U64, bound_tables, bounded_batches, joined, slices_of, words_of,
@@ -240,3 +240,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     named = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """Rows of ``docs`` (all its columns), one of each group: that of the smallest
+    doc_id; of several rows of that id, one.  Rows without an id all stay.
+
+    Groups are settled on ids and fingerprints; the texts are shuffled once, by
+    their own id.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    found = near_duplicates(named, words, radius)
+    keep = found.where("doc_id = component_id").select("doc_id").distinct()
+    own = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    kept = (named.join(keep, "doc_id", "left_semi").withColumn("_row", F.row_number().over(own))
+            .where("_row = 1").select(*docs.columns))
+    return kept.unionByName(docs.where("doc_id IS NULL"))
