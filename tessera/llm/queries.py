@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.decontam import leaks
+from tessera.llm.html_text import main_texts
 from tessera.llm.line_quality import line_quality
 from tessera.llm.oracle import SQL
 from tessera.llm.pieces import encode_and_check
 from tessera.llm.pii import personal_data
+from tessera.llm.ppm import scores
 from tessera.llm.repeats import repeat_spans
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_count import token_counts
@@ -17,6 +19,10 @@ from tessera.llm.toxicity import toxicity
 from tessera.sources.tables import load
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(load(spark, sf_dir, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -26,6 +32,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(load(spark, sf_dir, "documents"))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_check(load(spark, sf_dir, "documents"),
                             public_tokenizers.path("piece_bpe_32k.model"))
@@ -52,6 +62,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontamination, op3_token_counts, op5_pieces, op6_simhash, op7_line_quality,
-    op8_personal_data, op9_repeats, op10_toxicity)}
+    op1_html_text, op2_decontamination, op3_token_counts, op4_ppm_scores, op5_pieces, op6_simhash,
+    op7_line_quality, op8_personal_data, op9_repeats, op10_toxicity)}
 ORACLE_SQL = dict(SQL)
