@@ -1,6 +1,6 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes.
 
-The model is a trie of byte contexts of up to ``ORDER`` = 4 bytes, learned from
+The model is a trie of byte contexts of up to ``ORDER`` = 5 bytes, learned from
 the training documents and kept as tables: the count of every (context, next
 byte), and below it those of its suffixes.  The probability of a byte comes
 from the longest context that has seen it; each longer one is left by an
@@ -38,9 +38,9 @@ from tessera.llm.blocks import (LOWER, bounded_batches, pack, row_slices, span_h
                                 words_of)
 from tessera.sources.writers import materialize
 
-ORDER = 4
+ORDER = 5
 END = 0xFF
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 HELD_OUT = (7, 2)      # crc32(doc_id as text) mod 7 = 2
 _WORD, _BYTES = 0, 1
 #: the end of a text as a word: the hash of no bytes at all
