@@ -10,12 +10,14 @@ Beyond the empty context the bytes not seen are alike.  Texts have A-Z
 lower-cased and end with a symbol of their own (0xFF, which UTF-8 never uses),
 which also stands for what is before a text.
 
-Everything that grows with the corpus is aggregated and joined as tables.
+Everything that grows with the corpus is shuffled and aggregated by Spark.
 Documents are packed into chunks of bounded size; each chunk asks for its
-distinct words and byte strings with their counts in its training rows, Spark
-sums them, computes the log probability of each byte string from joins of the
-context tables, and the chunk gets back the answers to its own questions only.
-Words are told apart by 64-bit hashes.
+distinct words and byte strings with their counts in its training rows.  Words
+are summed in parts of even size by their hash (64 bits tell words apart).
+Byte strings are summed, and those whose context ends in the same two bytes
+meet to have their log probabilities computed, which needs no others but the
+at most 65,536 two-byte strings.  A chunk gets back one value for each of its
+own questions, in their order, so no answer repeats its key.
 
 The base score is that of single words with one added to every count.
 
@@ -31,17 +33,18 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import (LOWER, bounded_batches, pack, row_slices, span_hash, unpack,
-                                words_of)
+from tessera.llm.blocks import (LOWER, U64, bounded_batches, mix, pack, row_slices, span_hash,
+                                unpack, words_of)
 from tessera.sources.writers import materialize
 
 ORDER = 5
 END = 0xFF
 CHUNK_BYTES = 16 << 20
 HELD_OUT = (7, 2)      # crc32(doc_id as text) mod 7 = 2
+PART_ROWS = 1_000_000
 _WORD, _BYTES = 0, 1
 #: the end of a text as a word: the hash of no bytes at all
 _END_WORD = span_hash(np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64))
@@ -79,87 +82,164 @@ def _sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[begin], np.add.reduceat(n[order], begin)
 
 
-def _parts(ids: bytes, offs: bytes, data: bytes):
-    """Slices of a chunk: (doc ids, words' rows, words' hashes, bytes' rows, codes)."""
+def _parts(ids: bytes, offs: bytes, data: bytes, kinds=(_WORD, _BYTES)):
+    """Slices of a chunk: doc ids, and (rows, keys) of each kind asked for."""
     keys, buf, off = unpack(ids, offs, data)
     for lo, hi in row_slices(off):
         low, own = LOWER[buf[off[lo]:off[hi]]], off[lo:hi + 1] - off[lo]
-        w = words_of(low, own)
-        ends = np.arange(hi - lo)
-        yield (keys[lo:hi], np.concatenate((w.row_of(), ends)),
-               np.concatenate((span_hash(w.buf, w.start, w.end),
-                               np.repeat(_END_WORD, hi - lo))).view(np.int64),
-               *byte_strings(low, own))
+        found = {}
+        if _WORD in kinds:
+            w = words_of(low, own)
+            found[_WORD] = (np.concatenate((w.row_of(), np.arange(hi - lo))),
+                            np.concatenate((span_hash(w.buf, w.start, w.end),
+                                            np.repeat(_END_WORD, hi - lo))).view(np.int64))
+        if _BYTES in kinds:
+            found[_BYTES] = byte_strings(low, own)
+        yield keys[lo:hi], found
 
 
-def _questions(packed: DataFrame) -> DataFrame:
-    """(chunk, kind, key, n): the distinct words and byte strings of each chunk,
-    with their number in its training rows."""
+def _part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(key.view(U64) + U64(1)) % U64(parts)).astype(np.int32)
+
+
+def _distinct(ids: bytes, offs: bytes, data: bytes, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a chunk, ascending, with their number in its training rows."""
+    held = []
+    for docs, found in _parts(ids, offs, data, (kind,)):
+        train = np.array([not is_held_out(i) for i in docs], np.int64)
+        row, key = found[kind]
+        held.append(_sums(key, train[row]))
+        if len(held) == 8:
+            held = [_sums(*(np.concatenate(x) for x in zip(*held)))]
+    return _sums(*(np.concatenate(x) for x in zip(*held)))
+
+
+def _questions(packed: DataFrame, kind: int, parts: int) -> DataFrame:
+    """(part, chunk, key, n): the distinct keys of one kind of every chunk."""
     def run(batches):
         for batch in batches:
-            for chunk, *parts in zip(*(c.to_pylist() for c in batch.columns)):
-                held: dict[int, list] = {_WORD: [], _BYTES: []}
-                for ids, word_row, word, row, code in _parts(*parts):
-                    train = np.array([not is_held_out(i) for i in ids], np.int64)
-                    held[_WORD].append(_sums(word, train[word_row]))
-                    held[_BYTES].append(_sums(code, train[row]))
-                for kind, sums in held.items():
-                    if sums:
-                        key, n = _sums(*(np.concatenate(x) for x in zip(*sums)))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(key), chunk)), pa.array(np.full(len(key), kind, np.int32)),
-                             pa.array(key), pa.array(n)], names=["chunk", "kind", "key", "n"])
-    return packed.mapInArrow(run, "chunk bigint, kind int, key bigint, n bigint")
-
-
-def _suffix(col: Column, size: int) -> Column:
-    """The last ``size`` bytes of a code."""
-    return col.bitwiseAND(F.lit((1 << (8 * size)) - 1).cast("long"))
-
-
-def byte_scores(strings: DataFrame) -> DataFrame:
-    """(key, score): log10 probability of each byte string's last byte after the
-    others, from the counts ``n`` of all strings (0 for those not in training)."""
-    count = {ORDER: strings.where("n > 0").select(F.col("key").alias("g"), F.col("n").alias("c"))}
-    for k in range(ORDER - 1, -1, -1):
-        count[k] = (count[k + 1].groupBy(_suffix(F.col("g"), k + 1).alias("g"))
-                    .agg(F.sum("c").alias("c")))
-    context = {k: count[k].groupBy(F.shiftright("g", 8).alias("x"))
-               .agg(F.sum("c").alias(f"n{k}"), F.count("*").alias(f"t{k}"))
-               for k in range(ORDER + 1)}
-    for k in range(ORDER):
-        # what each longer context has seen, as counts of the next shorter one
-        seen = (count[k + 1].select(F.col("g").alias("long"), _suffix(F.col("g"), k + 1).alias("g"))
-                .join(count[k], "g").groupBy(F.shiftright("long", 8).alias("x"))
-                .agg(F.sum("c").alias(f"w{k}")))
-        context[k + 1] = context[k + 1].join(seen, "x")
-    whole = context[0].first()
-    n0, t0 = (whole["n0"], whole["t0"]) if whole else (0, 0)
-
-    rows = strings.select("key", F.col("n").alias(f"c{ORDER}"), F.shiftright("key", 8).alias("x"))
-    for k in range(ORDER - 1, -1, -1):
-        rows = rows.withColumn("g", _suffix(F.col("key"), k + 1)).join(
-            count[k].withColumnRenamed("c", f"c{k}"), "g", "left").drop("g")
-    for k in range(ORDER, 0, -1):
-        rows = rows.withColumn("x", _suffix(F.shiftright("key", 8), k)).join(
-            context[k], "x", "left")
-    rows = rows.withColumn("n0", F.lit(n0)).withColumn("t0", F.lit(t0))
-
-    zero = F.lit(0)
-    score = -F.log10(F.lit(float(max(1, 256 - t0))))
+            for chunk, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                key, n = _distinct(*row, kind)
+                for a in range(0, len(key), 100_000):
+                    k = key[a:a + 100_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_part_of(k, parts)), pa.array(np.full(len(k), chunk)), pa.array(k),
+                         pa.array(n[a:a + 100_000])], names=["part", "chunk", "key", "n"])
+    return packed.mapInArrow(run, "part int, chunk bigint, key bigint, n bigint")
+
+
+_ANSWERS = "chunk bigint, kind int, part int, data binary"
+
+
+def _answer(frame: pd.DataFrame, kind: int, part: int, values: np.ndarray) -> list[tuple]:
+    """One row per chunk: its values in the order of its keys."""
+    order = np.lexsort((frame["key"].to_numpy(), frame["chunk"].to_numpy()))
+    chunk, values = frame["chunk"].to_numpy()[order], values[order]
+    begin = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1])))
+    return [(int(chunk[a]), kind, part, values[a:b].tobytes())
+            for a, b in zip(begin, [*begin[1:], len(chunk)])]
+
+
+def _look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Values of the asked keys, 0 where there is none."""
+    if not len(keys):
+        return np.zeros(len(asked), values.dtype)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0)
+
+
+def _word_counts(packed: DataFrame, parts: int) -> DataFrame:
+    """Answers: the count of each word in training.  A row of chunk -1 holds a
+    part's training tokens and distinct training words."""
+    def count(key, frame: pd.DataFrame) -> pd.DataFrame:
+        words, n = _sums(frame["key"].to_numpy(), frame["n"].to_numpy())
+        out = _answer(frame, _WORD, int(key[0]), _look_up(words, n, frame["key"].to_numpy()))
+        out.append((-1, _WORD, int(key[0]), np.array([n.sum(), (n > 0).sum()], np.int64).tobytes()))
+        return pd.DataFrame(out, columns=["chunk", "kind", "part", "data"])
+    return _questions(packed, _WORD, parts).groupBy("part").applyInPandas(count, _ANSWERS)
+
+
+class Level:
+    """Strings of one length with their counts, and the contexts that they have."""
+
+    def __init__(self, strings: np.ndarray, counts: np.ndarray) -> None:
+        self.g, self.c = strings, counts
+        self.x, self.n = _sums(strings >> 8, counts)
+        self.t = np.unique(strings >> 8, return_counts=True)[1]
+
+    def seen_in(self, longer: Level) -> np.ndarray:
+        """For each context of ``longer``, the counts here of what it has seen."""
+        size = 8 * (self.size + 1)
+        c = _look_up(self.g, self.c, longer.g & ((1 << size) - 1))
+        return _sums(longer.g >> 8, c)[1]
+
+    size = 0
+
+
+def _levels(strings: np.ndarray, counts: np.ndarray, top: int, low: int) -> dict[int, Level]:
+    out = {}
+    for k in range(top, low - 1, -1):
+        out[k] = Level(*_sums(strings & ((1 << (8 * (k + 1))) - 1), counts))
+        out[k].size = k
+    return out
+
+
+def log_probabilities(strings: np.ndarray, counts: np.ndarray, pairs: tuple) -> np.ndarray:
+    """log10 probability of the last byte of each string after the others.
+
+    ``strings`` hold all those of each two-byte context end that they have
+    (ascending), ``counts`` their numbers in training (0 for others), and
+    ``pairs`` the two-byte strings of all training text with their counts.
+    """
+    level = _levels(*pairs, 1, 0)
+    level |= _levels(strings[counts > 0], counts[counts > 0], ORDER, 2)
+    t0 = len(level[0].g)
+    score = np.full(len(strings), -np.log10(max(1, 256 - t0)))
     for k in range(ORDER + 1):
-        n, t = F.coalesce(F.col(f"n{k}"), zero), F.coalesce(F.col(f"t{k}"), zero)
-        if k < ORDER:
-            n = n - F.coalesce(F.col(f"w{k}"), zero)
-            t = t - F.coalesce(F.col(f"t{k + 1}"), zero)
-        escape = F.when(n + t > 0, F.log10(t / (n + t))).otherwise(F.lit(0.0))
-        score = F.when(F.coalesce(F.col(f"c{k}"), zero) > 0, F.log10(F.col(f"c{k}") / (n + t))) \
-                 .otherwise(escape + score)
-    return rows.select("key", score.alias("score"))
+        own = level[k]
+        context = (strings >> 8) & ((1 << (8 * k)) - 1)
+        n, t = _look_up(own.x, own.n, context), _look_up(own.x, own.t, context)
+        if k < ORDER:       # what the longer context has seen is excluded
+            longer = level[k + 1]
+            wider = (strings >> 8) & ((1 << (8 * (k + 1))) - 1)
+            n = n - _look_up(longer.x, own.seen_in(longer), wider)
+            t = t - _look_up(longer.x, longer.t, wider)
+        c = _look_up(own.g, own.c, strings & ((1 << (8 * (k + 1))) - 1))
+        den = np.maximum(n + t, 1)
+        # with nothing left to exclude from, the escape is certain
+        escape = np.where(n + t > 0, np.log10(np.maximum(t, 1) / den), 0.0)
+        score = np.where(c > 0, np.log10(np.maximum(c, 1) / den), escape + score)
+    return score
+
+
+def _byte_scores(packed: DataFrame, parts: int) -> DataFrame:
+    """Answers: the log probability of each byte string."""
+    spark = packed.sparkSession
+    total = materialize(_questions(packed, _BYTES, parts).groupBy("part", "key")
+                        .agg(F.sum("n").alias("n")), spark, "ppm-strings")
+    # the two-byte strings: at most 65,536 rows
+    low = (total.where("n > 0").groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF).cast("long")).alias("g"))
+           .agg(F.sum("n").alias("c")).orderBy("g").collect())
+    pairs = (np.array([r["g"] for r in low], np.int64), np.array([r["c"] for r in low], np.int64))
+
+    def model(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("key", ignore_index=True)
+        return pd.DataFrame({"part": frame["part"], "key": frame["key"], "score": log_probabilities(
+            frame["key"].to_numpy(), frame["n"].to_numpy(), pairs)})
+
+    end = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF).cast("long"))
+    scored = total.groupBy(F.pmod(F.xxhash64(end), F.lit(512)).alias("shard")).applyInPandas(
+        lambda frame: model(frame[["part", "key", "n"]]), "part int, key bigint, score double")
 
+    def answer(key, asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        k, v = known["key"].to_numpy(), known["score"].to_numpy()
+        order = np.argsort(k)
+        values = _look_up(k[order], v[order], asked["key"].to_numpy()).astype(np.float32)
+        return pd.DataFrame(_answer(asked, _BYTES, int(key[0]), values),
+                            columns=["chunk", "kind", "part", "data"])
 
-def _answers(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    return values[np.searchsorted(keys, asked)]
+    return (_questions(packed, _BYTES, parts).groupBy("part")
+            .cogroup(scored.groupBy("part")).applyInPandas(answer, _ANSWERS))
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -168,38 +248,37 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     packed = materialize(pack(docs, "doc_id", "text", CHUNK_BYTES), spark, "ppm-packed")
-    asked = materialize(_questions(packed), spark, "ppm-questions")
-    total = asked.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    total = materialize(total, spark, "ppm-counts")
-    words = total.where(F.col("kind") == _WORD)
-    n = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-                  F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
-    train_tokens, vocabulary = n["n"], n["v"]
-    values = words.select("kind", "key", F.col("n").cast("double").alias("value")).unionByName(
-        byte_scores(total.where(F.col("kind") == _BYTES).select("key", "n"))
-        .select(F.lit(_BYTES).alias("kind"), "key", F.col("score").alias("value")))
-    answers = asked.select("chunk", "kind", "key").join(values, ["kind", "key"])
+    size = packed.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    parts = max(8, int(size * 0.12) // PART_ROWS)      # about that many questions to a part
+    words = materialize(_word_counts(packed, parts), spark, "ppm-words")
+    sums = [np.frombuffer(r["data"], np.int64) for r in words.where("chunk = -1").collect()]
+    train_tokens, vocabulary = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0)
+    answers = words.where("chunk >= 0").unionByName(_byte_scores(packed, parts))
 
     def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        table = {}
-        for kind in (_WORD, _BYTES):
-            mine = right["kind"].to_numpy() == kind
-            k, v = right["key"].to_numpy()[mine], right["value"].to_numpy()[mine]
-            order = np.argsort(k)
-            table[kind] = (k[order], v[order])
         out = []
         for _, chunk in left.iterrows():
-            for ids, word_row, word, row, code in _parts(chunk["ids"], chunk["offs"], chunk["data"]):
-                c = _answers(*table[_WORD], word)
+            row = chunk["ids"], chunk["offs"], chunk["data"]
+            table = {}
+            for kind, dtype in ((_WORD, np.int64), (_BYTES, np.float32)):
+                keys, _ = _distinct(*row, kind)
+                mine = right[right["kind"] == kind].sort_values("part")
+                values = np.concatenate([np.frombuffer(d, dtype) for d in mine["data"]])
+                at = np.lexsort((keys, _part_of(keys, parts)))
+                table[kind] = keys, np.empty(len(keys), np.float64)
+                table[kind][1][at] = values
+            for ids, found in _parts(*row):
                 rows = len(ids)
-                base = np.bincount(word_row, np.log10((c + 1) / (train_tokens + vocabulary + 1)), rows)
-                model = np.bincount(row, _answers(*table[_BYTES], code), rows)
+                of, word = found[_WORD]
+                c = _look_up(*table[_WORD], word)
+                base = np.bincount(of, np.log10((c + 1) / (train_tokens + vocabulary + 1)), rows)
+                at, code = found[_BYTES]
                 out.append(pd.DataFrame({
                     "doc_id": pd.array(ids, "Int64"), "held_out": [is_held_out(i) for i in ids],
-                    "n_tokens": np.bincount(word_row, minlength=rows),
-                    "n_known": np.bincount(word_row, c > 0, rows).astype(np.int64),
-                    "train_tokens": np.full(rows, train_tokens, np.int64),
-                    "base_score": base, "score": model}))
+                    "n_tokens": np.bincount(of, minlength=rows),
+                    "n_known": np.bincount(of, c > 0, rows).astype(np.int64),
+                    "train_tokens": np.full(rows, train_tokens, np.int64), "base_score": base,
+                    "score": np.bincount(at, _look_up(*table[_BYTES], code), rows)}))
         return pd.concat(out, ignore_index=True)
 
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
