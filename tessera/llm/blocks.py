@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 1 << 21
+HASH_BYTES = 1 << 19
 U64 = np.uint64
 
 SPACE = np.zeros(256, bool)
@@ -112,18 +112,21 @@ def words_of(buf: np.ndarray, off: np.ndarray, gap: np.ndarray = SPACE) -> Words
     return Words(buf, start, np.flatnonzero(closes) + 1, np.searchsorted(start, off))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2^64 and of its inverse."""
-    def run(b: int) -> np.ndarray:
-        p = np.full(size, b, U64)
-        p[0] = 1
-        return np.multiply.accumulate(p)
-    return run(base), run(pow(base, -1, 1 << 64))
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _tables(base: U64, need: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(int(base), max(1 << 16, 1 << int(need).bit_length()))
+    """Powers of an odd base modulo 2^64 and of its inverse, ``need`` or more."""
+    known = _powers.get(int(base))
+    if known is None or len(known[0]) < need:
+        size = -(-need // (1 << 16)) << 16
+
+        def run(b: int) -> np.ndarray:
+            p = np.full(size, b, U64)
+            p[0] = 1
+            return np.multiply.accumulate(p)
+        _powers[int(base)] = known = run(int(base)), run(pow(int(base), -1, 1 << 64))
+    return known
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -136,13 +139,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; equal spans hash alike anywhere."""
-    if len(start) == 0:
-        return np.zeros(0, U64)
-    up, down = _tables(_BASE_BYTES, len(buf) + 1)
-    total = np.zeros(len(buf) + 1, U64)
-    np.cumsum((buf.astype(U64) + U64(1)) * up[:len(buf)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+    """A 64-bit hash of each byte span (ascending starts); equal spans hash alike anywhere."""
+    out = np.zeros(len(start), U64)
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(start, start[a] + HASH_BYTES)))
+        low = int(start[a])
+        part = buf[low:int(end[a:b].max())]
+        up, down = _tables(_BASE_BYTES, len(part) + 1)
+        total = np.zeros(len(part) + 1, U64)
+        np.cumsum((part.astype(U64) + U64(1)) * up[:len(part)], out=total[1:])
+        s, e = start[a:b] - low, end[a:b] - low
+        out[a:b] = mix((total[e] - total[s]) * down[s] + (e - s).astype(U64))
+        a = b
+    return out
 
 
 def window_hash(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
