@@ -102,18 +102,50 @@ def _part_of(key: np.ndarray, parts: int) -> np.ndarray:
     return (mix(key.view(U64) + U64(1)) % U64(parts)).astype(np.int32)
 
 
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with their number."""
+    key = np.sort(key)
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) \
+        else np.zeros(0, np.int64)
+    return key[begin], np.diff(np.append(begin, len(key)))
+
+
 def _distinct(ids: bytes, offs: bytes, data: bytes, kind: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of a chunk, ascending, with their number in its training rows."""
     held = []
     for docs, found in _parts(ids, offs, data, (kind,)):
-        train = np.array([not is_held_out(i) for i in docs], np.int64)
+        train = np.array([not is_held_out(i) for i in docs], bool)
         row, key = found[kind]
-        held.append(_sums(key, train[row]))
+        every, _ = _counted(key)
+        known, number = _counted(key[train[row]])
+        n = np.zeros(len(every), np.int64)
+        n[np.searchsorted(every, known)] = number
+        held.append((every, n))
         if len(held) == 8:
             held = [_sums(*(np.concatenate(x) for x in zip(*held)))]
     return _sums(*(np.concatenate(x) for x in zip(*held)))
 
 
+def _row_sums(row: np.ndarray, key: np.ndarray, rows: int, table, value) -> list[np.ndarray]:
+    """Sums per row of each function of the keys' values in ``table``.
+
+    Keys are looked up in ascending order, once per row and key.
+    """
+    order = np.lexsort((key, row)) if len(key) and int(key.max()) >> 48 or rows >= 1 << 15 \
+        or len(key) and int(key.min()) < 0 else None
+    if order is None:      # both fit one integer, which sorts faster
+        both, n = _counted((row.astype(np.int64) << 48) | key)
+        row, key = both >> 48, both & ((1 << 48) - 1)
+    else:
+        row, key = row[order], key[order]
+        begin = np.flatnonzero(np.concatenate(
+            ([True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])))) if len(key) else order
+        n = np.diff(np.append(begin, len(key)))
+        row, key = row[begin], key[begin]
+    found = _look_up(*table, key)
+    return [np.bincount(row, n * f(found), rows) for f in value]
+
+
 def _questions(packed: DataFrame, kind: int, parts: int) -> DataFrame:
     """(part, chunk, key, n): the distinct keys of one kind of every chunk."""
     def run(batches):
@@ -269,16 +301,16 @@ def scores(docs: DataFrame) -> DataFrame:
                 table[kind][1][at] = values
             for ids, found in _parts(*row):
                 rows = len(ids)
-                of, word = found[_WORD]
-                c = _look_up(*table[_WORD], word)
-                base = np.bincount(of, np.log10((c + 1) / (train_tokens + vocabulary + 1)), rows)
-                at, code = found[_BYTES]
+                known, base = _row_sums(*found[_WORD], rows, table[_WORD], (
+                    lambda c: c > 0,
+                    lambda c: np.log10((c + 1) / (train_tokens + vocabulary + 1))))
+                model, = _row_sums(*found[_BYTES], rows, table[_BYTES], (lambda v: v,))
                 out.append(pd.DataFrame({
                     "doc_id": pd.array(ids, "Int64"), "held_out": [is_held_out(i) for i in ids],
-                    "n_tokens": np.bincount(of, minlength=rows),
-                    "n_known": np.bincount(of, c > 0, rows).astype(np.int64),
+                    "n_tokens": np.bincount(found[_WORD][0], minlength=rows),
+                    "n_known": known.astype(np.int64),
                     "train_tokens": np.full(rows, train_tokens, np.int64), "base_score": base,
-                    "score": np.bincount(at, _look_up(*table[_BYTES], code), rows)}))
+                    "score": model}))
         return pd.concat(out, ignore_index=True)
 
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
