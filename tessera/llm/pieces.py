@@ -38,8 +38,8 @@ from tessera.llm.blocks import (U64, as_strings, bound_tables, bounded_batches,
 MARK = "▁"
 UNKNOWN = 10.0
 LONG = 96                  # segments of more bytes are solved one by one
-SLICE_BYTES = 8 << 20      # text whose distinct segments are solved once
-SOLVE_BYTES = 1 << 20      # segments solved at a time
+SLICE_BYTES = 4 << 20      # text whose distinct segments are solved once
+SOLVE_BYTES = 1 << 19      # segments solved at a time
 _MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
 #: bytes of the character that a leading byte begins
 _LEAD = np.where(np.arange(256) < 0x80, 1, np.where(np.arange(256) < 0xE0, 2, np.where(

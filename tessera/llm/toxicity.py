@@ -76,7 +76,7 @@ def _slices(column):
     raw = as_strings(column)
     data, off = buffer_of(raw)
     low, low_off = buffer_of(pc.utf8_lower(raw))
-    for lo, hi in row_slices(off):
+    for lo, hi in row_slices(off, 1 << 20):
         yield (data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo],
                low[low_off[lo]:low_off[hi]], low_off[lo:hi + 1] - low_off[lo])
 
