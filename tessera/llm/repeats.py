@@ -146,7 +146,7 @@ def repeat_spans(docs: DataFrame, window: int = 35, key: str = "doc_id", text: s
 
     packed = materialize(pack(docs, key, text, CHUNK_BYTES), spark, "repeats-packed")
     size = packed.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    shards = max(1, min(1 << 15, int(size * 0.4) // SHARD_VALUES + 1))
+    shards = max(1, min(1 << 20, int(size * 0.4) // SHARD_VALUES + 1))
 
     def probes(batches):
         for batch in batches:
