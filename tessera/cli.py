@@ -75,7 +75,7 @@ def run_ratings(spark: SparkSession, src: str, out: str, min_support: int) -> No
     summary = RP.summary_lines(ranking.limit(1)).select(
         F.lit(1).alias("part"), F.col("line_no").cast("double").alias("k1"),
         F.lit("").alias("k2"), "line")
-    _lines(rank_lines.unionByName(summary), o("ranking"), ["part", "k1", "k2"], True)
+    _lines(rank_lines.unionByName(summary), o("ranking"), ["part", "k1", "k2"], False)
     _lines(RP.tag_lines(R.tag_avg_score(ratings, movies, default_tag="Unknown", digits=None)),
            o("genres"), [F.col("avg_score").desc(), "tag"], True)
     gender = R.item_avg_by_segment_long(ratings, users, movies, digits=None)

@@ -10,8 +10,7 @@ partitioning instead of shuffling the dimension a second time.
 Broadcasting is left to the planner (``autoBroadcastJoinThreshold`` at plan
 time, AQE at run time): both check the side's size and fall back to a
 sort-merge join beyond it, which is what a dimension that grows with the data
-needs.  Only small fixed-size tables are hinted, and only after their row
-count is checked (:func:`bounded_broadcast`).
+needs.  A hint is given only where the caller asks for it.
 
 The de-duplicating aggregate sits between the exchange and the join, which
 keeps AQE from splitting a skewed partition of that join; lookups are
@@ -57,39 +56,21 @@ def dedupe_dimension(df: DataFrame, key: str | Sequence[str],
     return packed.select(*keys, *[F.col(f"{_ROW}.{c}").alias(c) for c in values])
 
 
-MAX_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side that should be a small, fixed-size table (a
-    word list, a code table such as nations).
-
-    The bound is checked, not assumed: ``limit(max_rows + 1).count()`` stops
-    after ``max_rows + 1`` rows however large the input is.  Beyond the bound
-    the hint is dropped and the planner's own size-checked choice (broadcast
-    under ``autoBroadcastJoinThreshold``, else a shuffle join) applies.
-    ``max_rows=None`` skips the check for sides built from a literal list.
-    """
-    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)
-
-
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
            value: str, default: str | Column | None = None,
            out: str | None = None, dedupe: bool = True,
-           bounded: bool = False) -> DataFrame:
+           broadcast: bool = False) -> DataFrame:
     """Left lookup ``fact.fact_key -> dim.value`` with a default (JN-5).
 
-    Fact rows are never dropped or multiplied.  ``bounded=True`` declares the
-    dimension a small code table: it is broadcast (after de-duplication) once
-    :func:`bounded_broadcast` has checked its row count.
+    Fact rows are never dropped or multiplied.  ``broadcast=True`` is the
+    caller's word that the dimension is a small table of fixed size; otherwise
+    the planner decides from its size.
     """
     d = dim.select(F.col(dim_key).alias("__lk_key"), F.col(value).alias("__lk_val"))
     if dedupe:
         d = dedupe_dimension(d, "__lk_key")
-    if bounded:
-        d = bounded_broadcast(d)
+    if broadcast:
+        d = F.broadcast(d)
     joined = fact.join(d, fact[fact_key] == d["__lk_key"], "left")
     val = F.col("__lk_val")
     if default is not None:

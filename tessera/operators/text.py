@@ -28,11 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import clean_review, not_in, sql_list, tokens, without_words
-from tessera.operators.dims import bounded_broadcast
 from tessera.operators.topk import top_k, top_k_per_group
 
 KEYS = ("id", "aspect", "category", "sentiment")
-MAX_STOPWORDS = 1_000_000
 WORDS = "words"
 Stopwords = Sequence[str] | DataFrame
 
@@ -52,25 +50,19 @@ def tokenize_reviews(cleaned: DataFrame, sep: str = " ") -> DataFrame:
     return out.filter(F.col("word").isNotNull())
 
 
-def _stop_side(stopwords: DataFrame, bounded: bool, max_rows: int | None) -> DataFrame:
-    stop = stopwords.select(F.col("stopword").alias("__stop")).filter(F.col("__stop").isNotNull())
-    return bounded_broadcast(stop, max_rows) if bounded else stop
-
-
 def remove_stopwords(token_rows: DataFrame, stopwords: Stopwords, word_col: str = "word",
-                     bounded: bool = True, max_rows: int | None = MAX_STOPWORDS) -> DataFrame:
+                     broadcast: bool = False) -> DataFrame:
     """Rows whose word is not a stopword (JN-7), as a left-anti join.
 
-    ``bounded=True`` treats the list as a word list of at most ``max_rows``
-    rows and broadcasts it once that count is checked (``max_rows=None``: the
-    size is known, e.g. the table was built from a literal list); otherwise
-    (or beyond the bound) the planner decides from its size.  A NULL stopword
-    never removes anything (unlike ``NOT IN``).  A literal list is applied as
-    an ``IN``-set filter.
+    The planner chooses the join from the list's size; ``broadcast=True`` is
+    the caller's word that it is a short list.  A NULL stopword never removes
+    anything (unlike ``NOT IN``).  A literal list is applied as an ``IN``-set
+    filter.
     """
     if not isinstance(stopwords, DataFrame):
         return token_rows.filter(not_in(word_col, stopwords)) if stopwords else token_rows
-    stop = _stop_side(stopwords, bounded, max_rows)
+    stop = stopwords.select(F.col("stopword").alias("__stop")).filter(F.col("__stop").isNotNull())
+    stop = F.broadcast(stop) if broadcast else stop
     return token_rows.join(stop, token_rows[word_col] == stop["__stop"], "left_anti")
 
 
@@ -91,7 +83,7 @@ def _has_word(stopwords: Sequence[str]) -> Column:
 
 
 def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
-                       bounded: bool = True) -> DataFrame:
+                       broadcast: bool = False) -> DataFrame:
     """The cleaned table: non-stopword words joined by ``,`` per (id, aspect,
     category, sentiment); a review whose words were all stopwords disappears.
     Rows sharing a key are merged in a deterministic order (by their text).
@@ -99,15 +91,18 @@ def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
     The grouping shuffles the cleaned text once - it is the output.
     """
     if isinstance(stopwords, DataFrame):
-        # Rows are identified by their content (key + token array) with a
-        # multiplicity, which is deterministic under task retries (a row id
-        # taken after a shuffle would not be).
-        rows = token_rows.groupBy(*KEYS, WORDS).agg(F.count(F.lit(1)).alias("__n"))
-        toks = rows.select(*KEYS, WORDS, "__n",
+        # Rows are identified by a digest of their tokens (which is
+        # deterministic under task retries) with a multiplicity; each word
+        # carries the digest, so what is shuffled is linear in the words.
+        # Of rows with equal key and tokens one is split into words.
+        rows = (token_rows.withColumn("__row", F.sha2(F.to_json(WORDS), 256))
+                .groupBy(*KEYS, "__row")
+                .agg(F.count(F.lit(1)).alias("__n"), F.first(WORDS).alias(WORDS)))
+        toks = rows.select(*KEYS, "__row", "__n",
                            F.posexplode_outer(WORDS).alias("__pos", "word"))
         kept = remove_stopwords(toks.filter(F.col("word").isNotNull()), stopwords,
-                                bounded=bounded)
-        per_row = kept.groupBy(*KEYS, WORDS, "__n").agg(
+                                broadcast=broadcast)
+        per_row = kept.groupBy(*KEYS, "__row", "__n").agg(
             F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__w"))
         text = F.array_join(F.col("__w.word"), ",")
         per_row = per_row.select(
@@ -123,7 +118,7 @@ def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
         "id", F.array_join("__parts", ",").alias("review"), "aspect", "category", "sentiment")
 
 
-def cleaned_keys(token_rows: DataFrame, stopwords: Stopwords, bounded: bool = True) -> DataFrame:
+def cleaned_keys(token_rows: DataFrame, stopwords: Stopwords, broadcast: bool = False) -> DataFrame:
     """The rows of the cleaned table without their text: distinct keys of the
     reviews that keep at least one non-stopword word.  Only key columns are
     shuffled.
@@ -134,7 +129,7 @@ def cleaned_keys(token_rows: DataFrame, stopwords: Stopwords, bounded: bool = Tr
     keys = [c for c in KEYS if c in token_rows.columns]
     if isinstance(stopwords, DataFrame):
         toks = _explode_words(token_rows, *keys)
-        return remove_stopwords(toks, stopwords, bounded=bounded).select(*keys).distinct()
+        return remove_stopwords(toks, stopwords, broadcast=broadcast).select(*keys).distinct()
     # The test is aggregated (max) and filtered after the aggregate, so it is
     # computed once, next to the tokenising, and never pushed below it.
     flagged = token_rows.select(*keys, _has_word(stopwords).alias("__has"))
@@ -157,12 +152,12 @@ def _not_null(*cols: str) -> Column:
     return cond
 
 
-def word_count(token_rows: DataFrame, stopwords: Stopwords, bounded: bool = True) -> DataFrame:
+def word_count(token_rows: DataFrame, stopwords: Stopwords, broadcast: bool = False) -> DataFrame:
     """Frequency of every non-stopword word over reviews with text, category
     and aspect.  Stopwords are removed from the aggregated words."""
     rows = token_rows.filter(_not_null("category", "aspect"))
     counts = _explode_words(rows).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-    return remove_stopwords(counts, stopwords, bounded=bounded)
+    return remove_stopwords(counts, stopwords, broadcast=broadcast)
 
 
 def top_words(token_rows: DataFrame, stopwords: Stopwords, k: int = 5) -> DataFrame:
@@ -189,7 +184,7 @@ def top_aspect(keys_df: DataFrame, sentiment: str) -> DataFrame:
 
 
 def category_word_counts(token_rows: DataFrame, stopwords: Stopwords,
-                         sentiment: str | None = None, bounded: bool = True) -> DataFrame:
+                         sentiment: str | None = None, broadcast: bool = False) -> DataFrame:
     """(category, word, freq) without stopwords; optionally only reviews of
     one sentiment."""
     need = ["category"] + (["sentiment"] if sentiment is not None else [])
@@ -198,7 +193,7 @@ def category_word_counts(token_rows: DataFrame, stopwords: Stopwords,
         rows = rows.filter(F.col("sentiment") == F.lit(sentiment))
     counts = (_explode_words(rows, "category")
               .groupBy("category", "word").agg(F.count(F.lit(1)).alias("freq")))
-    return remove_stopwords(counts, stopwords, bounded=bounded)
+    return remove_stopwords(counts, stopwords, broadcast=broadcast)
 
 
 def top_words_by_category(token_rows: DataFrame, stopwords: Stopwords, k: int = 5,

@@ -2,9 +2,10 @@
 
 Every binding reads whole tables of ``sf_dir`` and renames columns to the
 canonical names of the jobs with a projection (pruned by Catalyst down to the
-parquet ``ReadSchema``).  Where a default/fallback branch of a job needs a
-dimension that misses keys, the dimension is restricted by an attribute
-value (``p_size``, ``c_acctbal``); the fact tables are always whole.
+parquet ``ReadSchema``).  A few documented rows are added so that the jobs'
+defaults fire (``EXTRA_*``): scores of an item and of users that no dimension
+has, a user of unknown code and of no numeric age, an item without scores,
+epoch texts and score texts that are no numbers.
 
 Ratings jobs read:
   ratings = lineitem (user = l_orderkey, item = l_partkey, score = l_quantity,
@@ -12,7 +13,7 @@ Ratings jobs read:
   items   = part     (item = p_partkey, title = p_name, tags = words of p_name)
   users   = orders   (user = o_orderkey, segment = o_orderstatus,
             numeric attribute = o_totalprice, code = o_custkey)
-  codes   = customer (code = c_custkey, name = c_mktsegment), c_acctbal >= 0
+  codes   = customer (code = c_custkey, name = c_mktsegment)
 Review jobs read documents (id, text, source as aspect, lang as category) and
 labels (quality 1/0 -> positive/negative sentiment; unlabelled -> NULL).
 """
@@ -32,8 +33,15 @@ from tessera.plans import ratings as R
 from tessera.sources.tables import load, spread
 
 # ---------------------------------------------------------------- parameters
+#: session setting by which a caller asks for the documents in that many tasks (off if unset)
+SPREAD_TASKS = "spark.tessera.spreadTasks"
 MIN_SUPPORT = 25                       # per-item score counts run 14-49 at sf0.01
-SMALL_PART_MAX_SIZE = 40               # item dimension restricted by p_size
+# Added scores: 30 of item -1 (in no part), by user -1 (in no order) and -2 in turn
+EXTRA_SCORES, EXTRA_ITEM, EXTRA_USER, KNOWN_EXTRA_USER = 30, -1, -1, -2
+EXTRA_EPOCH = "n/a"
+EXTRA_USER_ROW = (KNOWN_EXTRA_USER, "F", "n/a", -7)      # -7 is no customer
+EXTRA_ITEM_ROW = (-9, "part without scores")
+EXTRA_SCORE_TEXTS = ("bad", "", None, "0", "five")
 STATUS_SEGMENTS = ("F", "O")
 STATUS_COLUMNS = ("avg_status_f", "avg_status_o")
 PRICE_EDGES = (100000, 200000, 300000)
@@ -43,8 +51,8 @@ PRICE_BANDS_LEFT = ("under 100k", "100k-199k", "200k-299k", "300k+")
 TOP_WORDS_K = 5
 TOP_SELLERS_K = 20
 
-# The stopword list used by the review jobs (frequent function
-# words of the four languages of the documents table).
+# This library's own stopword list for the review jobs: frequent function
+# words of the four languages of the documents table.
 STOPWORDS = (
     "the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on",
     "with", "be", "this", "by", "as", "are", "from",
@@ -60,15 +68,18 @@ STOPWORDS = (
 # ------------------------------------------------------------ ratings inputs
 def ratings(spark: SparkSession, d: str) -> DataFrame:
     li = load(spark, d, "lineitem")
+    i = F.col("id")
+    extra = spark.range(EXTRA_SCORES).select(
+        (F.lit(EXTRA_USER) - i % 2).alias("user_id"), F.lit(EXTRA_ITEM).cast("long").alias("item_id"),
+        (i % 5 + 1).cast("double").alias("score"), F.lit(EXTRA_EPOCH).alias("ts_text"))
     return li.select(F.col("l_orderkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
                      F.col("l_quantity").alias("score"),
-                     epoch_seconds("l_shipdate").cast("string").alias("ts_text"))
+                     epoch_seconds("l_shipdate").cast("string").alias("ts_text")).unionByName(extra)
 
 
-def items(spark: SparkSession, d: str, max_size: int | None = None) -> DataFrame:
-    part = load(spark, d, "part")
-    if max_size is not None:
-        part = part.filter(F.col("p_size") <= max_size)
+def items(spark: SparkSession, d: str) -> DataFrame:
+    part = load(spark, d, "part").select("p_partkey", "p_name").unionByName(
+        spark.createDataFrame([EXTRA_ITEM_ROW], "p_partkey long, p_name string"))
     return part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"),
                        split_tags("p_name", " ").alias("tags"))
 
@@ -76,11 +87,14 @@ def items(spark: SparkSession, d: str, max_size: int | None = None) -> DataFrame
 def users(spark: SparkSession, d: str) -> DataFrame:
     o = load(spark, d, "orders")
     return o.select(F.col("o_orderkey").alias("user_id"), F.col("o_orderstatus").alias("segment"),
-                    F.col("o_totalprice").alias("age"), F.col("o_custkey").alias("code"))
+                    F.col("o_totalprice").cast("string").alias("age"),
+                    F.col("o_custkey").alias("code")).unionByName(
+        spark.createDataFrame([EXTRA_USER_ROW],
+                              "user_id long, segment string, age string, code long"))
 
 
 def codes(spark: SparkSession, d: str) -> DataFrame:
-    c = load(spark, d, "customer").filter(F.col("c_acctbal") >= 0)
+    c = load(spark, d, "customer")
     return c.select(F.col("c_custkey").alias("code"), F.col("c_mktsegment").alias("name"))
 
 
@@ -94,12 +108,12 @@ def q_best_item_min_support(spark, d):
 
 
 def q_item_ranking_min_support(spark, d):
-    return R.item_ranking_min_support(ratings(spark, d), items(spark, d, SMALL_PART_MAX_SIZE),
+    return R.item_ranking_min_support(ratings(spark, d), items(spark, d),
                                       MIN_SUPPORT)
 
 
 def q_ranking_with_summary(spark, d):
-    return R.ranking_with_summary(ratings(spark, d), items(spark, d, SMALL_PART_MAX_SIZE),
+    return R.ranking_with_summary(ratings(spark, d), items(spark, d),
                                   MIN_SUPPORT)
 
 
@@ -108,7 +122,7 @@ def q_tag_avg_score(spark, d):
 
 
 def q_tag_avg_score_default(spark, d):
-    return R.tag_avg_score(ratings(spark, d), items(spark, d, SMALL_PART_MAX_SIZE),
+    return R.tag_avg_score(ratings(spark, d), items(spark, d),
                            default_tag="Unknown")
 
 
@@ -119,7 +133,7 @@ def q_item_avg_by_segment_wide(spark, d):
 
 def q_item_avg_by_segment_long(spark, d):
     return R.item_avg_by_segment_long(ratings(spark, d), users(spark, d),
-                                      items(spark, d, SMALL_PART_MAX_SIZE))
+                                      items(spark, d))
 
 
 def q_item_avg_by_band_wide(spark, d):
@@ -129,7 +143,7 @@ def q_item_avg_by_band_wide(spark, d):
 
 def q_item_avg_by_band_long(spark, d):
     return R.item_avg_by_band_long(ratings(spark, d), users(spark, d),
-                                   items(spark, d, SMALL_PART_MAX_SIZE),
+                                   items(spark, d),
                                    PRICE_EDGES, PRICE_BANDS_LEFT)
 
 
@@ -146,7 +160,8 @@ def review_base(spark: SparkSession, d: str) -> DataFrame:
     docs = load(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("review"),
         F.col("source").alias("aspect"), F.col("lang").alias("category"))
-    return spread(docs, "id")
+    tasks = spark.conf.get(SPREAD_TASKS, None)
+    return spread(docs, "id", int(tasks)) if tasks else docs
 
 
 def sentiments(spark: SparkSession, d: str) -> DataFrame:
@@ -179,9 +194,8 @@ def q_tokenize_reviews(spark, d):
 
 
 def q_remove_stopwords(spark, d):
-    # the word table is built from the literal list: its size is known
-    return T.remove_stopwords(q_tokenize_reviews(spark, d), stopword_table(spark), bounded=True,
-                              max_rows=None)
+    # the word table is built from the literal list, so it may be broadcast
+    return T.remove_stopwords(q_tokenize_reviews(spark, d), stopword_table(spark), broadcast=True)
 
 
 def q_rebuild_clean_text(spark, d):
@@ -204,8 +218,17 @@ def q_count_by_aspect(spark, d):
     return T.count_rows_by(T.cleaned_keys(word_rows(spark, d), STOPWORDS), "aspect")
 
 
-def _keys_with_sentiment(spark, d):
-    return with_sentiment(T.cleaned_keys(word_rows(spark, d), STOPWORDS), spark, d)
+def labelled_words(spark: SparkSession, d: str, sentiment: str | None = None) -> DataFrame:
+    """Tokens of the labelled reviews (of one sentiment): joined to the raw
+    documents, so that the others are neither cleaned nor tokenised."""
+    lab = sentiments(spark, d).groupBy("id").agg(F.min("sentiment").alias("sentiment"))
+    lab = lab.filter(F.col("sentiment").isNotNull() if sentiment is None
+                     else F.col("sentiment") == sentiment)
+    return T.review_tokens(T.clean_reviews(review_base(spark, d).join(lab, "id")))
+
+
+def _keys_with_sentiment(spark, d, sentiment=None):
+    return T.cleaned_keys(labelled_words(spark, d, sentiment), STOPWORDS)
 
 
 def q_count_by_aspect_sentiment(spark, d):
@@ -213,20 +236,20 @@ def q_count_by_aspect_sentiment(spark, d):
 
 
 def q_top_aspect_negative(spark, d):
-    return T.top_aspect(_keys_with_sentiment(spark, d), "negative")
+    return T.top_aspect(_keys_with_sentiment(spark, d, "negative"), "negative")
 
 
 def q_top_aspect_positive(spark, d):
-    return T.top_aspect(_keys_with_sentiment(spark, d), "positive")
+    return T.top_aspect(_keys_with_sentiment(spark, d, "positive"), "positive")
 
 
 def q_top_words_by_category_positive(spark, d):
-    return T.top_words_by_category(with_sentiment(word_rows(spark, d), spark, d), STOPWORDS,
+    return T.top_words_by_category(labelled_words(spark, d, "positive"), STOPWORDS,
                                    TOP_WORDS_K, "positive")
 
 
 def q_top_words_by_category_negative(spark, d):
-    return T.top_words_by_category(with_sentiment(word_rows(spark, d), spark, d), STOPWORDS,
+    return T.top_words_by_category(labelled_words(spark, d, "negative"), STOPWORDS,
                                    TOP_WORDS_K, "negative")
 
 
@@ -252,9 +275,8 @@ def q_orders_by_country(spark, d):
                                              F.col("o_custkey").alias("customer_id"))
     cust = load(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"),
                                              F.col("c_nationkey"))
-    # nation is a fixed 25-row code table: bounded, so it may be broadcast.
     customers = lookup(cust, load(spark, d, "nation"), "c_nationkey", "n_nationkey", "n_name",
-                       out="country", bounded=True)
+                       out="country")
     return C.orders_by_country(orders, customers)
 
 
@@ -265,7 +287,9 @@ def q_orders_by_year_month(spark, d):
 
 
 def _score_texts(spark, d):
-    return load(spark, d, "lineitem").select(F.col("l_quantity").cast("string").alias("score"))
+    texts = load(spark, d, "lineitem").select(F.col("l_quantity").cast("string").alias("score"))
+    return texts.unionByName(spark.createDataFrame([(s,) for s in EXTRA_SCORE_TEXTS],
+                                                   "score string"))
 
 
 def q_average_valid_score(spark, d):

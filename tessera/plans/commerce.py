@@ -74,5 +74,5 @@ def seller_ranking(order_items: DataFrame, k: int = 20) -> DataFrame:
         F.count_distinct("order_id").alias("order_count"))
     ranked = top_k(per_seller, [F.col("__rev").desc(), F.col("order_count").desc(),
                                 F.col("seller_id").asc()], k)
-    return ranked.select("seller_id", F.col("__rev").cast("double").alias("total_revenue"),
+    return ranked.select("seller_id", F.col("__rev").cast("decimal(15,2)").alias("total_revenue"),
                          F.col("order_count").cast("bigint").alias("order_count"))

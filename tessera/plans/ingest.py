@@ -140,7 +140,7 @@ def q_format_report(spark: SparkSession, d: str) -> DataFrame:
     """#38 The per-(item, band) means of #10 as the reference's fixed-width
     text lines; the mean is formatted from its exact value."""
     rows = R.item_avg_by_band_long(B.ratings(spark, d), B.users(spark, d),
-                                   B.items(spark, d, B.SMALL_PART_MAX_SIZE),
+                                   B.items(spark, d),
                                    B.PRICE_EDGES, B.PRICE_BANDS_LEFT, digits=None)
     return age_lines(rows)
 

@@ -7,7 +7,6 @@ conversations``.  Column names and types match the Spark results.
 
 from __future__ import annotations
 
-from tessera.functions.bands import band_sql
 from tessera.plans.reports import AGE_LINE
 from tessera.plans import bindings as B
 from tessera.plans.ingest import MALFORMED_LINES
@@ -21,13 +20,18 @@ def _lit_list(words) -> str:
 
 STOP = _lit_list(sorted(set(B.STOPWORDS)))
 
-ITEMS = "(SELECT p_partkey AS item_id, min(p_name) AS title FROM part GROUP BY p_partkey)"
-SMALL_ITEMS = (f"(SELECT p_partkey AS item_id, min(p_name) AS title FROM part "
-               f"WHERE p_size <= {B.SMALL_PART_MAX_SIZE} GROUP BY p_partkey)")
-ITEM_STATS = ("(SELECT l_partkey AS item_id, sum(l_quantity) AS s, count(l_quantity) AS n "
-              "FROM lineitem GROUP BY l_partkey)")
-RATED = ("(SELECT l.l_partkey AS item_id, o.o_orderstatus AS segment, o.o_totalprice AS age, "
-         "l.l_quantity AS score FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)")
+# the tables with the few added rows that make the defaults fire
+RATINGS = ("(SELECT l_orderkey AS user_id, l_partkey AS item_id, l_quantity AS score, "
+           "year(l_shipdate)::VARCHAR AS year FROM lineitem UNION ALL "
+           "SELECT -1 - i % 2, -1, CAST(1 + i % 5 AS DOUBLE), NULL FROM range(30) r(i))")
+USERS = ("(SELECT o_orderkey AS user_id, o_orderstatus AS segment, o_totalprice AS age, "
+         "o_custkey AS code FROM orders UNION ALL SELECT -2, 'F', NULL, -7)")
+ITEMS = ("(SELECT p_partkey AS item_id, min(p_name) AS title FROM (SELECT p_partkey, p_name "
+         "FROM part UNION ALL SELECT -9, 'part without scores') GROUP BY p_partkey)")
+ITEM_STATS = (f"(SELECT item_id, sum(score) AS s, count(score) AS n FROM {RATINGS} "
+              f"GROUP BY item_id)")
+RATED = (f"(SELECT r.item_id, u.segment, u.age, r.score FROM {RATINGS} r "
+         f"JOIN {USERS} u USING (user_id))")
 
 _T = B.MIN_SUPPORT
 UNKNOWN_TITLE = "Không rõ tên"
@@ -76,14 +80,17 @@ def _seg_cols(labels, names, value="segment") -> tuple[str, str]:
 
 
 _SEG_AGG, _SEG_OUT = _seg_cols(B.STATUS_SEGMENTS, B.STATUS_COLUMNS)
-_BAND_RIGHT = band_sql("age", B.PRICE_EDGES, B.PRICE_BANDS_RIGHT, "right")
-_BAND_LEFT = band_sql("age", B.PRICE_EDGES, B.PRICE_BANDS_LEFT, "left", "Unknown")
+_BAND_RIGHT = ("CASE WHEN age <= 100000 THEN '0-100k' WHEN age <= 200000 THEN '100k-200k' "
+               "WHEN age <= 300000 THEN '200k-300k' WHEN age > 300000 THEN '300k+' END")
+_BAND_LEFT = ("CASE WHEN age < 100000 THEN 'under 100k' WHEN age < 200000 THEN '100k-199k' "
+              "WHEN age < 300000 THEN '200k-299k' WHEN age >= 300000 THEN '300k+' "
+              "ELSE 'Unknown' END")
 _BAND_AGG, _BAND_OUT = _seg_cols(B.PRICE_BANDS_RIGHT, B.PRICE_BAND_COLUMNS, "band")
 
 BAND_LONG = (f"SELECT st.item_id, st.band, round(st.s / st.n, 4) AS avg_score, "
              f"coalesce(i.title, 'Unknown') AS title FROM (SELECT item_id, {_BAND_LEFT} AS band, "
              f"sum(score) AS s, count(score) AS n FROM {RATED} GROUP BY ALL) st "
-             f"LEFT JOIN {SMALL_ITEMS} i USING (item_id)")
+             f"LEFT JOIN {ITEMS} i USING (item_id)")
 
 # the age line with the widths of its fields (id to 5, band to 8)
 _REPORT_FMT = AGE_LINE.replace("ID: %s", "ID: %-5s").replace("tuổi: %s", "tuổi: %-8s") \
@@ -101,11 +108,11 @@ SQL: dict[str, str] = {
     "item_ranking_min_support": (
         f"SELECT st.item_id, coalesce(i.title, '{UNKNOWN_TITLE}') AS title, "
         f"round(st.s / st.n, 4) AS avg_score, st.n AS n_scores FROM {ITEM_STATS} st "
-        f"LEFT JOIN {SMALL_ITEMS} i USING (item_id) WHERE st.n >= {_T}"),
+        f"LEFT JOIN {ITEMS} i USING (item_id) WHERE st.n >= {_T}"),
     "ranking_with_summary": (
         f"WITH r AS (SELECT st.item_id, coalesce(i.title, '{UNKNOWN_TITLE}') AS title, "
         f"st.s / st.n AS m, st.n AS n_scores FROM {ITEM_STATS} st "
-        f"LEFT JOIN {SMALL_ITEMS} i USING (item_id) WHERE st.n >= {_T}) "
+        f"LEFT JOIN {ITEMS} i USING (item_id) WHERE st.n >= {_T}) "
         f"SELECT 'ranking' AS section, item_id, title, round(m, 4) AS avg_score, n_scores FROM r "
         f"UNION ALL (SELECT 'best' AS section, item_id, title, round(m, 4) AS avg_score, n_scores "
         f"FROM r ORDER BY m DESC, item_id LIMIT 1)"),
@@ -118,7 +125,7 @@ SQL: dict[str, str] = {
         f"SELECT tag, round(sum(s) / sum(n), 4) AS avg_score, CAST(sum(n) AS BIGINT) AS n_scores "
         f"FROM (SELECT st.s, st.n, unnest(coalesce(list_filter(string_split(i.title, ' '), "
         f"lambda x: x <> ''), ['Unknown'])) AS tag FROM {ITEM_STATS} st "
-        f"LEFT JOIN {SMALL_ITEMS} i USING (item_id)) GROUP BY tag"),
+        f"LEFT JOIN {ITEMS} i USING (item_id)) GROUP BY tag"),
     "item_avg_by_segment_wide": (
         f"SELECT i.item_id, i.title, {_SEG_OUT} FROM {ITEMS} i LEFT JOIN "
         f"(SELECT item_id, {_SEG_AGG} FROM {RATED} GROUP BY item_id) st USING (item_id)"),
@@ -126,7 +133,7 @@ SQL: dict[str, str] = {
         f"SELECT st.item_id, st.segment, round(st.s / st.n, 4) AS avg_score, "
         f"coalesce(i.title, 'Unknown') AS title FROM (SELECT item_id, segment, sum(score) AS s, "
         f"count(score) AS n FROM {RATED} GROUP BY item_id, segment) st "
-        f"LEFT JOIN {SMALL_ITEMS} i USING (item_id)"),
+        f"LEFT JOIN {ITEMS} i USING (item_id)"),
     "item_avg_by_band_wide": (
         f"SELECT i.item_id, i.title, {_BAND_OUT} FROM {ITEMS} i LEFT JOIN "
         f"(SELECT item_id, {_BAND_AGG} FROM (SELECT item_id, score, {_BAND_RIGHT} AS band "
@@ -136,17 +143,16 @@ SQL: dict[str, str] = {
         "SELECT label, round(sum(s) / sum(n), 4) AS avg_score, CAST(sum(n) AS BIGINT) AS n_scores "
         "FROM (SELECT st.s, st.n, CASE WHEN u.user_id IS NULL THEN 'Unknown' ELSE "
         "coalesce(c.name, CAST(u.code AS VARCHAR), 'Unknown') END AS label "
-        "FROM (SELECT l_orderkey AS user_id, sum(l_quantity) AS s, count(l_quantity) AS n "
-        "FROM lineitem GROUP BY l_orderkey) st "
-        "LEFT JOIN (SELECT o_orderkey AS user_id, min(o_custkey) AS code FROM orders "
-        "GROUP BY o_orderkey) u USING (user_id) "
+        f"FROM (SELECT user_id, sum(score) AS s, count(score) AS n "
+        f"FROM {RATINGS} GROUP BY user_id) st "
+        f"LEFT JOIN (SELECT user_id, min(code) AS code FROM {USERS} "
+        f"GROUP BY user_id) u USING (user_id) "
         "LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS code_s, min(c_mktsegment) AS name "
-        "FROM customer WHERE c_acctbal >= 0 GROUP BY c_custkey) c "
+        "FROM customer GROUP BY c_custkey) c "
         "ON CAST(u.code AS VARCHAR) = c.code_s) GROUP BY label"),
     "avg_score_by_epoch_year": (
-        "SELECT coalesce(CAST(year(l_shipdate) AS VARCHAR), 'Unknown') AS year, "
-        "round(sum(l_quantity) / count(l_quantity), 4) AS avg_score, "
-        "count(l_quantity) AS n_scores FROM lineitem GROUP BY 1"),
+        "SELECT coalesce(year, 'Unknown') AS year, round(sum(score) / count(score), 4) AS avg_score, "
+        f"count(score) AS n_scores FROM {RATINGS} GROUP BY 1"),
     # ---------------------------------------------------------- reviews
     "clean_text": (
         f"SELECT c.id, c.review, c.aspect, c.category, s.sentiment FROM {CLEANED} c "
@@ -216,7 +222,7 @@ SQL: dict[str, str] = {
         "WHERE score BETWEEN 1 AND 5 GROUP BY score ORDER BY score"),
     "seller_ranking": (
         "SELECT l_suppkey AS seller_id, "
-        "CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) AS total_revenue, "
+        "CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(15,2)) AS total_revenue, "
         "count(DISTINCT l_orderkey) AS order_count FROM lineitem GROUP BY l_suppkey "
         "ORDER BY sum(CAST(l_extendedprice AS DECIMAL(15,2))) DESC, order_count DESC, seller_id "
         f"LIMIT {B.TOP_SELLERS_K}"),
@@ -244,7 +250,7 @@ SQL: dict[str, str] = {
         f"printf('{_REPORT_FMT}', CAST(st.item_id AS VARCHAR), st.band, "
         f"st.s / st.n, coalesce(i.title, 'Unknown')) AS line "
         f"FROM (SELECT item_id, {_BAND_LEFT} AS band, sum(score) AS s, count(score) AS n "
-        f"FROM {RATED} GROUP BY ALL) st LEFT JOIN {SMALL_ITEMS} i USING (item_id)"),
+        f"FROM {RATED} GROUP BY ALL) st LEFT JOIN {ITEMS} i USING (item_id)"),
 }
 # the stored cleaned table gives the same word counts as the in-plan pipeline
 SQL["cleaned_table_hand_over"] = SQL["word_count"]

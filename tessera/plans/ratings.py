@@ -45,7 +45,7 @@ def item_avg_score(ratings: DataFrame, items: DataFrame, digits: int = 4) -> Dat
     """#1 Mean and count per item; items absent from the dimension vanish
     (inner join, JN-1 + AGG-1)."""
     stats = score_stats(ratings, "item_id", "score")
-    joined = stats.join(_titles(items), "item_id", "inner")
+    joined = stats.filter(F.col(N) > 0).join(_titles(items), "item_id", "inner")
     return with_mean(joined, digits=digits).select("item_id", "title", "avg_score", "n_scores")
 
 
@@ -78,14 +78,15 @@ def ranking_with_summary(ratings: DataFrame, items: DataFrame, min_n: int,
     stats = min_support(with_mean(score_stats(ratings, "item_id", "score"), digits=None),
                         min_n)
     named = lookup(stats, items, "item_id", "item_id", "title", default=default_title)
-    rows = named.select(F.lit("ranking").alias("section"), "item_id", "title",
+    rows = named.select(F.lit(0).alias("__part"), F.lit("ranking").alias("section"), "item_id", "title",
                         _rounded("avg_score", digits).alias("avg_score"), "n_scores",
                         F.col("avg_score").alias("__exact"))
     best = ranked(named, "avg_score", "item_id").limit(1).select(
-        F.lit("best").alias("section"), "item_id", "title",
+        F.lit(1).alias("__part"), F.lit("best").alias("section"), "item_id", "title",
         _rounded("avg_score", digits).alias("avg_score"), "n_scores",
         F.col("avg_score").alias("__exact"))
-    return rows.unionByName(best).drop("__exact")
+    return rows.unionByName(best).orderBy("__part", F.col("__exact").desc(), "item_id") \
+        .drop("__part", "__exact")
 
 
 def tag_avg_score(ratings: DataFrame, items: DataFrame, default_tag: str | None = None,
@@ -142,7 +143,8 @@ def item_avg_by_segment_long(ratings: DataFrame, users: DataFrame, items: DataFr
                              digits: int = 4) -> DataFrame:
     """#8 One row per (item, segment) with its mean; title by lookup."""
     rated = ratings.join(users.select("user_id", "segment"), "user_id", "inner")
-    stats = with_mean(score_stats(rated, ["item_id", "segment"], "score"), digits=digits)
+    stats = with_mean(score_stats(rated, ["item_id", "segment"], "score").filter(F.col(N) > 0),
+                      digits=digits)
     named = lookup(stats, items, "item_id", "item_id", "title", default=default_title)
     return named.select("item_id", "segment", "avg_score", "title").orderBy("item_id", "segment")
 

@@ -39,8 +39,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared file system (HDFS, object store), so it
-    is read from the session.  Only when it is unset (unit tests, a laptop) a
-    fresh local folder is created and registered as the checkpoint dir.
+    is read from the session.  Only on a local master (unit tests, a laptop) an
+    unset one becomes a fresh local folder, registered as the checkpoint dir.
     """
     try:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
@@ -61,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             return current.rstrip("/")
     elif conf_dir:
         return conf_dir.rstrip("/")
+    if sc is None or not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

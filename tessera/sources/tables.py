@@ -48,20 +48,10 @@ def load(spark: SparkSession, sf_dir: str, name: str, declared: bool = True) ->
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster only when the scan yields fewer
-    tasks than there are cores (a few large row groups holding heavy text).
+def spread(df: DataFrame, key: str | None, tasks: int) -> DataFrame:
+    """The rows hash partitioned on ``key`` (or dealt in turn) over ``tasks`` tasks.
 
-    On a big input the scan already has more splits than cores and nothing
-    is shuffled; on a small one the CPU-heavy row-local work that follows
-    (regex cleaning, tokenising) is spread instead of running in one task.
-    With ``key`` the rows are hash partitioned on it (no sort needed).
+    For CPU-heavy row-local work on an input of few splits, where the caller
+    knows that the shuffle pays; a large input has splits enough.
     """
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Connect session without RDD access
-        return df
-    if n >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(tasks, key) if key else df.repartition(tasks)

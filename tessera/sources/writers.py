@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,21 @@ from tessera.session import scratch_path
 
 def write_key_value_text(df: DataFrame, key: str, value: str, path: str,
                          mode: str = "errorifexists") -> None:
-    """``key<TAB>value`` part files (SNK-1)."""
-    (df.select(F.concat_ws("\t", F.col(key).cast("string"), F.col(value).cast("string")))
+    """``key<TAB>value`` part files (SNK-1).  NULL is written as an empty field;
+    a field that holds a tab or a line break fails the job, as it could not be
+    read back."""
+    parts = [_plain(F.coalesce(F.col(c).cast("string"), F.lit("")), "[\t\r\n]", c)
+             for c in (key, value)]
+    (df.select(F.concat(parts[0], F.lit("\t"), parts[1]).alias("value"))
      .write.mode(mode).text(path))
 
 
+def _plain(col, forbidden: str, name: str):
+    """The column, or an error where it matches ``forbidden``."""
+    return F.when(col.rlike(forbidden), F.raise_error(
+        F.lit(f"column {name} holds a separator or a line break"))).otherwise(col)
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = False,
                     quoted: bool = False, mode: str = "errorifexists",
                     partition_by: Sequence[str] | None = None) -> None:
@@ -25,12 +36,17 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = Fal
     the separator, a quote or a line break are quoted, an empty string is
     written as ``""`` and NULL as nothing.  ``partition_by`` writes one
     ``col=value`` folder per value in a single pass over ``df``."""
+    if not quoted:
+        stop = "[" + re.escape(sep) + "\r\n]"
+        df = df.select(*[_plain(F.col(f"`{c}`"), stop, c).alias(c) if kind == "string" else f"`{c}`"
+                         for c, kind in df.dtypes])
     w = df.write.mode(mode).option("sep", sep).option("header", str(header).lower())
     w = w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     if quoted:
         w = w.option("quote", '"').option("escape", '"')
     else:
-        w = w.option("quote", "\u0000")
+        # empty strings are written as nothing, like NULL, and read back as NULL
+        w = w.option("quote", "\u0000").option("emptyValue", "")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

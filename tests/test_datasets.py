@@ -1,6 +1,7 @@
 """The jobs end to end on files in the reference's input formats, with the
 edge rows of FIXTURES.md, checked against brute force."""
 
+from decimal import Decimal
 import os
 import tempfile
 from collections import defaultdict
@@ -121,7 +122,7 @@ def test_review_files_and_cleaned_table_hand_over(spark):
     stop = read_stopwords(spark, os.path.join(d, "stopwords.txt"))
     assert reviews.count() == 4
     toks = T.review_tokens(T.clean_reviews(reviews))
-    table = T.rebuild_clean_text(toks, stop, bounded=True)
+    table = T.rebuild_clean_text(toks, stop, broadcast=True)
     got = {r["id"]: r["review"] for r in table.collect()}
     assert got == {"1": "phòng,đẹp,sạch,rất,tốt", "3": "giá,rẻ,phục,vụ,tốt"}
     # store the cleaned table like the reference (";", no header) and re-read it
@@ -182,8 +183,8 @@ def test_commerce_files(spark):
                                     F.col("Order_ID").alias("order_id"),
                                     F.col("Price").alias("price"))
     # s1 and s2 both earn 15.10; s1 has two orders, so it ranks first
-    assert [tuple(r) for r in C.seller_ranking(items, 2).collect()] == [("s1", 15.1, 2),
-                                                                       ("s2", 15.1, 1)]
+    assert [tuple(r) for r in C.seller_ranking(items, 2).collect()] == [
+        ("s1", Decimal("15.10"), 2), ("s2", Decimal("15.10"), 1)]
 
 
 def test_declared_commerce_schema_checks_the_header(spark):

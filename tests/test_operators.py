@@ -119,33 +119,57 @@ def test_label_and_year_jobs(spark):
                                                    ("Unknown", 4.0, 1)]
 
 
-def test_bounded_broadcast_checks_the_bound(spark):
-    from tessera.operators.dims import bounded_broadcast
+def test_lookup_is_hinted_only_on_request(spark):
+    from tessera.operators.dims import lookup
 
-    small = spark.range(10)
-    big = spark.range(1000)
-    other = spark.range(5000).withColumnRenamed("id", "k")
+    fact = spark.range(5000).withColumnRenamed("id", "k")
+    dim = spark.range(10).selectExpr("id", "id AS v")
 
-    def plan(side):
-        return other.join(side, other.k == side.id)._jdf.queryExecution().executedPlan().toString()
+    def plan(**kw):
+        return lookup(fact, dim, "k", "id", "v", **kw)._jdf.queryExecution().executedPlan().toString()
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert "BroadcastHashJoin" in plan(bounded_broadcast(small, max_rows=100))
-        assert "SortMergeJoin" in plan(bounded_broadcast(big, max_rows=100))
+        assert "BroadcastHashJoin" in plan(broadcast=True)
+        assert "SortMergeJoin" in plan()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_spread_only_when_the_scan_is_narrow(spark):
-    from tessera.sources.tables import spread
+def test_items_without_any_score_have_no_mean(spark):
+    r = spark.createDataFrame([(1, "a", None, "0"), (1, "b", 2.0, "0")],
+                              "user_id long, item_id string, score double, ts_text string")
+    i = spark.createDataFrame([("a", "A"), ("b", "B")], "item_id string, title string")
+    assert [x["item_id"] for x in R.item_avg_score(r, i).collect()] == ["b"]
 
-    narrow = spark.range(100).coalesce(1)
-    wide = spark.range(100).repartition(32)
-    assert spread(narrow, "id", min_tasks=8).rdd.getNumPartitions() == 8
-    assert spread(wide, "id", min_tasks=8) is wide      # already wide: untouched
+
+def test_ranking_with_summary_is_sorted(spark, sf_small):
+    from tessera.plans import bindings as B
+
+    out = B.q_ranking_with_summary(spark, sf_small).collect()
+    ranking = [x for x in out if x["section"] == "ranking"]
+    assert [x["avg_score"] for x in ranking] == sorted((x["avg_score"] for x in ranking), reverse=True)
+    assert out[-1]["section"] == "best" and out[-1]["item_id"] == ranking[0]["item_id"]
+
+
+def test_writers_keep_nulls_and_reject_separators(spark, tmp_path):
+    import pytest
+    from tessera.sources.writers import write_delimited, write_key_value_text
+
+    df = spark.createDataFrame([("b", None), (None, "2.0"), ("", "x")], "k string, v string")
+    write_key_value_text(df, "k", "v", str(tmp_path / "kv"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "kv")).collect()) == [
+        "\t2.0", "\tx", "b\t"]
+    write_delimited(df, str(tmp_path / "d"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "d")).collect()) == [
+        ";2.0", ";x", "b;"]
+    for bad in ("a\tb", "a;b"):
+        one = spark.createDataFrame([(bad, "1")], "k string, v string")
+        with pytest.raises(Exception):
+            write_key_value_text(one, "k", "v", str(tmp_path / "x1"))
+            write_delimited(one, str(tmp_path / "x2"))
 
 
 def test_schema_profile_counts_nulls_and_distincts(spark):

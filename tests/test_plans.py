@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from tessera.plans import QUERIES
 
 
 def plan(df) -> str:
@@ -11,7 +11,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def qs():
-    return E.queries()
+    return QUERIES
 
 
 def test_stopword_removal_is_broadcast_anti_join(spark, sf_small, qs):
