@@ -322,7 +322,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)),
                      pa.array((bytes_[first[1:]] - bytes_[first[:-1]]).astype(np.int64)),
-                     pa.array(score),
+                     pa.array(score, pa.float64()),
                      pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))],
                     names=["doc_id", "n_pieces", "n_byte_pieces", "log_score", "ids"])
 
@@ -377,7 +377,7 @@ def encode_and_check(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)),
                      pa.array((bytes_[first[1:]] - bytes_[first[:-1]]).astype(np.int64)),
-                     pa.array(score), pa.array(same),
+                     pa.array(score, pa.float64()), pa.array(same),
                      pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))],
                     names=["doc_id", "n_pieces", "n_byte_pieces", "log_score", "round_trip", "ids"])
 
