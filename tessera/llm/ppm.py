@@ -44,7 +44,7 @@ ORDER = 5
 END = 0xFF
 CHUNK_BYTES = 12 << 20
 HELD_OUT = (7, 2)      # crc32(doc_id as text) mod 7 = 2
-PART_ROWS = 1_000_000
+PART_ROWS = 400_000
 _WORD, _BYTES = 0, 1
 #: the end of a text as a word: the hash of no bytes at all
 _END_WORD = span_hash(np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64))
@@ -85,7 +85,7 @@ def _sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _parts(ids: bytes, offs: bytes, data: bytes, kinds=(_WORD, _BYTES)):
     """Slices of a chunk: doc ids, and (rows, keys) of each kind asked for."""
     keys, buf, off = unpack(ids, offs, data)
-    for lo, hi in row_slices(off, 1 << 20):
+    for lo, hi in row_slices(off, 1 << 19):
         low, own = LOWER[buf[off[lo]:off[hi]]], off[lo:hi + 1] - off[lo]
         found = {}
         if _WORD in kinds:
