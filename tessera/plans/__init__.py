@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.plans import bindings as B
 from tessera.plans import ingest as I
 from tessera.plans.oracle import SQL as ORACLE_SQL
+from tessera.plans.report_jobs import REPORT_QUERIES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +66,8 @@ QUERIES: dict[str, QueryFn] = {
     "key_value_hand_over": I.q_key_value_hand_over,
     "cleaned_table_hand_over": I.q_cleaned_table_hand_over,
     "streaming_word_count": I.q_streaming_word_count,
+    # report lines, stored stages and text layouts
+    **REPORT_QUERIES,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL", "QueryFn"]

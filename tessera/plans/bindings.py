@@ -42,6 +42,9 @@ EXTRA_EPOCH = "n/a"
 EXTRA_USER_ROW = (KNOWN_EXTRA_USER, "F", "n/a", -7)      # -7 is no customer
 EXTRA_ITEM_ROW = (-9, "part without scores")
 EXTRA_SCORE_TEXTS = ("bad", "", None, "0", "five")
+# Added reviews (id, review, aspect, category): a repeated header, one without id, one without text
+EXTRA_REVIEWS = (("id", "review", "aspect", "category"),
+                 (None, "a review without id", "web", "en"), ("-1", None, "web", "en"))
 STATUS_SEGMENTS = ("F", "O")
 STATUS_COLUMNS = ("avg_status_f", "avg_status_o")
 PRICE_EDGES = (100000, 200000, 300000)
@@ -160,6 +163,8 @@ def review_base(spark: SparkSession, d: str) -> DataFrame:
     docs = load(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("review"),
         F.col("source").alias("aspect"), F.col("lang").alias("category"))
+    docs = docs.unionByName(spark.createDataFrame(
+        list(EXTRA_REVIEWS), "id string, review string, aspect string, category string"))
     tasks = spark.conf.get(SPREAD_TASKS, None)
     return spread(docs, "id", int(tasks)) if tasks else docs
 

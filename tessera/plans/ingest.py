@@ -46,7 +46,9 @@ def _part_lines(spark: SparkSession, d: str) -> str:
     """``part`` written as headerless ``id,name,size`` lines plus the
     malformed lines; returns the folder."""
     part = load(spark, d, "part")
-    lines = part.select(F.concat_ws(",", "p_partkey", "p_name", "p_size").alias("value"))
+    lines = part.select(F.concat(*[
+        x for c in ("p_partkey", "p_name", "p_size")
+        for x in (F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(","))][:-1]).alias("value"))
     bad = spark.createDataFrame([(s,) for s in MALFORMED_LINES], "value string")
     path = scratch_path(spark, "tolerant")
     lines.unionByName(bad).write.text(path)

@@ -7,7 +7,6 @@ conversations``.  Column names and types match the Spark results.
 
 from __future__ import annotations
 
-from tessera.plans.reports import AGE_LINE
 from tessera.plans import bindings as B
 from tessera.plans.ingest import MALFORMED_LINES
 
@@ -46,8 +45,7 @@ WORDS = f"list_filter(toks, lambda x: NOT list_contains({STOP}, x))"
 SENT = ("(SELECT CAST(doc_id AS VARCHAR) AS id, min(CASE WHEN quality = 1 THEN 'positive' "
         "WHEN quality = 0 THEN 'negative' END) AS sentiment FROM labels GROUP BY doc_id)")
 CLEANED = (f"(SELECT CAST(doc_id AS VARCHAR) AS id, {CLEAN} AS review, source AS aspect, "
-           f"lang AS category FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL "
-           f"AND CAST(doc_id AS VARCHAR) <> 'id')")
+           f"lang AS category FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)")
 WORD_ROWS = (f"(SELECT id, aspect, category, {WORDS} AS words FROM "
              f"(SELECT id, aspect, category, {TOKENS} AS toks FROM {CLEANED}))")
 TOKEN_ROWS = (f"(SELECT id, aspect, category, sentiment, CAST(pos AS INTEGER) AS pos, word FROM "
@@ -92,9 +90,25 @@ BAND_LONG = (f"SELECT st.item_id, st.band, round(st.s / st.n, 4) AS avg_score, "
              f"sum(score) AS s, count(score) AS n FROM {RATED} GROUP BY ALL) st "
              f"LEFT JOIN {ITEMS} i USING (item_id)")
 
-# the age line with the widths of its fields (id to 5, band to 8)
-_REPORT_FMT = AGE_LINE.replace("ID: %s", "ID: %-5s").replace("tuổi: %s", "tuổi: %-8s") \
-    .replace("TB: %s", "TB: %.2f").replace("'", "''")
+# Means as text.  Scores are whole numbers, so Java's half-up cents are exact in
+# whole numbers; Python's are those of C.
+def _half_up(s: str, n: str) -> str:
+    cents = f"((200 * CAST({s} AS BIGINT) + {n}) // (2 * {n}))"
+    return f"printf('%d.%02d', {cents} // 100, {cents} % 100)"
+
+
+def _wide_text(name: str, missing: str) -> str:
+    return f"CASE WHEN {name}__n > 0 THEN {_half_up(name + '__s', name + '__n')} ELSE '{missing}' END"
+
+
+_REPORT_FMT = "ID: %-5s | Nhóm tuổi: %-8s | Điểm TB: %.2f | Phim: %s"
+_BEST = (f"(SELECT st.item_id, i.title, st.s, st.n FROM {ITEM_STATS} st JOIN {ITEMS} i "
+         f"USING (item_id) WHERE st.n >= {_T} ORDER BY st.s / st.n DESC, st.item_id LIMIT 1)")
+_TAGS = (f"(SELECT tag, sum(s) AS s, CAST(sum(n) AS BIGINT) AS n FROM (SELECT st.s, st.n, "
+         f"unnest(coalesce(list_filter(string_split(i.title, ' '), lambda x: x <> ''), "
+         f"['Unknown'])) AS tag, i.item_id FROM {ITEM_STATS} st LEFT JOIN {ITEMS} i "
+         f"USING (item_id)) WHERE tag <> 'Unknown' OR KEEP GROUP BY tag)")
+_LINE_RULE = "--------------------------------------------------"
 
 SQL: dict[str, str] = {
     # ---------------------------------------------------------- ratings
@@ -252,6 +266,73 @@ SQL: dict[str, str] = {
         f"FROM (SELECT item_id, {_BAND_LEFT} AS band, sum(score) AS s, count(score) AS n "
         f"FROM {RATED} GROUP BY ALL) st LEFT JOIN {ITEMS} i USING (item_id)"),
 }
+SQL |= {
+    # --------------------------------------------------- report lines and files
+    "report_item_means": (
+        f"SELECT st.item_id, i.title || chr(9) || 'Average Rating: ' || {_half_up('st.s', 'st.n')} "
+        f"|| ' (Total Ratings: ' || st.n || ')' AS line FROM {ITEM_STATS} st "
+        f"JOIN {ITEMS} i USING (item_id)"),
+    "report_best_item": (
+        f"SELECT title || chr(9) || 'is the highest rated movie with an average rating of ' || "
+        f"{_half_up('s', 'n')} || ' among movies with at least {_T} ratings' AS line FROM {_BEST}"),
+    "report_best_item_unmet": "SELECT CAST(l_partkey AS VARCHAR) AS line FROM lineitem WHERE false",
+    "report_tag_means": (
+        f"SELECT tag, tag || ' ' || chr(9) || 'Avg: ' || {_half_up('s', 'n')} || ',  Count: ' || n "
+        f"AS line FROM {_TAGS.replace('KEEP', 'false')}"),
+    "report_segment_means": (
+        f"SELECT i.item_id, i.title || ':' || chr(9) || 'Male: ' || "
+        f"{_wide_text(B.STATUS_COLUMNS[0], '0.00')} || ', Female: ' || "
+        f"{_wide_text(B.STATUS_COLUMNS[1], '0.00')} AS line FROM {ITEMS} i LEFT JOIN "
+        f"(SELECT item_id, {_SEG_AGG} FROM {RATED} GROUP BY item_id) st USING (item_id)"),
+    "report_band_means": (
+        "SELECT i.item_id, i.title || ':' || chr(9) || '[' || " + " || ', ' || ".join(
+            f"'{band}: ' || {_wide_text(name, 'NA')}"
+            for band, name in zip(B.PRICE_BANDS_RIGHT, B.PRICE_BAND_COLUMNS))
+        + f" || ']' AS line FROM {ITEMS} i LEFT JOIN (SELECT item_id, {_BAND_AGG} FROM "
+        f"(SELECT item_id, score, {_BAND_RIGHT} AS band FROM {RATED}) GROUP BY item_id) st "
+        f"USING (item_id)"),
+    "report_ranking": (
+        f"SELECT st.item_id, printf('%d, %s, %.2f, %d', st.item_id, "
+        f"coalesce(i.title, '{UNKNOWN_TITLE}'), st.s / st.n, st.n) AS line FROM {ITEM_STATS} st "
+        f"LEFT JOIN {ITEMS} i USING (item_id) WHERE st.n >= {_T}"),
+    "report_summary": " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS line_no, {text} AS line FROM {_BEST}"
+        for i, text in enumerate((
+            "''", f"'{_LINE_RULE}'", "'KET QUA: PHIM CO DIEM TRUNG BINH CAO NHAT'",
+            "'ID phim: ' || item_id", "'Ten phim: ' || title",
+            "printf('Diem trung binh: %.2f / 5.0', s / n)",
+            "printf('So luot danh gia: %d luot', n)", f"'{_LINE_RULE}'"))),
+    "report_tags": (
+        f"SELECT tag, printf('Thể loại: %-15s | Điểm TB: %.2f | Tổng lượt rating: %d', tag, s / n, n) "
+        f"AS line FROM {_TAGS.replace('KEEP', 'true')}"),
+    "report_segments": (
+        f"SELECT st.item_id, st.segment, printf('ID: %-5s | Giới tính: %s | Điểm TB: %.2f | "
+        f"Phim: %s', CAST(st.item_id AS VARCHAR), st.segment, st.s / st.n, "
+        f"coalesce(i.title, 'Unknown')) AS line FROM (SELECT item_id, segment, sum(score) AS s, "
+        f"count(score) AS n FROM {RATED} GROUP BY item_id, segment) st "
+        f"LEFT JOIN {ITEMS} i USING (item_id)"),
+    "report_labels": (
+        "SELECT label, printf('Nghề nghiệp: %-15s | Điểm TB: %.2f | Tổng số lượt đánh giá: ', label, "
+        "sum(score) / count(score)) || format('{:,}', count(score)) AS line FROM (SELECT r.score, "
+        "CASE WHEN u.user_id IS NULL THEN 'Unknown' ELSE coalesce(c.name, "
+        "CAST(u.code AS VARCHAR), 'Unknown') END AS label "
+        f"FROM {RATINGS} r LEFT JOIN {USERS} u USING (user_id) LEFT JOIN (SELECT c_custkey AS code, "
+        "min(c_mktsegment) AS name FROM customer GROUP BY c_custkey) c ON u.code = c.code) "
+        "GROUP BY label"),
+    "report_years": (
+        "SELECT coalesce(year, 'Unknown') AS year, printf('Năm: %s | Điểm TB: %.2f | "
+        "Tổng số lượt đánh giá: ', coalesce(year, 'Unknown'), sum(score) / count(score)) "
+        f"|| format('{{:,}}', count(score)) AS line FROM {RATINGS} GROUP BY 1, coalesce(year, 'Unknown')"),
+    "staged_category_counts": SQL["count_by_category"],
+    "rebuild_with_stopword_file": SQL["rebuild_clean_text"],
+    "read_limited_split": (
+        "SELECT p_partkey AS item_id, p_name AS title, p_type || ',' || p_brand AS rest FROM part"),
+    "title_with_commas": (
+        "SELECT p_partkey AS item_id, p_name || ',' || p_brand AS title, "
+        "replace(p_name, ' ', '|') AS tags, "
+        "unnest(list_filter(string_split(p_name, ' '), lambda x: x <> '')) AS tag FROM part"),
+}
+SQL["single_file_report"] = f"SELECT line FROM ({SQL['report_years']})"
 # the stored cleaned table gives the same word counts as the in-plan pipeline
 SQL["cleaned_table_hand_over"] = SQL["word_count"]
 # so does the incremental (Structured Streaming) word count over review files
