@@ -7,7 +7,7 @@ stages but the last return the columns of documents.
 
 1. toxicity: documents that the classifier rejects go;
 2. near-duplicates by SimHash: of each group the document of the smallest id stays
-   (3-word shingles, 2 bits; of rows of equal id and text one stays);
+   (3-word shingles, 2 bits; null ids come last, of rows of equal id and text one stays);
 3. decontamination: documents that hold leaked benchmark items go;
 4. personal data: every span is replaced by its kind;
 5. SentencePiece encoding, with the decoded text compared to its source.

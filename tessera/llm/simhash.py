@@ -76,16 +76,19 @@ def fingerprints_of(buf: np.ndarray, off: np.ndarray, words: int = 3, seed: int
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, words: int = 3, *more: str) -> DataFrame:
+    """(doc_id, further columns, fp): the fingerprint as a signed 64-bit integer."""
     def run(batches):
         for batch in batches:
             parts = [fingerprints_of(buf, off, words) for _, _, buf, off
                      in slices_of(batch.column(1))]
             fp = np.concatenate(parts) if parts else np.zeros(0, U64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))],
-                                             names=["doc_id", "fp"])
-    return bound_tables(docs, "doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *batch.columns[2:], pa.array(fp.view(np.int64))],
+                names=["doc_id", *more, "fp"])
+    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in more)
+    return bound_tables(docs, "doc_id", "text", *more).mapInArrow(
+        run, f"doc_id bigint, {kinds}fp bigint")
 
 
 class BKTree:
@@ -227,15 +230,20 @@ def components(edges: DataFrame, spark: SparkSession) -> DataFrame:
                              .distinct())
 
 
+def _rooted(classes: DataFrame, spark: SparkSession, radius: int) -> DataFrame:
+    """``classes`` (one row for each fp) with the ``root`` of each fingerprint's component."""
+    found = components(links(classes.select("fp"), spark, radius), spark)
+    return (classes.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+            .select(*classes.columns, F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     """doc_id, fingerprint, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     prints = materialize(fingerprints(docs, words), spark, "simhash-prints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(classes.select("fp"), spark, radius), spark)
-    rooted = (classes.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(classes, spark, radius)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
@@ -244,15 +252,24 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
 
 def one_of_each_group(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     """Rows of ``docs`` (all its columns), one of each group: that of the smallest
-    doc_id; of several rows of that id, one.  Rows without an id all stay.
+    doc_id (null ids last); of several texts of that id, that of the smallest
+    hash; of rows of equal id and text, one.
 
-    Groups are settled on ids and fingerprints; the texts are shuffled once, by
-    their own id.
+    A row is known by a hash of its id and text.  Groups are settled on these
+    and fingerprints; the texts are shuffled once, by that hash, and only after
+    each task has left one row of each.
     """
-    named = docs.where("doc_id IS NOT NULL")
-    found = near_duplicates(named, words, radius)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    own = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    kept = (named.join(keep, "doc_id", "left_semi").withColumn("_row", F.row_number().over(own))
-            .where("_row = 1").select(*docs.columns))
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    own = F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit(":"),
+                   F.coalesce(docs["text"], F.lit("")))
+    keyed = docs.withColumn("_key", F.unhex(F.md5(own)))
+    prints = materialize(fingerprints(keyed, words, "_key"), spark, "simhash-prints")
+    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_key")
+    classes = prints.groupBy("fp").agg(F.min(order).alias("least"))
+    keep = (_rooted(classes, spark, radius).groupBy("root").agg(F.min("least").alias("least"))
+            .select("least._key"))
+    copies = Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns))
+    # an inner join: a semi join would be moved below the window, where copies meet in one task
+    return (keyed.withColumn("_row", F.row_number().over(copies)).where("_row = 1")
+            .join(keep, "_key").select(*docs.columns))

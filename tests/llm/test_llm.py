@@ -265,6 +265,20 @@ def test_near_duplicates_against_all_pairs(docs, empty):
         {c for i, _, c in expect if i is not None}) and kept.count(None) == 1
 
 
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(5, x, "a"), (5, y, "a"), (1, z, "a"), (3, z, "b"), (3, z + " " + x, "b"), (3, z, "c"),
+            (None, y + " " + z, "a"), (None, y + " " + z, "b"), (None, y + " " + z, "b"),
+            (None, x, "a"), (7, None, "a"), (7, "", "a"), (None, None, "a")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [(r.doc_id, r.text or "") for r in simhash.one_of_each_group(d).collect()]
+    assert sorted(kept, key=repr) == want(
+        [(5, x), (5, y), (1, z), (3, z + " " + x), (None, y + " " + z), (7, "")])
+    assert simhash.one_of_each_group(d.where("false")).count() == 0
+    plan = simhash.one_of_each_group(d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2      # one before the shuffle
+
+
 def test_links_join_what_all_pairs_join(spark, monkeypatch):
     rnd = random.Random(9)
     near = set()
