@@ -4,8 +4,9 @@ Base spans are the leftmost non-overlapping matches of four patterns (email,
 IPv4 address, payment card, phone number) on the text as it is.  A text with
 signs of disguise is then run through three transducers, each of which carries
 along the source span of every character it writes: look-alike characters
-become plain ones (invisible ones vanish), digits spelled out become digits,
-and ``(at)``/``dot`` forms become ``@`` and ``.``.  The same patterns run on the
+become plain ones (invisible ones vanish; O, l, I in numbers are digits), digits
+spelled out, all or some, become digits, and ``(at)``/``dot`` forms and a bare
+``at`` before a domain become ``@`` and ``.``.  The same patterns run on the
 normalised text; matches that needed a rewritten character are added, mapped
 back to source characters, unless a base span of their kind says as much.
 
@@ -97,29 +98,35 @@ _SPOKEN = {"plus": "+", "dash": "-", "hyphen": "-", "minus": "-", "dot": ".", "p
 _NUMERAL = "|".join(sorted(SPELLED, key=len, reverse=True))
 
 _ODD = re.compile("[^\x00-ɏ]|[ ­·]")
-_TWO_SPELLED = re.compile(rf"\b(?:{_NUMERAL})[\s,.;/-]+(?:{_NUMERAL})\b")
+_WORD = re.compile(r"[^\W\d_]+")
 _RARE = frozenset(SPELLED) - {"un"}
 _BRACKETED = re.compile(r"[(\[{<]\s*(?:at|@|arroba|dot|\.|punkt|punto|point)\s*[)\]}>]", re.I)
 _BARE_DOT = re.compile(r"\s(?:dot|punkt|punto|point)\s", re.I)
-_LOOSE = re.compile(r"[0-9][OolI|](?=[0-9])")
+# letters for 0 and 1: any run between digits, and those of a number of parts that - or . join
+_NEAR_DIGIT = re.compile(r"[0-9][-.]?[OolI|]|[OolI][-.]?[0-9]")
+_BETWEEN = re.compile(r"(?<=[0-9])[OolI|]+(?=[0-9])")
+_LOOSE = re.compile(r"(?<![^\W_])[0-9OolI]++(?:[-.][0-9OolI]+)*(?![^\W_])")
 
-_ITEM = rf"(?:(?:{_NUMERAL})\b|[0-9]+)"
+_ITEM = rf"(?:(?:{_NUMERAL})(?![^\W\d])|[0-9]+)"
 _RUN = re.compile(rf"\b(?:plus\b[\s,]+)?{_ITEM}(?:(?:[\s,;/-]+(?:dash|hyphen|minus|dot|point|punkt|punto)\b)?"
                   rf"[\s,;/().-]*{_ITEM})*", re.I)
-_RUN_ITEM = re.compile(rf"(?:{_NUMERAL}|{'|'.join(_SPOKEN)})\b|[0-9]+|[().+-]", re.I)
+_RUN_ITEM = re.compile(rf"(?:{_NUMERAL}|{'|'.join(_SPOKEN)})(?![^\W\d])|[0-9]+|[().+-]", re.I)
 _AT = re.compile(r"\s*[(\[{<]\s*(?:at|@|arroba)\s*[)\]}>]\s*", re.I)
 _DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|\.|punkt|punto|point)\s*[)\]}>]\s*", re.I)
 
 
 def _worded(at: str, dot: str) -> re.Pattern:
-    """An address with spelled dots in its domain."""
-    return re.compile(rf"[A-Za-z0-9._%+-]+(?:\s+{dot}\s+[A-Za-z0-9_%+-]+)*(?P<at>{at})"
-                      rf"[A-Za-z0-9-]+(?:(?:\s+{dot}\s+|\.)[A-Za-z0-9-]+)*\s+{dot}\s+[A-Za-z]{{2,}}"
-                      rf"(?:(?:\s+{dot}\s+|\.)[A-Za-z]{{2,}})*", re.I)
+    """An address with spelled or real dots in its domain."""
+    point = rf"(?:\s+{dot}\s+|\.)"
+    return re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\s+{dot}\s+[A-Za-z0-9_%+-]+)*(?P<at>{at})"
+                      rf"[A-Za-z0-9-]+(?:{point}[A-Za-z0-9-]+)*{point}[A-Za-z]{{2,}}"
+                      rf"(?:{point}[A-Za-z]{{2,}})*", re.I)
 
 
 # beside a spelled "at" only "dot" counts; beside a sign the other languages' words too
 _WORDED = (_worded(r"\s+at\s+", "dot"), _worded(r"\s*@\s*", "(?:dot|punkt|punto|point)"))
+_APART = re.compile(r"\sat\s|\s@|@\s", re.I)
+_BARE_AT = re.compile(r"\s(?:at|@)\s+(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2}", re.I)
 _DOT_WORD = re.compile(r"\s+(?:dot|punkt|punto|point)\s+", re.I)
 
 
@@ -163,46 +170,64 @@ def _plain(c: str) -> str | None:
     return form if form != c and form.isascii() and form.strip() else None
 
 
+def _loose(text: str) -> list[tuple[int, int, str]]:
+    at = {i for m in _BETWEEN.finditer(text) for i in range(*m.span())}
+    for m in _LOOSE.finditer(text):
+        if _DIGIT.search(m.group()):
+            at.update(i for i in range(*m.span()) if text[i] in "OolI")
+    return [(i, i + 1, "0" if text[i] in "Oo" else "1") for i in sorted(at)]
+
+
 def _spelled(text: str) -> list[tuple[int, int, str]]:
+    """Runs of three spelled digits, or of fewer and at least the four digits of an IP address."""
     out = []
     for m in _RUN.finditer(text):
         items = [i.group().lower() for i in _RUN_ITEM.finditer(m.group())]
-        if sum(i in SPELLED for i in items) >= 3:
+        n = sum(i in SPELLED for i in items)
+        if n == 1 and "un" in (items[0], items[-1]):
+            continue        # the article before or after a number
+        if n >= 3 or n and n + sum(len(i) for i in items if i.isdecimal()) >= 4:
             out.append((*m.span(), "".join(SPELLED.get(i) or _SPOKEN.get(i) or i for i in items)))
     return out
 
 
+def _maybe_spelled(text: str) -> bool:
+    """A cheap necessary sign of a run with spelled digits: such a word, or the article "un"
+    three times or beside digits."""
+    words = _WORD.findall(text.lower())
+    return not _RARE.isdisjoint(words) or "un" in words and (
+        words.count("un") >= 3 or bool(_DIGIT.search(text)))
+
+
+def _numbers(text: str) -> list[tuple[int, int, str]]:
+    return _spelled(text) if _maybe_spelled(text) else []
+
+
 def normalise(text: str) -> Traced:
     """The three transducers, one after the other."""
     t = Traced(text)
     if _ODD.search(text):
         t.rewrite([(m.start(), m.end(), p) for m in _ODD.finditer(text)
                    if (p := _plain(m.group())) is not None])
-    loose = [(m.start() + 1, m.end(), "0" if m.group()[1] in "Oo" else "1")
-             for m in _LOOSE.finditer(t.text)]
-    if loose:
-        t.rewrite(loose)
-    if _TWO_SPELLED.search(t.text.lower()):
-        t.rewrite(_spelled(t.text))
+    if _NEAR_DIGIT.search(t.text):
+        t.rewrite(_loose(t.text))
+    t.rewrite(_numbers(t.text))
     t.rewrite([(*m.span(), "@") for m in _AT.finditer(t.text)])
     t.rewrite([(*m.span(), ".") for m in _DOT.finditer(t.text)])
-    for form in _WORDED if _BARE_DOT.search(t.text) else ():
+    for form in _WORDED if _BARE_DOT.search(t.text) or _APART.search(t.text) else ():
         changes = []
         for m in form.finditer(t.text):
             dots = [(d.start() + m.start(), d.end() + m.start(), ".") for d in _DOT_WORD.finditer(m.group())]
+            at = m.group("at")
+            # a sign with a space before or after it only, as of a name that is called, needs a rewritten dot
+            if "@" in at and not dots and not (at[0] != "@" != at[-1]) and not any(t.new[m.end("at"):m.end()]):
+                continue
             changes += [c for c in dots if c[1] <= m.start("at")] + [(*m.span("at"), "@")] \
                 + [c for c in dots if c[0] >= m.end("at")]
         t.rewrite(changes)
     return t
 
 
-def _maybe_spelled(low: str) -> bool:
-    """A cheap necessary sign of digits spelled in a row: such a word, or a run of the article "un"."""
-    for c in ",.;/-()":
-        low = low.replace(c, " ")
-    return not _RARE.isdisjoint(low.split()) or "un un un" in low
-
-
 def disguised(text: str) -> bool:
     """Signs of a disguise; without one the transducers would change nothing that matters."""
     if not text.isascii() and any(_plain(c) is not None for c in set(_ODD.findall(text))):
@@ -212,7 +237,9 @@ def disguised(text: str) -> bool:
     low = text.lower()
     if any(w in low for w in ("dot", "punkt", "punto", "point")) and _BARE_DOT.search(text):
         return True
-    return _maybe_spelled(low) and bool(_TWO_SPELLED.search(low)) or bool(_LOOSE.search(text))
+    if "." in text and _BARE_AT.search(text):
+        return True
+    return bool(_NEAR_DIGIT.search(text) and _loose(text) or _numbers(text))
 
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:

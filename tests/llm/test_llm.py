@@ -373,6 +373,45 @@ def test_disguised_identifiers(text, found):
     assert extra == ([found] if found else [])
 
 
+@pytest.mark.parametrize("text, found", [
+    ("x +1 four 1 five 5 five 5 zero 1 nine 9 y", "+1 four 1 five 5 five 5 zero 1 nine 9"),
+    ("call +1 415 555 013 nine now", "+1 415 555 013 nine"),
+    ("call +1 (415) five55-0139 now", "+1 (415) five55-0139"),
+    ("card 4111 1111 one111 1111 x", "4111 1111 one111 1111"),
+    ("ip 10.zero.0.1 x", "10.zero.0.1"), ("ip one92 dot 168 dot 0 dot 7 x", "one92 dot 168 dot 0 dot 7"),
+    ("mail alice at example [dot] com x", "alice at example [dot] com"),
+    ("mail alice at mail.example.com x", "alice at mail.example.com"),
+    ("mail alice at mail dot example.com x", "alice at mail dot example.com"),
+    ("mail alice @ example.com x", "alice @ example.com"),
+    ("mail alice @example [dot] com x", "alice @example [dot] com"),
+    ("call +1 4OO-555-O199 x", "+1 4OO-555-O199"), ("call +1 4OO-OOO-O199 x", "+1 4OO-OOO-O199"),
+    ("card 4lll-llII-1I1l-llll x", "4lll-llII-1I1l-llll"), ("ip lO.O.O.1 x", "lO.O.O.1"),
+    ("call @first.second or one 5 two 6", None), ("four 1 one 1 one 2 or 1999 one more", None),
+    ("+1 (848) 555-1373 Un autre", None), ("call +1 848 un 555 1373", "+1 848 un 555 1373"),
+    ("at 10.30 we met at noon. The six of 12 left", None), ("in 5 I saw 12 Oo and l1l", None)])
+def test_disguised_identifiers_of_mixed_forms(text, found):
+    base, spans = pii.find(text)
+    assert [text[a:b] for k, a, b in spans if (k, a, b) not in base] == ([found] if found else [])
+
+
+def test_no_sign_of_disguise_means_no_change():
+    rnd = random.Random(6)
+    parts = ["one", "five", "un", "5", "41", "O", "l", "I", "|", " ", " ", "-", ".", ",", " at ", "@", "dot",
+             " dot ", "mail", "com", "+1", "[dot]", "(at)", "а", "plus"]
+    for _ in range(20000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(14)))
+        if not pii.disguised(text):
+            t = pii.normalise(text)
+            changed = [s for s in pii.base_spans(t.text) if any(t.new[s[1]:s[2]])]
+            base = pii.base_spans(text)
+            assert all((k, t.span[a][0], t.span[b - 1][1]) in base for k, a, b in changed), text
+
+
+def test_long_unbroken_texts_are_searched_in_one_pass():
+    for text in ("x" * 200000 + " at y.z", "a at " + "b." * 100000 + "1", "4O" * 100000 + "x", "O-" * 100000):
+        pii.find(text)
+
+
 def test_personal_data_of_a_table(docs, empty):
     out = {r.doc_id: r for r in pii.personal_data(docs).collect()}
     assert (out[11].n_email, out[11].n_ip, out[11].n_card, out[11].n_phone) == (1, 1, 1, 1)
