@@ -10,8 +10,9 @@ of its tokens; an item shorter than a seed leaks if it occurs whole.
 
 The benchmark is the query set: it is taken in blocks of about
 ``BLOCK_BYTES`` of text, and each block's seeds go to all tasks (a bounded
-broadcast) for one scan of the documents, so a larger benchmark costs more
-scans and never more memory.
+broadcast) for one scan of the documents, which is written to the shared folder
+before the next block is loaded, so a larger benchmark costs more scans and
+never more memory.
 
 Defined results: null or empty texts share nothing, and an item without tokens
 leaks nowhere; repeated rows, documents or items, each give their own rows; a
@@ -25,11 +26,12 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.blocks import (as_strings, bound_tables, bounded_batches, slices_of, span_hash,
                                 window_hash, words_of)
+from tessera.sources.writers import materialize
 
 MIN_TILE = 4
 COVERAGE = 0.5
@@ -175,17 +177,43 @@ class Items:
                 yield row, i, share, len(tiles), max(k for _, _, k in tiles)
 
 
-def _blocks(benchmark: DataFrame):
-    """The benchmark in blocks of about ``BLOCK_BYTES``, each brought to the driver in turn."""
+def _blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The benchmark's rows in blocks of at most ``BLOCK_BYTES`` and one text.
+
+    Rows are dealt out evenly, equal ones too, and each share is cut by its running size.
+    """
     rows = bound_tables(benchmark, "item_id", "text").where("text IS NOT NULL")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for b in range(blocks):
-        got = rows.where(place == b).collect()
-        items = Items([r["item_id"] for r in got], [r["text"] for r in got])
+    shares = -(-size // BLOCK_BYTES)
+    if shares <= 1:
+        return [rows]
+    before = Window.partitionBy("share").orderBy("item_id", "text").rowsBetween(
+        Window.unboundedPreceding, -1)
+    cut = F.floor(F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)) / BLOCK_BYTES)
+    dealt = materialize(rows.repartition(shares).withColumn("share", F.spark_partition_id())
+                        .withColumn("cut", cut), benchmark.sparkSession, "benchmark",
+                        partition_by=["share", "cut"])
+    return [dealt.where((F.col("share") == r["share"]) & (F.col("cut") == r["cut"]))
+            for r in dealt.select("share", "cut").distinct().orderBy("share", "cut").collect()]
+
+
+def _items(rows: DataFrame) -> Items:
+    got = rows.select("item_id", "text").collect()
+    return Items([r["item_id"] for r in got], [r["text"] for r in got])
+
+
+def _by_block(blocks: list[DataFrame], scan) -> list[DataFrame]:
+    """``scan(items)`` of every block.  Of several blocks only one is held at a
+    time: each scan is written out before the next block is loaded."""
+    out = []
+    for rows in blocks:
+        items = _items(rows)
         if items.ids:
-            yield items
+            found = scan(items)
+            del items
+            out.append(materialize(found, rows.sparkSession, "leaks") if len(blocks) > 1 else found)
+            del found
+    return out
 
 
 _FOUND = "doc_id bigint, item_id bigint, coverage double, n_tiles bigint, longest bigint"
@@ -214,29 +242,50 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         return source.mapInArrow(run, _FOUND)
 
     out = None
-    for items in _blocks(benchmark):
-        found = scan(items)
+    for found in _by_block(_blocks(benchmark), scan):
         out = found if out is None else out.unionByName(found)
     return source.where("false").selectExpr(
         "doc_id", "0L item_id", "0D coverage", "0L n_tiles", "0L longest") if out is None else out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """Rows of ``docs`` (all its columns) in which no benchmark item leaks."""
+    """Rows of ``docs`` (all its columns) in which no benchmark item leaks.
+
+    One block filters the rows as they are read.  Of several blocks each gives
+    the digests of the texts with leaks, as these depend on the text alone.
+    """
     bounded_batches(docs.sparkSession)
     at = docs.columns.index("text")
     schema = docs.schema
 
-    def clean(items: Items):
+    def leaky(items: Items, column) -> np.ndarray:
+        bad = np.zeros(len(column), bool)
+        for lo, w, h in _tokens(column):
+            for row, *_ in items.leaks(h, w.first, coverage):
+                bad[lo + row] = True
+        return bad
+
+    def clean(items: Items) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(~leaky(items, batch.column(at))))
+        return docs.mapInArrow(run, schema)
+
+    digest = F.unhex(F.md5(F.coalesce(docs["text"], F.lit(""))))
+
+    def scan(items: Items) -> DataFrame:
         def run(batches):
             for batch in batches:
-                bad = np.zeros(batch.num_rows, bool)
-                for lo, w, h in _tokens(batch.column(at)):
-                    for row, *_ in items.leaks(h, w.first, coverage):
-                        bad[lo + row] = True
-                yield batch.filter(pa.array(~bad))
-        return run
-
-    for items in _blocks(benchmark):
-        docs = docs.mapInArrow(clean(items), schema)
-    return docs
+                yield batch.select([0]).filter(pa.array(leaky(items, batch.column(1))))
+        return docs.select(digest.alias("_text"), docs["text"]).mapInArrow(run, "_text binary")
+
+    blocks = _blocks(benchmark)
+    if len(blocks) == 1:
+        return (_by_block(blocks, clean) or [docs])[0]
+    found = _by_block(blocks, scan)
+    if not found:
+        return docs
+    leaked = found[0]
+    for more in found[1:]:
+        leaked = leaked.unionByName(more)
+    return docs.withColumn("_text", digest).join(leaked.distinct(), "_text", "left_anti").select(*docs.columns)

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -126,6 +127,33 @@ def test_leaks_are_found_also_reordered(spark):
     assert decontam.leaks(d.where("false"), b).count() == 0
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    alive, most, sizes, own = set(), [], [], decontam.Items.__init__
+
+    def begin(self, ids, texts):
+        own(self, ids, texts)
+        sizes.append(sum(len(t) for t in texts))
+        mark = object()
+        alive.add(id(mark))
+        weakref.finalize(self, lambda m=mark: alive.discard(id(m)))
+        most.append(len(alive))
+
+    item = " ".join(f"q{i}" for i in range(20))
+    other = [" ".join(f"o{k}x{i}" for i in range(20)) for k in range(30)]
+    d = spark.createDataFrame([(1, "pre " + item), (1, other[3]), (2, other[29]), (3, "clean text of words"),
+                               (None, other[5]), (None, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(7, item)] * 40 + list(enumerate(other)), "item_id long, text string")
+    once = [decontam.leaks(d, b), decontam.without_leaks(d, b)]
+    once = [got(f, *f.columns) for f in once]
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 600)
+    monkeypatch.setattr(decontam.Items, "__init__", begin)
+    many = [decontam.leaks(d, b), decontam.without_leaks(d, b)]
+    assert len(sizes) > 8 and max(sizes) < 600 + max(map(len, [item, *other]))
+    assert max(most) == 1
+    assert [got(f, *f.columns) for f in many] == once
+    assert once[1] == want([(3, "clean text of words"), (None, None)]) and len(once[0]) == 43
+
+
 # ------------------------------------------------------------ 3 token counts
 def test_token_counts_equal_the_library(spark, docs, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
