@@ -67,8 +67,8 @@ def repeated_words(words: Column, size: int = 3) -> Column:
                                           F.lit(0).cast("long")).otherwise(repeats(h)))))
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, host, digest of the text, and the text's own counts."""
+def measures(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+    """doc_id, host, digest of the text, and the text's own counts (and the text)."""
     text = F.coalesce("text", F.lit(""))
     # one array per row: the words, bound once
     counts = _let(words_of(text), lambda w: F.struct(
@@ -80,7 +80,13 @@ def measures(docs: DataFrame) -> DataFrame:
     symbols = F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]", ""))
     return docs.select("doc_id", F.col("source").alias("host"), F.unhex(F.md5(text)).alias("digest"),
                        counts.alias("c"), symbols.cast("long").alias("n_symbols"),
-                       lines.alias("n_dup_lines"))
+                       lines.alias("n_dup_lines"), *([text.alias("text")] if keep_text else []))
+
+
+def _line_hash(line: Column) -> Column:
+    """Hash of the normalised line."""
+    return F.xxhash64(F.lower(F.regexp_replace(F.regexp_replace(
+        F.btrim(line, F.lit(" \t\r\u000b\f")), r"[0-9]", "0"), GAP, " ")))
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
@@ -90,8 +96,7 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
     host = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("host")
     rows = docs.select(host, F.unhex(F.md5(text)).alias("digest"),
                        F.explode(F.split(text, "\n")).alias("line")).where(F.col("line").rlike(SOLID))
-    plain = F.lower(F.regexp_replace(F.regexp_replace(F.btrim("line", F.lit(" \t\r\u000b\f")), r"[0-9]", "0"), GAP, " "))
-    held = (rows.select("host", "digest", F.xxhash64(plain).alias("line"),
+    held = (rows.select("host", "digest", _line_hash(F.col("line")).alias("line"),
                         F.length(F.regexp_replace("line", GAP, "")).alias("chars"))
             .groupBy("host", "digest", "line").agg(F.sum("chars").alias("chars")))
     n = held.groupBy("host", "line").agg(F.count("*").alias("n"))
@@ -102,25 +107,37 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
     return held, over
 
 
+def _without(text: str, gone: str) -> Column:
+    """The text without lines whose hashes are in ``gone``; lines without words stay."""
+    kept = F.filter(F.split(text, "\n"), lambda x: ~(
+        x.rlike(SOLID) & F.array_contains(F.col(gone), _line_hash(x))))
+    return F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+
+
 def line_quality(docs: DataFrame, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS,
-                 max_share: float = MAX_SHARE, max_lost: float = MAX_LOST) -> DataFrame:
-    """The counts and verdicts of every row of ``docs`` (doc_id, text, source)."""
+                 max_share: float = MAX_SHARE, max_lost: float = MAX_LOST,
+                 keep_text: bool = False) -> DataFrame:
+    """The counts and verdicts of every row of ``docs`` (doc_id, text, source); with
+    ``keep_text`` also the text without its frequent lines of rows that are kept
+    (null for others), else the query's columns alone."""
     docs = docs.select(docs["doc_id"], docs["text"], docs["source"])
     held, over = frequent_lines(docs, min_docs, max_share)
     # copies of a text add to the same sum, so it is divided by their number below
     lost = held.join(over, ["host", "line"]).groupBy("host", "digest").agg(
-        F.sum("chars").alias("lost"))
+        F.sum("chars").alias("lost"), F.collect_set("line").alias("gone"))
     text = F.coalesce("text", F.lit(""))
     copies = docs.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("host"),
                          F.unhex(F.md5(text)).alias("digest")).groupBy("host", "digest").agg(
         F.count("*").alias("copies"))
     lost = lost.join(copies, ["host", "digest"]).select(
-        "host", "digest", (F.col("lost") / F.col("copies")).alias("lost"))
-    own = measures(docs).withColumn("host", F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("-")))
+        "host", "digest", (F.col("lost") / F.col("copies")).alias("lost"), "gone")
+    own = measures(docs, keep_text).withColumn("host", F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("-")))
     out = own.join(lost, ["host", "digest"], "left").select(
         "doc_id", "c.n_words", "c.word_chars", "n_symbols", "n_dup_lines", "c.n_repeat_words",
-        F.coalesce(F.round("lost"), F.lit(0.0)).cast("long").alias("line_chars_removed"))
+        F.coalesce(F.round("lost"), F.lit(0.0)).cast("long").alias("line_chars_removed"),
+        *([_without("text", "gone").alias("clean_text")] if keep_text else []))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn(
+    out = out.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed")
         & (F.col("line_chars_removed") <= max_lost * F.col("word_chars")))
+    return out.withColumn("clean_text", F.when(F.col("kept"), F.col("clean_text"))) if keep_text else out

@@ -357,6 +357,24 @@ def test_operators_equal_their_sql(spark, docs, empty, name, run):
     assert run(empty).count() == 0
 
 
+def test_texts_without_frequent_lines(spark):
+    rows = [(i, f"Shared  Line {i}\n\n" + " ".join(chr(97 + i % 26) * (i + 1) + "abcdefghij"[k % 10] * k for k in range(60))
+             + "\n shared line 7 ", "h" if i % 2 else None) for i in range(60)]
+    rows += [rows[4], (100, "shared line 1", "h"), (101, "Shared line 1\nlone " + rows[0][1].split("\n")[2], "z"),
+             (102, None, "h")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plain = line_quality.line_quality(d)
+    full = line_quality.line_quality(d, keep_text=True)
+    assert got(full, *plain.columns) == got(plain, *plain.columns) and "clean_text" not in plain.columns
+    texts = {i: t for i, t, _ in rows}
+    for r in full.collect():
+        expect = "\n".join(texts[r.doc_id].split("\n")[1:3]) if r.doc_id < 60 else texts[r.doc_id]
+        assert r.clean_text == (expect if r.kept else None)
+        if r.kept:
+            assert r.line_chars_removed == r.word_chars - len("".join(WORD.findall(r.clean_text)))
+    assert sum(r.kept for r in full.collect()) == 62
+
+
 def test_kept_text_of_repeats(docs):
     for r in repeats.repeat_spans(docs, keep_text=True).collect():
         assert hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
