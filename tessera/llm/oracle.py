@@ -46,4 +46,24 @@ kept AS (SELECT r, count(gone.p) AS n_removed,
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
        sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)""",
+    "op11_lexical_search": r"""
+WITH split AS (SELECT row_number() OVER () AS r, doc_id,
+    list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+      lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
+size AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM split WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM size),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM split) GROUP BY r, term),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+           FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), total),
+item AS (SELECT i, item_id, term FROM (SELECT i, item_id, unnest(list_distinct(list_transform(
+    regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+      lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS term
+    FROM (SELECT row_number() OVER () AS i, * FROM benchmark))),
+score AS (SELECT i, item_id, tf.r, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM item JOIN tf USING (term) JOIN weight USING (term) JOIN size ON size.r = tf.r, total
+  GROUP BY i, item_id, tf.r, doc_id HAVING score > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER
+             AS rank FROM score)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }

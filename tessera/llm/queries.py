@@ -5,8 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.alignment import alignment
 from tessera.llm.decontam import leaks
 from tessera.llm.html_text import main_texts
+from tessera.llm.language import language
+from tessera.llm.lexical import search
 from tessera.llm.line_quality import line_quality
 from tessera.llm.oracle import SQL
 from tessera.llm.pieces import encode_and_check
@@ -61,7 +64,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language(load(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_decontamination, op3_token_counts, op4_ppm_scores, op5_pieces, op6_simhash,
-    op7_line_quality, op8_personal_data, op9_repeats, op10_toxicity)}
+    op7_line_quality, op8_personal_data, op9_repeats, op10_toxicity, op11_lexical_search,
+    op12_language, op13_alignment)}
 ORACLE_SQL = dict(SQL)
