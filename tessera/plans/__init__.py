@@ -58,6 +58,7 @@ QUERIES: dict[str, QueryFn] = {
     # ingest and report
     "read_delimited_tolerant": I.q_read_delimited_tolerant,
     "read_quoted_multiline": I.q_read_quoted_multiline,
+    "read_quoted_split": I.q_read_quoted_split,
     "read_glob": I.q_read_glob,
     "read_header_inferred": I.q_read_header_inferred,
     "format_report": I.q_format_report,

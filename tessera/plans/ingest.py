@@ -18,6 +18,7 @@ from tessera.plans import ratings as R
 from tessera.plans.reports import age_lines
 from tessera.session import scratch_path
 from tessera.sources.csv import read_glob, read_header_inferred, read_quoted_multiline
+from tessera.sources.csv_split import read_quoted_split
 from tessera.sources.datasets import REVIEW_SCHEMA, read_cleaned_reviews
 from tessera.streaming import start_word_count
 from tessera.sources.tables import load
@@ -105,13 +106,22 @@ def q_key_value_hand_over(spark: SparkSession, d: str) -> DataFrame:
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string"
 
 
-def q_read_quoted_multiline(spark: SparkSession, d: str) -> DataFrame:
-    """#35 ``documents`` as a ``;`` quoted CSV with a header; the text holds
-    line breaks, quotes and ``;``."""
+def _quoted_documents(spark: SparkSession, d: str) -> str:
     docs = load(spark, d, "documents").select("doc_id", "text", "lang", "source")
     path = scratch_path(spark, "quoted")
     write_delimited(docs, path, sep=";", header=True, quoted=True)
-    return read_quoted_multiline(spark, path, DOC_SCHEMA, sep=";", header=True)
+    return path
+
+
+def q_read_quoted_multiline(spark: SparkSession, d: str) -> DataFrame:
+    """#35 ``documents`` as a ``;`` quoted CSV with a header; the text holds
+    line breaks, quotes and ``;``."""
+    return read_quoted_multiline(spark, _quoted_documents(spark, d), DOC_SCHEMA, sep=";", header=True)
+
+
+def q_read_quoted_split(spark: SparkSession, d: str) -> DataFrame:
+    """The files of #35 read in parallel within each file."""
+    return read_quoted_split(spark, _quoted_documents(spark, d), DOC_SCHEMA, sep=";", header=True)
 
 
 def q_read_glob(spark: SparkSession, d: str) -> DataFrame:

@@ -332,6 +332,7 @@ SQL |= {
         "replace(p_name, ' ', '|') AS tags, "
         "unnest(list_filter(string_split(p_name, ' '), lambda x: x <> '')) AS tag FROM part"),
 }
+SQL["read_quoted_split"] = SQL["read_quoted_multiline"]
 SQL["single_file_report"] = f"SELECT line FROM ({SQL['report_years']})"
 # the stored cleaned table gives the same word counts as the in-plan pipeline
 SQL["cleaned_table_hand_over"] = SQL["word_count"]

@@ -12,6 +12,12 @@ from pyspark.sql.types import StructType
 _VERBATIM = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+def quoted_options(sep: str) -> dict[str, str]:
+    """Options of quoted multi-line CSV; ``escape='"'`` is needed for doubled quotes."""
+    return {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\u0000",
+            "mode": "PERMISSIVE", **_VERBATIM}
+
+
 def read_quoted_multiline(spark: SparkSession, path: str | Sequence[str],
                           schema: StructType | str,
                           sep: str = ";", header: bool = True) -> DataFrame:
@@ -21,11 +27,11 @@ def read_quoted_multiline(spark: SparkSession, path: str | Sequence[str],
     ``escape='"'`` is required: with Spark's default escape a field holding
     ``""`` followed by the separator is torn apart.  A quoted empty field is
     an empty string, an unquoted empty field is NULL.  A multi-line file is
-    read by one task per file, so large inputs should be many files.
+    read by one task per file; for few large files use
+    :func:`~tessera.sources.csv_split.read_quoted_split`.
     """
     return (spark.read.schema(schema)
-            .options(sep=sep, quote='"', escape='"', multiLine="true", nullValue="\u0000",
-                     header=str(header).lower(), mode="PERMISSIVE", **_VERBATIM)
+            .options(header=str(header).lower(), **quoted_options(sep))
             .csv(path))
 
 
