@@ -14,16 +14,19 @@ needs.  A hint is given only where the caller asks for it.
 
 The de-duplicating aggregate sits between the exchange and the join, which
 keeps AQE from splitting a skewed partition of that join; lookups are
-therefore joined to facts already reduced to one row per key.
+therefore joined to facts already reduced to one row per key, and facts that
+have to stay rows go through :func:`join_once_per_key`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.writers import materialize
+
 _ROW = "__first_row"
 _FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date",
                 "timestamp", "timestamp_ntz"}
@@ -110,3 +113,57 @@ def two_hop_lookup(fact: DataFrame, fact_user: str, users: DataFrame, user_key:
              .otherwise(F.coalesce(F.col("__c_name"), F.col("__u_code").cast("string"),
                                    F.lit(missing_user))))
     return step2.withColumn(out, label).drop("__u_key", "__u_code", _FOUND, "__c_key", "__c_name")
+
+
+#: smallest share of the rows that the sketch of frequent keys can tell
+KEY_SUPPORT = 1e-4
+MAX_SALTS = 4096
+
+
+def heavy_keys(fact: DataFrame, key: str, partitions: int, support: float = KEY_SUPPORT) -> DataFrame:
+    """``(__key, __salts)`` of the keys that fill more than one of ``partitions``
+    shuffle partitions, and how many they fill.
+
+    Candidates come from a counting sketch (``freqItems``: a bounded number of
+    counters per task, merged), which misses no key of a larger share than
+    ``support`` but may name others; their rows are then counted exactly.  At
+    most 1 / ``support`` keys, so the result may be broadcast.
+    """
+    keys = fact.select(F.col(key).alias("__key")).where("__key IS NOT NULL")
+    named = keys.stat.freqItems(["__key"], support).select(F.explode(F.col("__key_freqItems")).alias("__key"))
+    # the row count comes with the candidates' counts: one more aggregate of the key column
+    is_named = F.broadcast(named.distinct().withColumn("__named", F.lit(True)))
+    counts = (keys.join(is_named, "__key", "left")
+              .groupBy(F.when(F.col("__named"), F.col("__key")).alias("__key")).agg(F.count(F.lit(1)).alias("n")))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))      # as few rows as candidates
+    fills = F.ceil(F.col("n") * partitions / total)
+    return (counts.withColumn("__salts", F.least(F.lit(MAX_SALTS), fills).cast("int"))
+            .where("__key IS NOT NULL AND __salts > 1").select("__key", "__salts"))
+
+
+def join_once_per_key(fact: DataFrame, dim: DataFrame, key: str, order_by: str | Sequence[str] | None = None,
+                      how: str = "inner", partitions: int | None = None) -> DataFrame:
+    """``fact`` joined to the one row per key that :func:`dedupe_dimension` keeps of ``dim``.
+
+    The de-duplicated side cannot be split by AQE, so rows of heavy keys are
+    dealt over several salts here and the kept row is repeated for each of
+    them, after the de-duplication.  The other keys have one salt.  A row's
+    salt comes from its values and its task, so a repeated task deals it alike.
+    The heavy keys are counted (two aggregates of the key column) and written
+    when the join is built.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how = {how!r}: a repeated dimension row may only be matched")
+    spark = fact.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = F.broadcast(materialize(heavy_keys(fact, key, partitions), spark, "heavy-keys"))
+    own = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns], F.spark_partition_id())
+    salted = (fact.withColumn("__hash", own).join(heavy, F.col(key) == F.col("__key"), "left")
+              .withColumn("__salt", F.pmod("__hash", F.coalesce("__salts", F.lit(1))).cast("int"))
+              .drop("__hash", "__key", "__salts"))
+    kept = dedupe_dimension(dim, key, order_by).withColumnRenamed(key, "__dim_key")
+    repeated = (kept.join(heavy, F.col("__dim_key") == F.col("__key"), "left")
+                .withColumn("__dim_salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+                .drop("__key", "__salts"))
+    on = (F.col(key) == F.col("__dim_key")) & (F.col("__salt") == F.col("__dim_salt"))
+    return salted.join(repeated, on, how).drop("__salt", "__dim_key", "__dim_salt")

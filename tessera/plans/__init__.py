@@ -27,6 +27,7 @@ QUERIES: dict[str, QueryFn] = {
     "tag_avg_score": B.q_tag_avg_score,
     "tag_avg_score_default": B.q_tag_avg_score_default,
     "item_avg_by_segment_wide": B.q_item_avg_by_segment_wide,
+    "item_avg_by_segment_once": B.q_item_avg_by_segment_once,
     "item_avg_by_segment_long": B.q_item_avg_by_segment_long,
     "item_avg_by_band_wide": B.q_item_avg_by_band_wide,
     "item_avg_by_band_long": B.q_item_avg_by_band_long,
@@ -61,6 +62,8 @@ QUERIES: dict[str, QueryFn] = {
     "read_quoted_split": I.q_read_quoted_split,
     "read_glob": I.q_read_glob,
     "read_header_inferred": I.q_read_header_inferred,
+    "read_header_one_pass": I.q_read_header_one_pass,
+    "inferred_types": I.q_inferred_types,
     "format_report": I.q_format_report,
     # further reader/sink operators of the inventory
     "malformed_count": I.q_malformed_count,

@@ -40,6 +40,8 @@ MIN_SUPPORT = 25                       # per-item score counts run 14-49 at sf0.
 EXTRA_SCORES, EXTRA_ITEM, EXTRA_USER, KNOWN_EXTRA_USER = 30, -1, -1, -2
 EXTRA_EPOCH = "n/a"
 EXTRA_USER_ROW = (KNOWN_EXTRA_USER, "F", "n/a", -7)      # -7 is no customer
+# One added rating without a score: the only one of its item, tags, user, code and year
+UNSCORED_USER_ROW, UNSCORED_EPOCH = (-4, "F", "n/a", -8), "0"
 EXTRA_ITEM_ROW = (-9, "part without scores")
 EXTRA_SCORE_TEXTS = ("bad", "", None, "0", "five")
 # Added reviews (id, review, aspect, category): a repeated header, one without id, one without text
@@ -77,7 +79,10 @@ def ratings(spark: SparkSession, d: str) -> DataFrame:
         (i % 5 + 1).cast("double").alias("score"), F.lit(EXTRA_EPOCH).alias("ts_text"))
     return li.select(F.col("l_orderkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
                      F.col("l_quantity").alias("score"),
-                     epoch_seconds("l_shipdate").cast("string").alias("ts_text")).unionByName(extra)
+                     epoch_seconds("l_shipdate").cast("string").alias("ts_text")).unionByName(extra) \
+        .unionByName(spark.createDataFrame(
+            [(UNSCORED_USER_ROW[0], EXTRA_ITEM_ROW[0], None, UNSCORED_EPOCH)],
+            "user_id long, item_id long, score double, ts_text string"))
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
@@ -92,7 +97,7 @@ def users(spark: SparkSession, d: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("user_id"), F.col("o_orderstatus").alias("segment"),
                     F.col("o_totalprice").cast("string").alias("age"),
                     F.col("o_custkey").alias("code")).unionByName(
-        spark.createDataFrame([EXTRA_USER_ROW],
+        spark.createDataFrame([EXTRA_USER_ROW, UNSCORED_USER_ROW],
                               "user_id long, segment string, age string, code long"))
 
 
@@ -134,6 +139,21 @@ def q_item_avg_by_segment_wide(spark, d):
                                       STATUS_SEGMENTS, STATUS_COLUMNS)
 
 
+def repeated_users(spark: SparkSession, d: str) -> DataFrame:
+    """Every order under its customer: a user has as many rows as orders."""
+    return load(spark, d, "orders").select(F.col("o_custkey").alias("user_id"),
+                                           F.col("o_orderstatus").alias("segment"))
+
+
+def q_item_avg_by_segment_once(spark, d):
+    """#7 by customer, where users repeat: one segment is kept of each (JN-2)."""
+    buyers = load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    rated = ratings(spark, d).join(buyers, F.col("user_id") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user_id"), "item_id", "score")
+    return R.item_avg_by_segment_wide(rated, repeated_users(spark, d), items(spark, d),
+                                      STATUS_SEGMENTS, STATUS_COLUMNS, dedupe_users=True)
+
+
 def q_item_avg_by_segment_long(spark, d):
     return R.item_avg_by_segment_long(ratings(spark, d), users(spark, d),
                                       items(spark, d))
@@ -223,17 +243,20 @@ def q_count_by_aspect(spark, d):
     return T.count_rows_by(T.cleaned_keys(word_rows(spark, d), STOPWORDS), "aspect")
 
 
-def labelled_words(spark: SparkSession, d: str, sentiment: str | None = None) -> DataFrame:
-    """Tokens of the labelled reviews (of one sentiment): joined to the raw
-    documents, so that the others are neither cleaned nor tokenised."""
-    lab = sentiments(spark, d).groupBy("id").agg(F.min("sentiment").alias("sentiment"))
-    lab = lab.filter(F.col("sentiment").isNotNull() if sentiment is None
-                     else F.col("sentiment") == sentiment)
+def labelled_words(spark: SparkSession, d: str, sentiment: str) -> DataFrame:
+    """Tokens of the reviews of one sentiment: joined to the raw documents, so
+    that the others are neither cleaned nor tokenised."""
+    lab = sentiments(spark, d).groupBy("id").agg(F.min("sentiment").alias("sentiment")) \
+        .filter(F.col("sentiment") == sentiment)
     return T.review_tokens(T.clean_reviews(review_base(spark, d).join(lab, "id")))
 
 
 def _keys_with_sentiment(spark, d, sentiment=None):
-    return T.cleaned_keys(labelled_words(spark, d, sentiment), STOPWORDS)
+    """Keys of the labelled reviews: the labels meet the keys, never the texts."""
+    lab = sentiments(spark, d).groupBy("id").agg(F.min("sentiment").alias("sentiment"))
+    lab = lab.filter(F.col("sentiment").isNotNull() if sentiment is None
+                     else F.col("sentiment") == sentiment)
+    return T.cleaned_keys(word_rows(spark, d), STOPWORDS).join(lab, "id")
 
 
 def q_count_by_aspect_sentiment(spark, d):

@@ -19,6 +19,7 @@ from tessera.plans.reports import age_lines
 from tessera.session import scratch_path
 from tessera.sources.csv import read_glob, read_header_inferred, read_quoted_multiline
 from tessera.sources.csv_split import read_quoted_split
+from tessera.sources.infer import read_header_one_pass
 from tessera.sources.datasets import REVIEW_SCHEMA, read_cleaned_reviews
 from tessera.streaming import start_word_count
 from tessera.sources.tables import load
@@ -140,12 +141,29 @@ def q_read_glob(spark: SparkSession, d: str) -> DataFrame:
         .drop("source_file")
 
 
+def _with_header(spark: SparkSession, d: str, table: str) -> str:
+    path = scratch_path(spark, "header")
+    write_delimited(load(spark, d, table), path, sep=";", header=True)
+    return path
+
+
 def q_read_header_inferred(spark: SparkSession, d: str) -> DataFrame:
     """#37 ``customer`` as a ``;`` CSV with a header, types inferred."""
-    cust = load(spark, d, "customer")
-    path = scratch_path(spark, "header")
-    write_delimited(cust, path, sep=";", header=True)
-    return read_header_inferred(spark, path, sep=";")
+    return read_header_inferred(spark, _with_header(spark, d, "customer"), sep=";")
+
+
+def q_read_header_one_pass(spark: SparkSession, d: str) -> DataFrame:
+    """The file of #37 under types inferred in one aggregate."""
+    return read_header_one_pass(spark, _with_header(spark, d, "customer"), sep=";")[0]
+
+
+def q_inferred_types(spark: SparkSession, d: str) -> DataFrame:
+    """Column, type and rows of ``orders`` and ``customer`` as CSV, inferred in one pass each."""
+    found = []
+    for table in ("orders", "customer"):
+        df, rows = read_header_one_pass(spark, _with_header(spark, d, table), sep=";")
+        found += [(table, f.name, f.dataType.simpleString(), rows) for f in df.schema]
+    return spark.createDataFrame(found, "table_name string, column_name string, data_type string, n_rows long")
 
 
 def q_format_report(spark: SparkSession, d: str) -> DataFrame:

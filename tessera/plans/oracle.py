@@ -22,13 +22,15 @@ STOP = _lit_list(sorted(set(B.STOPWORDS)))
 # the tables with the few added rows that make the defaults fire
 RATINGS = ("(SELECT l_orderkey AS user_id, l_partkey AS item_id, l_quantity AS score, "
            "year(l_shipdate)::VARCHAR AS year FROM lineitem UNION ALL "
-           "SELECT -1 - i % 2, -1, CAST(1 + i % 5 AS DOUBLE), NULL FROM range(30) r(i))")
+           "SELECT -1 - i % 2, -1, CAST(1 + i % 5 AS DOUBLE), NULL FROM range(30) r(i) UNION ALL "
+           "SELECT -4, -9, NULL, '1970')")
 USERS = ("(SELECT o_orderkey AS user_id, o_orderstatus AS segment, o_totalprice AS age, "
-         "o_custkey AS code FROM orders UNION ALL SELECT -2, 'F', NULL, -7)")
+         "o_custkey AS code FROM orders UNION ALL SELECT -2, 'F', NULL, -7 "
+         "UNION ALL SELECT -4, 'F', NULL, -8)")
 ITEMS = ("(SELECT p_partkey AS item_id, min(p_name) AS title FROM (SELECT p_partkey, p_name "
          "FROM part UNION ALL SELECT -9, 'part without scores') GROUP BY p_partkey)")
 ITEM_STATS = (f"(SELECT item_id, sum(score) AS s, count(score) AS n FROM {RATINGS} "
-              f"GROUP BY item_id)")
+              f"GROUP BY item_id HAVING count(score) > 0)")
 RATED = (f"(SELECT r.item_id, u.segment, u.age, r.score FROM {RATINGS} r "
          f"JOIN {USERS} u USING (user_id))")
 
@@ -87,7 +89,7 @@ _BAND_AGG, _BAND_OUT = _seg_cols(B.PRICE_BANDS_RIGHT, B.PRICE_BAND_COLUMNS, "ban
 
 BAND_LONG = (f"SELECT st.item_id, st.band, round(st.s / st.n, 4) AS avg_score, "
              f"coalesce(i.title, 'Unknown') AS title FROM (SELECT item_id, {_BAND_LEFT} AS band, "
-             f"sum(score) AS s, count(score) AS n FROM {RATED} GROUP BY ALL) st "
+             f"sum(score) AS s, count(score) AS n FROM {RATED} GROUP BY ALL HAVING n > 0) st "
              f"LEFT JOIN {ITEMS} i USING (item_id)")
 
 # Means as text.  Scores are whole numbers, so Java's half-up cents are exact in
@@ -143,10 +145,15 @@ SQL: dict[str, str] = {
     "item_avg_by_segment_wide": (
         f"SELECT i.item_id, i.title, {_SEG_OUT} FROM {ITEMS} i LEFT JOIN "
         f"(SELECT item_id, {_SEG_AGG} FROM {RATED} GROUP BY item_id) st USING (item_id)"),
+    "item_avg_by_segment_once": (
+        f"SELECT i.item_id, i.title, {_SEG_OUT} FROM {ITEMS} i LEFT JOIN "
+        f"(SELECT r.item_id, {_SEG_AGG} FROM {RATINGS} r JOIN orders o ON o.o_orderkey = r.user_id "
+        f"JOIN (SELECT o_custkey, min(o_orderstatus) AS segment FROM orders GROUP BY o_custkey) u "
+        f"ON u.o_custkey = o.o_custkey GROUP BY r.item_id) st USING (item_id)"),
     "item_avg_by_segment_long": (
         f"SELECT st.item_id, st.segment, round(st.s / st.n, 4) AS avg_score, "
         f"coalesce(i.title, 'Unknown') AS title FROM (SELECT item_id, segment, sum(score) AS s, "
-        f"count(score) AS n FROM {RATED} GROUP BY item_id, segment) st "
+        f"count(score) AS n FROM {RATED} GROUP BY item_id, segment HAVING n > 0) st "
         f"LEFT JOIN {ITEMS} i USING (item_id)"),
     "item_avg_by_band_wide": (
         f"SELECT i.item_id, i.title, {_BAND_OUT} FROM {ITEMS} i LEFT JOIN "
@@ -163,10 +170,10 @@ SQL: dict[str, str] = {
         f"GROUP BY user_id) u USING (user_id) "
         "LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS code_s, min(c_mktsegment) AS name "
         "FROM customer GROUP BY c_custkey) c "
-        "ON CAST(u.code AS VARCHAR) = c.code_s) GROUP BY label"),
+        "ON CAST(u.code AS VARCHAR) = c.code_s) GROUP BY label HAVING sum(n) > 0"),
     "avg_score_by_epoch_year": (
         "SELECT coalesce(year, 'Unknown') AS year, round(sum(score) / count(score), 4) AS avg_score, "
-        f"count(score) AS n_scores FROM {RATINGS} GROUP BY 1"),
+        f"count(score) AS n_scores FROM {RATINGS} GROUP BY 1 HAVING count(score) > 0"),
     # ---------------------------------------------------------- reviews
     "clean_text": (
         f"SELECT c.id, c.review, c.aspect, c.category, s.sentiment FROM {CLEANED} c "
@@ -264,7 +271,7 @@ SQL: dict[str, str] = {
         f"printf('{_REPORT_FMT}', CAST(st.item_id AS VARCHAR), st.band, "
         f"st.s / st.n, coalesce(i.title, 'Unknown')) AS line "
         f"FROM (SELECT item_id, {_BAND_LEFT} AS band, sum(score) AS s, count(score) AS n "
-        f"FROM {RATED} GROUP BY ALL) st LEFT JOIN {ITEMS} i USING (item_id)"),
+        f"FROM {RATED} GROUP BY ALL HAVING n > 0) st LEFT JOIN {ITEMS} i USING (item_id)"),
 }
 SQL |= {
     # --------------------------------------------------- report lines and files
@@ -309,7 +316,7 @@ SQL |= {
         f"SELECT st.item_id, st.segment, printf('ID: %-5s | Giới tính: %s | Điểm TB: %.2f | "
         f"Phim: %s', CAST(st.item_id AS VARCHAR), st.segment, st.s / st.n, "
         f"coalesce(i.title, 'Unknown')) AS line FROM (SELECT item_id, segment, sum(score) AS s, "
-        f"count(score) AS n FROM {RATED} GROUP BY item_id, segment) st "
+        f"count(score) AS n FROM {RATED} GROUP BY item_id, segment HAVING n > 0) st "
         f"LEFT JOIN {ITEMS} i USING (item_id)"),
     "report_labels": (
         "SELECT label, printf('Nghề nghiệp: %-15s | Điểm TB: %.2f | Tổng số lượt đánh giá: ', label, "
@@ -318,11 +325,12 @@ SQL |= {
         "CAST(u.code AS VARCHAR), 'Unknown') END AS label "
         f"FROM {RATINGS} r LEFT JOIN {USERS} u USING (user_id) LEFT JOIN (SELECT c_custkey AS code, "
         "min(c_mktsegment) AS name FROM customer GROUP BY c_custkey) c ON u.code = c.code) "
-        "GROUP BY label"),
+        "GROUP BY label HAVING count(score) > 0"),
     "report_years": (
         "SELECT coalesce(year, 'Unknown') AS year, printf('Năm: %s | Điểm TB: %.2f | "
         "Tổng số lượt đánh giá: ', coalesce(year, 'Unknown'), sum(score) / count(score)) "
-        f"|| format('{{:,}}', count(score)) AS line FROM {RATINGS} GROUP BY 1, coalesce(year, 'Unknown')"),
+        f"|| format('{{:,}}', count(score)) AS line FROM {RATINGS} GROUP BY 1, coalesce(year, 'Unknown') "
+        "HAVING count(score) > 0"),
     "staged_category_counts": SQL["count_by_category"],
     "rebuild_with_stopword_file": SQL["rebuild_clean_text"],
     "read_limited_split": (
@@ -332,6 +340,15 @@ SQL |= {
         "replace(p_name, ' ', '|') AS tags, "
         "unnest(list_filter(string_split(p_name, ' '), lambda x: x <> '')) AS tag FROM part"),
 }
+SQL["read_header_one_pass"] = SQL["read_header_inferred"]
+SQL["inferred_types"] = """
+SELECT t AS table_name, c AS column_name, k AS data_type,
+  CASE t WHEN 'orders' THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM customer) END AS n_rows
+FROM (VALUES ('orders', 'o_orderkey', 'int'), ('orders', 'o_custkey', 'int'),
+  ('orders', 'o_orderstatus', 'string'), ('orders', 'o_totalprice', 'double'),
+  ('orders', 'o_orderdate', 'timestamp'), ('orders', 'o_orderpriority', 'string'),
+  ('customer', 'c_custkey', 'int'), ('customer', 'c_name', 'string'), ('customer', 'c_nationkey', 'int'),
+  ('customer', 'c_acctbal', 'double'), ('customer', 'c_mktsegment', 'string')) v(t, c, k)"""
 SQL["read_quoted_split"] = SQL["read_quoted_multiline"]
 SQL["single_file_report"] = f"SELECT line FROM ({SQL['report_years']})"
 # the stored cleaned table gives the same word counts as the in-plan pipeline

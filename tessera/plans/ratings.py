@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.bands import UNKNOWN_LABEL, band
 from tessera.functions.timeparts import epoch_year
-from tessera.operators.dims import dedupe_dimension, lookup, two_hop_lookup
+from tessera.operators.dims import dedupe_dimension, join_once_per_key, lookup, two_hop_lookup
 from tessera.operators.scores import (N, SUM, conditional_means, conditional_stats,
                                       merge_stats, min_support, ranked, score_stats, with_mean)
 from tessera.operators.tags import explode_tags
@@ -106,13 +106,14 @@ def tag_avg_score(ratings: DataFrame, items: DataFrame, default_tag: str | None
     how = "inner" if default_tag is None else "left"
     joined = stats.join(tags, "item_id", how)
     exploded = explode_tags(joined, "tags", "tag", default=default_tag)
-    return with_mean(merge_stats(exploded, "tag"), digits=digits)
+    return with_mean(merge_stats(exploded, "tag").filter(F.col(N) > 0), digits=digits)
 
 
 def _wide(ratings: DataFrame, user_segments: DataFrame, items: DataFrame,
           segments: Sequence[str], names: Sequence[str], fill: float | None,
-          digits: int | None) -> DataFrame:
-    rated = ratings.join(user_segments, "user_id", "inner")
+          digits: int | None, once: bool) -> DataFrame:
+    rated = join_once_per_key(ratings, user_segments, "user_id") if once \
+        else ratings.join(user_segments, "user_id", "inner")
     stats = conditional_stats(rated, "item_id", "segment", segments, "score", names)
     kept = _titles(items).join(stats, "item_id", "left")
     return conditional_means(kept, names, digits, fill)
@@ -129,13 +130,11 @@ def item_avg_by_segment_wide(ratings: DataFrame, users: DataFrame, items: DataFr
     The ratings join the users as a plain sort-merge join, so AQE can split
     the partition of a user key holding a large share of the ratings.
     ``dedupe_users=True`` keeps one segment per repeated user (a reducer that
-    remembers one value per key); the de-duplicating aggregate then sits
-    between the exchange and the join, which rules out that split.
+    remembers one value per key); AQE cannot split that join, so heavy users
+    are found and salted beforehand (:func:`join_once_per_key`).
     """
-    user_segments = users.select("user_id", "segment")
-    if dedupe_users:
-        user_segments = dedupe_dimension(user_segments, "user_id")
-    return _wide(ratings, user_segments, items, segments, names, fill, digits)
+    return _wide(ratings, users.select("user_id", "segment"), items, segments, names, fill, digits,
+                 dedupe_users)
 
 
 def item_avg_by_segment_long(ratings: DataFrame, users: DataFrame, items: DataFrame,
@@ -157,11 +156,11 @@ def item_avg_by_band_wide(ratings: DataFrame, users: DataFrame, items: DataFrame
     without scores is NULL (printed "NA" by the report).  ``dedupe_users``
     as in :func:`item_avg_by_segment_wide`."""
     ages = users.select("user_id", "age")
-    if dedupe_users:
+    if dedupe_users:       # the smallest age text, before it becomes a band
         ages = dedupe_dimension(ages, "user_id")
     banded = ages.select("user_id", band(F.col("age").try_cast("double"), edges, labels,
                                          closed="right").alias("segment"))
-    return _wide(ratings, banded, items, labels, names, None, digits)
+    return _wide(ratings, banded, items, labels, names, None, digits, dedupe_users)
 
 
 def item_avg_by_band_long(ratings: DataFrame, users: DataFrame, items: DataFrame,
@@ -187,7 +186,7 @@ def avg_score_by_two_hop_label(ratings: DataFrame, users: DataFrame, codes: Data
     labelled = two_hop_lookup(per_user, "user_id", users, "user_id", "code",
                               codes, "code", "name", out="label", missing_user=missing_user,
                               measures=[SUM, N])
-    stats = merge_stats(labelled, "label")
+    stats = merge_stats(labelled, "label").filter(F.col(N) > 0)
     return with_mean(stats, digits=digits).orderBy(F.col("avg_score").desc(), "label")
 
 
@@ -196,4 +195,5 @@ def avg_score_by_epoch_year(ratings: DataFrame, default_year: str = UNKNOWN_LABE
     """#12 Mean and count per calendar year (UTC) of an epoch-seconds text;
     text that is not an integer goes to ``default_year``."""
     yearly = ratings.select(epoch_year("ts_text", default_year).alias("year"), "score")
-    return with_mean(score_stats(yearly, "year", "score"), digits=digits).orderBy("year")
+    return with_mean(score_stats(yearly, "year", "score").filter(F.col(N) > 0),
+                     digits=digits).orderBy("year")

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions.strings import java_trim, split_tags, split_title_fields
-from tessera.sources.csv import read_delimited, read_header_inferred, read_quoted_multiline
+from tessera.sources.csv import read_delimited, read_header_inferred
+from tessera.sources.csv_split import read_quoted_split
 from tessera.sources.text import read_delimited_tolerant, read_wordlist
 
 # The commerce tables' columns and types as the reference
@@ -83,9 +84,10 @@ def read_occupations(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 
 def read_hotel_reviews(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``id, review, aspect, category, sentiment`` from the quoted ``;`` CSV.
-    The header row is removed by the cleaning step (``id != 'id'``) as well."""
-    return read_quoted_multiline(spark, path, REVIEW_SCHEMA, sep=";", header=True)
+    """``id, review, aspect, category, sentiment`` from the quoted ``;`` CSV,
+    each file read by many tasks.  The header row is removed by the cleaning
+    step (``id != 'id'``) as well."""
+    return read_quoted_split(spark, path, REVIEW_SCHEMA, sep=";", header=True)
 
 
 def read_stopwords(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
