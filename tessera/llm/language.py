@@ -41,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ from tessera.sources.writers import materialize
 
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3)
-PER_LANGUAGE = 4000
+PER_LANGUAGE = 2000
 SHARDS = 8
 BLOCK = 1 << 12
 ROUNDS = 3
@@ -154,14 +155,26 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return n, out
 
 
-def features(buf: np.ndarray, off: np.ndarray, idf: np.ndarray):
-    """(offsets, buckets, values) of the rows of a slice: each row's distinct buckets."""
+def counted(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, buckets, numbers) of the rows of a slice: each row's distinct buckets."""
     row, bucket = (np.concatenate(x) for x in zip(*grams(buf, off)))
     both, n = np.unique(row * BUCKETS + bucket, return_counts=True)
     row, bucket = np.divmod(both, BUCKETS)
-    total = np.bincount(row, n, len(off) - 1)
-    return (np.searchsorted(row, np.arange(len(off))), bucket,
-            SCALE * n / np.maximum(total, 1)[row] * idf[bucket])
+    return np.searchsorted(row, np.arange(len(off))), bucket, n
+
+
+def packed(bucket: np.ndarray, n: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(
+        bucket.astype(np.uint16).tobytes() + n.astype(np.uint32).tobytes())
+
+
+def unpacked(data: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, feature values) of a packed row."""
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    rows = len(raw) // 6
+    bucket = np.frombuffer(raw, np.uint16, rows).astype(np.int64)
+    n = np.frombuffer(raw, np.uint32, rows, 2 * rows).astype(np.float64)
+    return bucket, SCALE * n / max(1.0, n.sum()) * idf[bucket]
 
 
 class Ftrl:
@@ -192,7 +205,7 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _round(rows: DataFrame, state: Ftrl, classes: int) -> Ftrl:
+def _round(rows: DataFrame, state: Ftrl, idf: np.ndarray, classes: int) -> Ftrl:
     """The mean state of all shards after one more pass over their rows.
 
     States are averaged by Spark, ``BLOCK`` buckets at a time.
@@ -200,8 +213,8 @@ def _round(rows: DataFrame, state: Ftrl, classes: int) -> Ftrl:
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
         own = Ftrl(state.z.copy(), state.n.copy())
         frame = frame.sort_values(["place", "label"])
-        for at, x, label in zip(frame["at"], frame["x"], frame["label"]):
-            own.learn(np.frombuffer(at, np.int64), np.frombuffer(x, np.float64), int(label))
+        for data, label in zip(frame["data"], frame["label"]):
+            own.learn(*unpacked(data, idf), int(label))
         return pd.DataFrame([(int(frame["shard"].iloc[0]), k, own.z[k:k + BLOCK].tobytes(),
                               own.n[k:k + BLOCK].tobytes()) for k in range(0, BUCKETS, BLOCK)],
                             columns=["shard", "block", "z", "n"])
@@ -267,31 +280,32 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     def encode(batches):
         for batch in batches:
             for lo, hi, buf, off in _slices(batch.column(0)):
-                first, at, x = features(buf, off, idf)
+                first, at, n = counted(buf, off)
+                data = [packed(at[a:b], n[a:b]) for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(lo, hi - lo) for i in (1, 2)),
-                     *(pa.array([v[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())
-                       for v in (at, x))], names=["label", "place", "at", "x"])
+                    [*(batch.column(i).slice(lo, hi - lo) for i in (1, 2)), pa.array(data, pa.binary())],
+                    names=["label", "place", "data"])
 
-    table = chosen.mapInArrow(encode, "label int, place bigint, at binary, x binary")
+    table = chosen.mapInArrow(encode, "label int, place bigint, data binary")
     part = F.pmod(F.xxhash64("place"), F.lit(10 * SHARDS))
     table = materialize(table.withColumn("shard", (F.floor(part / 10)).cast("int"))
                         .withColumn("spare", part % 10 == 9), spark, "language-rows")
     state = Ftrl(*(np.zeros((BUCKETS, len(languages))) for _ in range(2)))
     for _ in range(ROUNDS):
-        state = _round(table.where("NOT spare").drop("spare"), state, len(languages))
+        state = _round(table.where("NOT spare").drop("spare"), state, idf, len(languages))
     w = state.weights()
-    return Model(languages, idf, w, _temperature(table.where("spare"), w))
+    return Model(languages, idf, w, _temperature(table.where("spare"), w, idf))
 
 
-def _temperature(rows: DataFrame, w: np.ndarray) -> float:
+def _temperature(rows: DataFrame, w: np.ndarray, idf: np.ndarray) -> float:
     """The temperature of least log loss on rows that the weights have not seen (1 without any)."""
     def run(batches):
         loss = np.zeros(len(TEMPERATURES))
         seen = 0
         for batch in batches:
-            for at, x, label in zip(*(batch.column(k).to_pylist() for k in ("at", "x", "label"))):
-                logits = np.frombuffer(x, np.float64) @ w[np.frombuffer(at, np.int64)]
+            for data, label in zip(*(batch.column(k).to_pylist() for k in ("data", "label"))):
+                at, x = unpacked(data, idf)
+                logits = x @ w[at]
                 scaled = logits[None, :] / np.array(TEMPERATURES)[:, None]
                 top = scaled.max(axis=1)
                 loss += top + np.log(np.exp(scaled - top[:, None]).sum(axis=1)) - scaled[:, label]
@@ -300,7 +314,7 @@ def _temperature(rows: DataFrame, w: np.ndarray) -> float:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(loss))), pa.array(loss)], names=["i", "loss"])
 
-    best = rows.select("at", "x", "label").mapInArrow(run, "i bigint, loss double").groupBy("i").agg(
+    best = rows.select("data", "label").mapInArrow(run, "i bigint, loss double").groupBy("i").agg(
         F.sum("loss").alias("loss")).orderBy(F.round("loss", 6), "i").limit(1).collect()
     return TEMPERATURES[best[0]["i"]] if best else 1.0
 

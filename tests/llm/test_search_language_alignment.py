@@ -168,8 +168,11 @@ def test_document_frequencies_and_logits(spark):
     idf = np.log((1 + n) / (1 + df)) + 1
     model = language.Model(["a", "b", "c"], idf, w, 1.0)
     buf, off = blocks.buffer_of(pa.array(TEXTS))
-    first, at, x = language.features(buf, off, idf)
-    direct = [x[a:b] @ w[at[a:b]] for a, b in zip(first[:-1], first[1:])]
+    first, at, n = language.counted(buf, off)
+    rows = [language.unpacked(language.packed(at[a:b], n[a:b]), idf) for a, b in zip(first[:-1], first[1:])]
+    assert all(x.sum() == pytest.approx((language.SCALE * k / k.sum() * idf[b]).sum()) for (b, x), k in zip(
+        rows, (n[a:b] for a, b in zip(first[:-1], first[1:]))) if len(b))
+    direct = [x @ w[b] for b, x in rows]
     assert model.logits(buf, off) == pytest.approx(np.array(direct), abs=1e-9)
 
 
