@@ -11,13 +11,17 @@ lower-cased and end with a symbol of their own (0xFF, which UTF-8 never uses),
 which also stands for what is before a text.
 
 Everything that grows with the corpus is shuffled and aggregated by Spark.
-Documents are packed into chunks of bounded size; each chunk asks for its
-distinct words and byte strings with their counts in its training rows.  Words
-are summed in parts of even size by their hash (64 bits tell words apart).
-Byte strings are summed, and those whose context ends in the same two bytes
-meet to have their log probabilities computed, which needs no others but the
-at most 65,536 two-byte strings.  A chunk gets back one value for each of its
-own questions, in their order, so no answer repeats its key.
+Documents are packed into chunks of bounded size; each chunk asks once for its
+distinct words and byte strings with their counts in its training rows, packed
+into one row per bucket, and these questions are written.  Words are dealt to
+buckets by their hash (64 bits tell words apart), byte strings by the last
+three bytes of their context, so that a bucket holds all strings of its
+contexts of three bytes or more: it sums them, computes their log probabilities
+and answers, in one exchange.  All that a bucket needs of other contexts are
+the counts of the three-byte strings of the training text, a table of at most
+2^24 rows whatever the corpus.  A chunk gets back one value for each of its own
+questions, in their order, so no answer repeats its key; rows of questions and
+answers hold a key or more each, so there are never more than keys.
 
 The base score is that of single words with one added to every count.
 
@@ -33,6 +37,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +49,8 @@ ORDER = 5
 END = 0xFF
 CHUNK_BYTES = 12 << 20
 HELD_OUT = (7, 2)      # crc32(doc_id as text) mod 7 = 2
-PART_ROWS = 400_000
-_WORD, _BYTES = 0, 1
+BUCKET_KEYS = 400_000
+_WORD, _BYTES, _TRIPLES = 0, 1, 2
 #: the end of a text as a word: the hash of no bytes at all
 _END_WORD = span_hash(np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64))
 
@@ -98,16 +103,24 @@ def _parts(ids: bytes, offs: bytes, data: bytes, kinds=(_WORD, _BYTES)):
         yield keys[lo:hi], found
 
 
-def _part_of(key: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(key.view(U64) + U64(1)) % U64(parts)).astype(np.int32)
+def _bucket_of(key: np.ndarray, kind: int, buckets: int) -> np.ndarray:
+    """Words by their hash, byte strings by the last three bytes of their context."""
+    place = key.view(U64) if kind == _WORD else ((key >> 8) & 0xFFFFFF).view(U64)
+    return (mix(place + U64(1)) % U64(buckets)).astype(np.int32)
 
 
-def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, with their number."""
-    key = np.sort(key)
-    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) \
-        else np.zeros(0, np.int64)
-    return key[begin], np.diff(np.append(begin, len(key)))
+def _counted(key: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with their number in training."""
+    if not len(key):
+        return key, np.zeros(0, np.int64)
+    if int(key.min()) >= 0 and not int(key.max()) >> 62:
+        both = np.sort((key << 1) | train)       # one sort of plain integers
+        key, train = both >> 1, both & 1
+    else:
+        order = np.argsort(key)
+        key, train = key[order], train[order]
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[begin], np.add.reduceat(train.astype(np.int64), begin)
 
 
 def _distinct(ids: bytes, offs: bytes, data: bytes, kind: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,60 +129,87 @@ def _distinct(ids: bytes, offs: bytes, data: bytes, kind: int) -> tuple[np.ndarr
     for docs, found in _parts(ids, offs, data, (kind,)):
         train = np.array([not is_held_out(i) for i in docs], bool)
         row, key = found[kind]
-        every, _ = _counted(key)
-        known, number = _counted(key[train[row]])
-        n = np.zeros(len(every), np.int64)
-        n[np.searchsorted(every, known)] = number
-        held.append((every, n))
+        held.append(_counted(key, train[row]))
         if len(held) == 8:
             held = [_sums(*(np.concatenate(x) for x in zip(*held)))]
     return _sums(*(np.concatenate(x) for x in zip(*held)))
 
 
 def _row_sums(row: np.ndarray, key: np.ndarray, rows: int, table, value) -> list[np.ndarray]:
-    """Sums per row of each function of the keys' values in ``table``.
+    """Sums per row of each function of the keys' values in ``table``, which has all of them.
 
-    Keys are looked up in ascending order, once per row and key.
+    Each distinct key is looked up once, in ascending order.
     """
-    order = np.lexsort((key, row)) if len(key) and int(key.max()) >> 48 or rows >= 1 << 15 \
-        or len(key) and int(key.min()) < 0 else None
-    if order is None:      # both fit one integer, which sorts faster
-        both, n = _counted((row.astype(np.int64) << 48) | key)
-        row, key = both >> 48, both & ((1 << 48) - 1)
-    else:
-        row, key = row[order], key[order]
-        begin = np.flatnonzero(np.concatenate(
-            ([True], (row[1:] != row[:-1]) | (key[1:] != key[:-1])))) if len(key) else order
-        n = np.diff(np.append(begin, len(key)))
-        row, key = row[begin], key[begin]
-    found = _look_up(*table, key)
-    return [np.bincount(row, n * f(found), rows) for f in value]
+    order = np.argsort(key)
+    key, row = key[order], row[order]
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else order
+    found = _look_up(*table, key[begin])
+    number = np.diff(np.append(begin, len(key)))
+    return [np.bincount(row, np.repeat(f(found), number), rows) for f in value]
+
+
+# Packed integers: the bytes of each place together, so that the many zeros compress
+
+def _pack_ints(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(
+        np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpack_ints(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.int64).ravel()
 
 
-def _questions(packed: DataFrame, kind: int, parts: int) -> DataFrame:
-    """(part, chunk, key, n): the distinct keys of one kind of every chunk."""
+_QUESTIONS = "kind int, bucket int, chunk bigint, size int, keys binary, counts binary"
+
+
+def _questions(packed: DataFrame, buckets: dict[int, int]) -> DataFrame:
+    """The distinct keys of every chunk with their counts: a row per kind and
+    bucket, keys ascending; and a row with the chunk's three-byte strings."""
     def run(batches):
         for batch in batches:
-            for chunk, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                key, n = _distinct(*row, kind)
-                for a in range(0, len(key), 100_000):
-                    k = key[a:a + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_part_of(k, parts)), pa.array(np.full(len(k), chunk)), pa.array(k),
-                         pa.array(n[a:a + 100_000])], names=["part", "chunk", "key", "n"])
-    return packed.mapInArrow(run, "part int, chunk bigint, key bigint, n bigint")
+            for chunk, *text in zip(*(c.to_pylist() for c in batch.columns)):
+                out = []
+                for kind, parts in buckets.items():
+                    key, n = _distinct(*text, kind)
+                    if kind == _BYTES:
+                        triple, c = _sums(key[n > 0] & 0xFFFFFF, n[n > 0])
+                        out.append((_TRIPLES, -1, chunk, len(triple), _pack_ints(triple), _pack_ints(c)))
+                    bucket = _bucket_of(key, kind, parts)
+                    order = np.argsort(bucket, kind="stable")
+                    key, n = key[order], n[order]
+                    cut = np.searchsorted(bucket[order], np.arange(parts + 1))
+                    for b in np.flatnonzero(np.diff(cut)).tolist():
+                        k = key[cut[b]:cut[b + 1]]
+                        out.append((kind, b, chunk, len(k), _pack_ints(np.diff(k, prepend=np.int64(0))),
+                                    _pack_ints(n[cut[b]:cut[b + 1]])))
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                    names=["kind", "bucket", "chunk", "size", "keys", "counts"])
+    return packed.mapInArrow(run, _QUESTIONS)
+
+
+def _asked(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's distinct keys with their sums, which of them each question asks, and the questions' ends."""
+    key = np.concatenate([np.cumsum(_unpack_ints(k)) for k in frame["keys"]])
+    n = np.concatenate([_unpack_ints(c) for c in frame["counts"]])
+    order = np.argsort(key, kind="stable")
+    new = np.concatenate(([True], key[order[1:]] != key[order[:-1]]))
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(new) - 1
+    begin = np.flatnonzero(new)
+    return key[order][begin], np.add.reduceat(n[order], begin), which, np.cumsum(frame["size"].to_numpy())
 
 
-_ANSWERS = "chunk bigint, kind int, part int, data binary"
+_ANSWERS = "chunk bigint, kind int, bucket int, data binary, tokens bigint, words bigint"
 
 
-def _answer(frame: pd.DataFrame, kind: int, part: int, values: np.ndarray) -> list[tuple]:
+def _answers(frame: pd.DataFrame, values: np.ndarray, ends: np.ndarray, pack_) -> pd.DataFrame:
     """One row per chunk: its values in the order of its keys."""
-    order = np.lexsort((frame["key"].to_numpy(), frame["chunk"].to_numpy()))
-    chunk, values = frame["chunk"].to_numpy()[order], values[order]
-    begin = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1])))
-    return [(int(chunk[a]), kind, part, values[a:b].tobytes())
-            for a, b in zip(begin, [*begin[1:], len(chunk)])]
+    return pd.DataFrame({"chunk": frame["chunk"], "kind": frame["kind"], "bucket": frame["bucket"],
+                         "data": [pack_(v) for v in np.split(values, ends[:-1])],
+                         "tokens": np.int64(0), "words": np.int64(0)})
 
 
 def _look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
@@ -180,15 +220,15 @@ def _look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndar
     return np.where(keys[at] == asked, values[at], 0)
 
 
-def _word_counts(packed: DataFrame, parts: int) -> DataFrame:
-    """Answers: the count of each word in training.  A row of chunk -1 holds a
-    part's training tokens and distinct training words."""
-    def count(key, frame: pd.DataFrame) -> pd.DataFrame:
-        words, n = _sums(frame["key"].to_numpy(), frame["n"].to_numpy())
-        out = _answer(frame, _WORD, int(key[0]), _look_up(words, n, frame["key"].to_numpy()))
-        out.append((-1, _WORD, int(key[0]), np.array([n.sum(), (n > 0).sum()], np.int64).tobytes()))
-        return pd.DataFrame(out, columns=["chunk", "kind", "part", "data"])
-    return _questions(packed, _WORD, parts).groupBy("part").applyInPandas(count, _ANSWERS)
+def _word_counts(questions: DataFrame) -> DataFrame:
+    """Answers: the count of each word in training.  One row of each bucket has
+    the bucket's training tokens and distinct training words."""
+    def count(frame: pd.DataFrame) -> pd.DataFrame:
+        _, n, which, ends = _asked(frame)
+        out = _answers(frame, n[which], ends, _pack_ints)
+        out.loc[out.index[0], ["tokens", "words"]] = int(n.sum()), int((n > 0).sum())
+        return out
+    return questions.where(F.col("kind") == _WORD).groupBy("bucket").applyInPandas(count, _ANSWERS)
 
 
 class Level:
@@ -216,15 +256,15 @@ def _levels(strings: np.ndarray, counts: np.ndarray, top: int, low: int) -> dict
     return out
 
 
-def log_probabilities(strings: np.ndarray, counts: np.ndarray, pairs: tuple) -> np.ndarray:
+def log_probabilities(strings: np.ndarray, counts: np.ndarray, triples: tuple) -> np.ndarray:
     """log10 probability of the last byte of each string after the others.
 
-    ``strings`` hold all those of each two-byte context end that they have
+    ``strings`` hold all those of each three-byte context end that they have
     (ascending), ``counts`` their numbers in training (0 for others), and
-    ``pairs`` the two-byte strings of all training text with their counts.
+    ``triples`` the three-byte strings of all training text with their counts.
     """
-    level = _levels(*pairs, 1, 0)
-    level |= _levels(strings[counts > 0], counts[counts > 0], ORDER, 2)
+    level = _levels(*triples, 2, 0)
+    level |= _levels(strings[counts > 0], counts[counts > 0], ORDER, 3)
     t0 = len(level[0].g)
     score = np.full(len(strings), -np.log10(max(1, 256 - t0)))
     for k in range(ORDER + 1):
@@ -244,34 +284,30 @@ def log_probabilities(strings: np.ndarray, counts: np.ndarray, pairs: tuple) ->
     return score
 
 
-def _byte_scores(packed: DataFrame, parts: int) -> DataFrame:
+def _triples(questions: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The three-byte strings of the training text with their counts: at most 2^24 rows."""
+    def run(batches):
+        for batch in batches:
+            for keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_unpack_ints(keys)), pa.array(_unpack_ints(counts))], names=["g", "c"])
+
+    total = (questions.where(F.col("kind") == _TRIPLES).select("keys", "counts")
+             .mapInArrow(run, "g bigint, c bigint").groupBy("g").agg(F.sum("c").alias("c")).toArrow())
+    g, c = (total.column(k).to_numpy() for k in (0, 1))
+    order = np.argsort(g)
+    return g[order], c[order]
+
+
+def _byte_scores(questions: DataFrame) -> DataFrame:
     """Answers: the log probability of each byte string."""
-    spark = packed.sparkSession
-    total = materialize(_questions(packed, _BYTES, parts).groupBy("part", "key")
-                        .agg(F.sum("n").alias("n")), spark, "ppm-strings")
-    # the two-byte strings: at most 65,536 rows
-    low = (total.where("n > 0").groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF).cast("long")).alias("g"))
-           .agg(F.sum("n").alias("c")).orderBy("g").collect())
-    pairs = (np.array([r["g"] for r in low], np.int64), np.array([r["c"] for r in low], np.int64))
-
-    def model(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("key", ignore_index=True)
-        return pd.DataFrame({"part": frame["part"], "key": frame["key"], "score": log_probabilities(
-            frame["key"].to_numpy(), frame["n"].to_numpy(), pairs)})
-
-    end = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF).cast("long"))
-    scored = total.groupBy(F.pmod(F.xxhash64(end), F.lit(512)).alias("shard")).applyInPandas(
-        lambda frame: model(frame[["part", "key", "n"]]), "part int, key bigint, score double")
-
-    def answer(key, asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        k, v = known["key"].to_numpy(), known["score"].to_numpy()
-        order = np.argsort(k)
-        values = _look_up(k[order], v[order], asked["key"].to_numpy()).astype(np.float32)
-        return pd.DataFrame(_answer(asked, _BYTES, int(key[0]), values),
-                            columns=["chunk", "kind", "part", "data"])
-
-    return (_questions(packed, _BYTES, parts).groupBy("part")
-            .cogroup(scored.groupBy("part")).applyInPandas(answer, _ANSWERS))
+    triples = _triples(questions)
+
+    def score(frame: pd.DataFrame) -> pd.DataFrame:
+        strings, n, which, ends = _asked(frame)
+        values = log_probabilities(strings, n, triples)
+        return _answers(frame, values[which], ends, lambda v: v.tobytes())
+    return questions.where(F.col("kind") == _BYTES).groupBy("bucket").applyInPandas(score, _ANSWERS)
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -281,24 +317,24 @@ def scores(docs: DataFrame) -> DataFrame:
     bounded_batches(spark)
     packed = materialize(pack(docs, "doc_id", "text", CHUNK_BYTES), spark, "ppm-packed")
     size = packed.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    parts = max(8, int(size * 0.12) // PART_ROWS)      # about that many questions to a part
-    words = materialize(_word_counts(packed, parts), spark, "ppm-words")
-    sums = [np.frombuffer(r["data"], np.int64) for r in words.where("chunk = -1").collect()]
-    train_tokens, vocabulary = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0)
-    answers = words.where("chunk >= 0").unionByName(_byte_scores(packed, parts))
+    # a compressed byte asks about 0.12 strings and 0.05 words
+    buckets = {_WORD: max(8, int(size * 0.05) // BUCKET_KEYS), _BYTES: max(8, int(size * 0.12) // BUCKET_KEYS)}
+    questions = materialize(_questions(packed, buckets), spark, "ppm-questions")
+    words = materialize(_word_counts(questions), spark, "ppm-words")
+    train_tokens, vocabulary = (int(x or 0) for x in words.agg(F.sum("tokens"), F.sum("words")).first())
+    answers = words.unionByName(_byte_scores(questions)).select("chunk", "kind", "bucket", "data")
 
     def score(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, chunk in left.iterrows():
             row = chunk["ids"], chunk["offs"], chunk["data"]
             table = {}
-            for kind, dtype in ((_WORD, np.int64), (_BYTES, np.float32)):
+            for kind, read in ((_WORD, _unpack_ints), (_BYTES, lambda d: np.frombuffer(d, np.float64))):
                 keys, _ = _distinct(*row, kind)
-                mine = right[right["kind"] == kind].sort_values("part")
-                values = np.concatenate([np.frombuffer(d, dtype) for d in mine["data"]])
-                at = np.lexsort((keys, _part_of(keys, parts)))
+                mine = right[right["kind"] == kind].sort_values("bucket")
+                at = np.argsort(_bucket_of(keys, kind, buckets[kind]), kind="stable")
                 table[kind] = keys, np.empty(len(keys), np.float64)
-                table[kind][1][at] = values
+                table[kind][1][at] = np.concatenate([read(d) for d in mine["data"]])
             for ids, found in _parts(*row):
                 rows = len(ids)
                 known, base = _row_sums(*found[_WORD], rows, table[_WORD], (

@@ -207,7 +207,7 @@ def test_ppm_scores_against_brute_force(docs, empty):
                        sum(probability(b[j - k_max:j], b[j]) for j in range(k_max, len(b)))))
     out = got(ppm.scores(docs), "doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     for a, b in zip(out, want(expect)):
-        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-5)
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9)
     assert ppm.scores(empty).count() == 0
 
 
