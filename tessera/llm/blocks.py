@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 1 << 21
-HASH_BYTES = 1 << 19
+LONG_SPAN = 256
 U64 = np.uint64
 
 SPACE = np.zeros(256, bool)
@@ -32,6 +32,8 @@ LOWER[65:91] += 32
 
 _BASE_BYTES = U64(0x9E3779B97F4A7C15)
 _BASE_WORDS = U64(0xD1342543DE82EF95)
+#: masks of the lowest 0 to 8 bytes
+_KEEP_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], U64)
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -112,23 +114,6 @@ def words_of(buf: np.ndarray, off: np.ndarray, gap: np.ndarray = SPACE) -> Words
     return Words(buf, start, np.flatnonzero(closes) + 1, np.searchsorted(start, off))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _tables(base: U64, need: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2^64 and of its inverse, ``need`` or more."""
-    known = _powers.get(int(base))
-    if known is None or len(known[0]) < need:
-        size = -(-need // (1 << 16)) << 16
-
-        def run(b: int) -> np.ndarray:
-            p = np.full(size, b, U64)
-            p[0] = 1
-            return np.multiply.accumulate(p)
-        _powers[int(base)] = known = run(int(base)), run(pow(int(base), -1, 1 << 64))
-    return known
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (shift-multiply), so that every bit depends on all."""
     x = x ^ (x >> U64(30))
@@ -139,33 +124,49 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span (ascending starts); equal spans hash alike anywhere."""
-    out = np.zeros(len(start), U64)
-    a = 0
-    while a < len(start):
-        b = max(a + 1, int(np.searchsorted(start, start[a] + HASH_BYTES)))
-        low = int(start[a])
-        part = buf[low:int(end[a:b].max())]
-        up, down = _tables(_BASE_BYTES, len(part) + 1)
-        total = np.zeros(len(part) + 1, U64)
-        np.cumsum((part.astype(U64) + U64(1)) * up[:len(part)], out=total[1:])
-        s, e = start[a:b] - low, end[a:b] - low
-        out[a:b] = mix((total[e] - total[s]) * down[s] + (e - s).astype(U64))
-        a = b
+    """A 64-bit hash of each byte span; equal spans hash alike anywhere.
+
+    Eight bytes at a time, mixed after each, so that no difference cancels out
+    as it does in a polynomial; spans of over ``LONG_SPAN`` bytes go to XXH3.
+    """
+    size = end - start
+    lanes = np.ndarray((len(buf) + 1,), "<u8", np.concatenate((buf, np.zeros(8, np.uint8))), 0, (1,))
+    out = mix(size.astype(U64) + _BASE_BYTES)
+    long = np.flatnonzero(size > LONG_SPAN)
+    live = np.flatnonzero((size > 0) & (size <= LONG_SPAN)) if len(long) else np.flatnonzero(size > 0)
+    at, left = start[live], size[live]
+    while len(live):
+        word = lanes[at] & _KEEP_BYTES[np.minimum(left, 8)]
+        out[live] = mix(out[live] ^ (word * _BASE_WORDS))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(buf))
+        for k in long.tolist():
+            out[k] ^= U64(xxhash.xxh3_64_intdigest(raw[int(start[k]):int(end[k])], 1))
     return out
 
 
 def window_hash(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start word, hash) of every window of k consecutive words of one row."""
+    """(start word, hash) of every window of k consecutive words of one row.
+
+    Windows of twice the length are mixed of two neighbours, over and over, and
+    those of length k of the powers of two in it.
+    """
     n = len(h)
     if n < k:
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    up, down = _tables(_BASE_WORDS, n + 1)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(h * up[:n], out=total[1:])
     last = np.repeat(first[1:], np.diff(first))
     at = np.flatnonzero(np.arange(n) + k <= last)
-    return at, mix((total[at + k] - total[at]) * down[at])
+    out, done, length = np.full(len(at), U64(k)), 0, 1
+    while True:
+        if k & length:
+            out = mix(out * _BASE_WORDS + h[at + done])
+            done += length
+        if 2 * length > k:
+            return at, out
+        h = mix(h[:-length] * _BASE_WORDS + h[length:])
+        length *= 2
 
 
 def joined(words: Words, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

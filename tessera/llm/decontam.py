@@ -288,4 +288,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     leaked = found[0]
     for more in found[1:]:
         leaked = leaked.unionByName(more)
-    return docs.withColumn("_text", digest).join(leaked.distinct(), "_text", "left_anti").select(*docs.columns)
+    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), digest.alias("_text"))
+    return held.join(leaked.distinct(), "_text", "left_anti").select("row.*")

@@ -4,15 +4,16 @@ Per text: words ``[^\\x20\\x09-\\x0D]+``, their code points, symbol characters,
 lines repeated inside the text, and words in three-word windows that occur
 twice or more.  Across texts: each line is normalised (A-Z and other capitals
 lowered, digits to 0, white space collapsed) and hashed, the distinct
-documents that hold it are counted per host, and lines over the limits count
-as removed: in at least ``MIN_DOCS`` documents and over ``MAX_SHARE`` of the
-host's.  A document of which such lines held over ``MAX_LOST`` of the
-word characters is depleted and rejected.
+documents that hold it are counted per host, and lines at the limits count as
+removed: in ``MAX_DOCS`` documents of the host or more, or in ``MIN_DOCS`` or
+more that are one in ``ONE_IN`` of the host's or more.  A document of which
+such lines held over ``MAX_LOST`` of the word characters is depleted and
+rejected.
 
-Documents of a host with equal texts are one document for these counts, so
-that mere copies do not make each other's lines frequent.  Rows of a line are
-aggregated by (host, line, document) before any row meets another, so neither
-a hot host nor a hot line is gathered.
+Every row is a document, copies included.  Rows of a line are aggregated by
+(host, text, line) before any row meets another, copies as a number, so neither
+a hot host, nor a hot line, nor a group of copies is gathered; these rows are
+written once and read for the counts and for the verdicts.
 
 Defined results: a null text is an empty one (no words, fails the base rule);
 a null host is a host of its own; repeated rows each get their result.
@@ -23,9 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.writers import materialize
+
 MIN_WORDS = 50
 MIN_DOCS = 20
-MAX_SHARE = 0.1
+ONE_IN = 100
+MAX_DOCS = 1000
 MAX_LOST = 0.5
 GAP = r"[\x20\x09-\x0D]+"
 SOLID = r"[^\x20\x09-\x0D]"
@@ -89,22 +93,33 @@ def _line_hash(line: Column) -> Column:
         F.btrim(line, F.lit(" \t\r\u000b\f")), r"[0-9]", "0"), GAP, " ")))
 
 
-def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS,
-                   max_share: float = MAX_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(lines by host, line and document; those over the limits by host and line)."""
+def _host() -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("host")
+
+
+def _lines(text: Column) -> Column:
+    """The lines with a word: hash, characters, and 1 for the first of equal ones, else 0."""
+    found = F.transform(F.filter(F.split(text, "\n"), lambda x: x.rlike(SOLID)), lambda x: F.struct(
+        _line_hash(x).alias("line"), F.length(F.regexp_replace(x, GAP, "")).alias("chars")))
+    return _let(F.sort_array(found), lambda s: F.transform(s, lambda x, i: F.struct(
+        x["line"].alias("line"), x["chars"].alias("chars"),
+        F.when(F.get(s, i - 1)["line"] == x["line"], 0).otherwise(1).alias("documents"))))
+
+
+def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, one_in: int = ONE_IN,
+                   max_docs: int = MAX_DOCS) -> tuple[DataFrame, DataFrame]:
+    """(lines by host, text and line, with the documents of that text and their
+    characters; lines at the limits by host and line)."""
     text = F.coalesce("text", F.lit(""))
-    host = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("host")
-    rows = docs.select(host, F.unhex(F.md5(text)).alias("digest"),
-                       F.explode(F.split(text, "\n")).alias("line")).where(F.col("line").rlike(SOLID))
-    held = (rows.select("host", "digest", _line_hash(F.col("line")).alias("line"),
-                        F.length(F.regexp_replace("line", GAP, "")).alias("chars"))
-            .groupBy("host", "digest", "line").agg(F.sum("chars").alias("chars")))
-    n = held.groupBy("host", "line").agg(F.count("*").alias("n"))
-    total = (docs.select(host, F.unhex(F.md5(text)).alias("digest")).distinct()
-             .groupBy("host").agg(F.count("*").alias("documents")))
-    over = (n.where(F.col("n") >= min_docs).join(total, "host")
-            .where(F.col("n") > max_share * F.col("documents")).select("host", "line"))
-    return held, over
+    rows = docs.select(_host(), F.unhex(F.md5(text)).alias("digest"), F.explode(_lines(text)).alias("x"))
+    held = materialize(rows.groupBy("host", "digest", F.col("x.line").alias("line")).agg(
+        F.sum("x.chars").alias("chars"), F.sum("x.documents").alias("documents")),
+        docs.sparkSession, "lines")
+    n = held.groupBy("host", "line").agg(F.sum("documents").alias("n")).where(F.col("n") >= min(min_docs, max_docs))
+    total = docs.groupBy(_host()).agg(F.count("*").alias("total"))
+    over = n.join(total, "host").where((F.col("n") >= max_docs) | (
+        (F.col("n") >= min_docs) & (F.col("n") * one_in >= F.col("total"))))
+    return held, over.select("host", "line")
 
 
 def _without(text: str, gone: str) -> Column:
@@ -115,26 +130,20 @@ def _without(text: str, gone: str) -> Column:
 
 
 def line_quality(docs: DataFrame, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS,
-                 max_share: float = MAX_SHARE, max_lost: float = MAX_LOST,
+                 one_in: int = ONE_IN, max_docs: int = MAX_DOCS, max_lost: float = MAX_LOST,
                  keep_text: bool = False) -> DataFrame:
     """The counts and verdicts of every row of ``docs`` (doc_id, text, source); with
     ``keep_text`` also the text without its frequent lines of rows that are kept
     (null for others), else the query's columns alone."""
     docs = docs.select(docs["doc_id"], docs["text"], docs["source"])
-    held, over = frequent_lines(docs, min_docs, max_share)
-    # copies of a text add to the same sum, so it is divided by their number below
+    held, over = frequent_lines(docs, min_docs, one_in, max_docs)
+    # copies of a text add to the same sums: each has its share
     lost = held.join(over, ["host", "line"]).groupBy("host", "digest").agg(
-        F.sum("chars").alias("lost"), F.collect_set("line").alias("gone"))
-    text = F.coalesce("text", F.lit(""))
-    copies = docs.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("host"),
-                         F.unhex(F.md5(text)).alias("digest")).groupBy("host", "digest").agg(
-        F.count("*").alias("copies"))
-    lost = lost.join(copies, ["host", "digest"]).select(
-        "host", "digest", (F.col("lost") / F.col("copies")).alias("lost"), "gone")
+        F.sum(F.expr("chars div documents")).alias("lost"), F.collect_set("line").alias("gone"))
     own = measures(docs, keep_text).withColumn("host", F.coalesce(F.concat(F.lit("="), F.col("host")), F.lit("-")))
     out = own.join(lost, ["host", "digest"], "left").select(
         "doc_id", "c.n_words", "c.word_chars", "n_symbols", "n_dup_lines", "c.n_repeat_words",
-        F.coalesce(F.round("lost"), F.lit(0.0)).cast("long").alias("line_chars_removed"),
+        F.coalesce("lost", F.lit(0)).cast("long").alias("line_chars_removed"),
         *([_without("text", "gone").alias("clean_text")] if keep_text else []))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = out.withColumn("base_failed", failed).withColumn(

@@ -11,17 +11,17 @@ g AS (SELECT r, i, len(w) AS n, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
 rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1),
 cov AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words
         FROM rep, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
-l AS (SELECT r, source, md5(t) AS h, unnest(string_split(t, chr(10))) AS line, t FROM d),
+l AS (SELECT r, source, unnest(string_split(t, chr(10))) AS line FROM d),
 l2 AS (SELECT *, lower(regexp_replace(regexp_replace(
           trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)), '[0-9]', '0', 'g'),
           '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS p,
           length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars
        FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l2 GROUP BY r),
-hosts AS (SELECT source, count(DISTINCT md5(t)) AS n FROM d GROUP BY source),
-freq AS (SELECT l2.source, p FROM l2 GROUP BY l2.source, p
-         HAVING count(DISTINCT h) >= 20 AND count(DISTINCT h) > 0.1 *
-           (SELECT n FROM hosts WHERE hosts.source IS NOT DISTINCT FROM l2.source)),
+hosts AS (SELECT source, count(*) AS total FROM d GROUP BY source),
+freq AS (SELECT f.source, p FROM (SELECT source, p, count(DISTINCT r) AS n FROM l2 GROUP BY source, p) f
+         JOIN hosts ON hosts.source IS NOT DISTINCT FROM f.source
+         WHERE n >= 1000 OR (n >= 20 AND n * 100 >= total)),
 lost AS (SELECT r, sum(chars) AS lost FROM l2 JOIN freq ON l2.p = freq.p
            AND l2.source IS NOT DISTINCT FROM freq.source GROUP BY r),
 m AS (SELECT doc_id, len(w)::BIGINT AS n_words,

@@ -133,6 +133,10 @@ def load_pieces(path: str) -> Pieces:
             keys.append((text.encode(), i))
             rank[i] = -model.get_score(i)
             surfaces.append(text.replace(MARK, " ").encode())
+    if any(MARK in k.decode().lstrip(MARK) for k, _ in keys):
+        raise ValueError("a piece has a marker after another character: segments cannot be solved apart")
+    if max((len(k) for k, _ in keys), default=0) >= 64:
+        raise ValueError("a piece of 64 bytes or more: its length does not fit the search's keys")
     own = np.array([i for _, i in keys])
     score = np.zeros(n)
     score[own] = -np.log(rank[own] + 2) - math.log((1 / (rank[own] + 2)).sum())
@@ -253,6 +257,23 @@ def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(total[-1]) + np.repeat(begin - total[:-1], count)
 
 
+def _kept_apart(buf, start, end, marks, one, which):
+    """Distinct segments and their numbers, those apart whose bytes differ under one hash."""
+    size = end - start
+    like = one[which]
+    same = (size == size[like]) & (marks == marks[like])
+    again = np.flatnonzero(same & (like != np.arange(len(like))))
+    unlike = buf[_ranges(start[again], size[again])] != buf[_ranges(start[like[again]], size[again])]
+    if unlike.any():
+        same[np.repeat(again, size[again])[unlike]] = False
+    apart = np.flatnonzero(~same)
+    if len(apart):
+        which = which.copy()
+        which[apart] = len(one) + np.arange(len(apart))
+        one = np.concatenate((one, apart))
+    return one, which
+
+
 def encode_rows(buf: np.ndarray, off: np.ndarray, p: Pieces):
     """(ids, offsets of each row's ids, log score of each row) of a slice."""
     rows = len(off) - 1
@@ -273,6 +294,7 @@ def encode_rows(buf: np.ndarray, off: np.ndarray, p: Pieces):
     start, end, marks, row = start[order], end[order], marks[order], row[order]
     key = span_hash(buf, start, end) ^ mix(marks.astype(U64))
     _, one, which = np.unique(key, return_index=True, return_inverse=True)
+    one, which = _kept_apart(buf, start, end, marks, one, which)
     # the distinct segments as bytes: markers, then the word
     lead, body = 3 * marks[one], (end - start)[one]
     seg_off = np.concatenate(([0], np.cumsum(lead + body)))

@@ -111,8 +111,9 @@ _ITEM = rf"(?:(?:{_NUMERAL})(?![^\W\d])|[0-9]+)"
 _RUN = re.compile(rf"\b(?:plus\b[\s,]+)?{_ITEM}(?:(?:[\s,;/-]+(?:dash|hyphen|minus|dot|point|punkt|punto)\b)?"
                   rf"[\s,;/().-]*{_ITEM})*", re.I)
 _RUN_ITEM = re.compile(rf"(?:{_NUMERAL}|{'|'.join(_SPOKEN)})(?![^\W\d])|[0-9]+|[().+-]", re.I)
-_AT = re.compile(r"\s*[(\[{<]\s*(?:at|@|arroba)\s*[)\]}>]\s*", re.I)
-_DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|\.|punkt|punto|point)\s*[)\]}>]\s*", re.I)
+# white space counts from where it begins, so that a long run is tried once
+_AT = re.compile(r"(?<!\s)\s*[(\[{<]\s*(?:at|@|arroba)\s*[)\]}>]\s*", re.I)
+_DOT = re.compile(r"(?<!\s)\s*[(\[{<]\s*(?:dot|\.|punkt|punto|point)\s*[)\]}>]\s*", re.I)
 
 
 def _worded(at: str, dot: str) -> re.Pattern:
@@ -127,7 +128,12 @@ def _worded(at: str, dot: str) -> re.Pattern:
 _WORDED = (_worded(r"\s+at\s+", "dot"), _worded(r"\s*@\s*", "(?:dot|punkt|punto|point)"))
 _APART = re.compile(r"\sat\s|\s@|@\s", re.I)
 _BARE_AT = re.compile(r"\s(?:at|@)\s+(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2}", re.I)
-_DOT_WORD = re.compile(r"\s+(?:dot|punkt|punto|point)\s+", re.I)
+_DOT_WORD = re.compile(r"(?<!\s)\s+(?:dot|punkt|punto|point)\s+", re.I)
+
+# "at" before plain domains is an address only after such a word in the sentence, or a name no word has
+_CONTACT = re.compile(r"\b(?:e-?mails?|mail(?:to)?|contact\w*|write|reach|address|adresse|kontakt\w*|schreib\w*"
+                      r"|courriel|correo|escrib\w*|[ée]cri\w*)\b[^.!?\n]*\Z", re.I)
+_ACCOUNT = re.compile(r"(?=.*[A-Za-z])[A-Za-z0-9%+-]*[._0-9+][A-Za-z0-9._%+-]*\Z")
 
 
 class Traced:
@@ -222,6 +228,11 @@ def normalise(text: str) -> Traced:
             # a sign with a space before or after it only, as of a name that is called, needs a rewritten dot
             if "@" in at and not dots and not (at[0] != "@" != at[-1]) and not any(t.new[m.end("at"):m.end()]):
                 continue
+            domain = m.end("at")
+            if "@" not in at and not any(c[0] >= domain for c in dots) and not any(t.new[domain:m.end()]) \
+                    and not _ACCOUNT.match(t.text[m.start():m.start("at")]) \
+                    and not _CONTACT.search(t.text, max(0, m.start() - 60), m.start()):
+                continue
             changes += [c for c in dots if c[1] <= m.start("at")] + [(*m.span("at"), "@")] \
                 + [c for c in dots if c[0] >= m.end("at")]
         t.rewrite(changes)

@@ -263,13 +263,15 @@ def one_of_each_group(docs: DataFrame, words: int = 3, radius: int = 2) -> DataF
     bounded_batches(spark)
     own = F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit(":"),
                    F.coalesce(docs["text"], F.lit("")))
-    keyed = docs.withColumn("_key", F.unhex(F.md5(own)))
-    prints = materialize(fingerprints(keyed, words, "_key"), spark, "simhash-prints")
-    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_key")
+    # the columns go along as one struct, so their names meet no others
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"],
+                        docs["text"], F.unhex(F.md5(own)).alias("key"))
+    prints = materialize(fingerprints(keyed.select("doc_id", "text", "key"), words, "key"), spark, "simhash-prints")
+    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "key")
     classes = prints.groupBy("fp").agg(F.min(order).alias("least"))
     keep = (_rooted(classes, spark, radius).groupBy("root").agg(F.min("least").alias("least"))
-            .select("least._key"))
-    copies = Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns))
+            .select("least.key"))
+    copies = Window.partitionBy("key").orderBy(F.xxhash64("row"))
     # an inner join: a semi join would be moved below the window, where copies meet in one task
-    return (keyed.withColumn("_row", F.row_number().over(copies)).where("_row = 1")
-            .join(keep, "_key").select(*docs.columns))
+    return (keyed.select("row", "key").withColumn("place", F.row_number().over(copies)).where("place = 1")
+            .join(keep, "key").select("row.*"))

@@ -10,12 +10,17 @@ regression maps their output to a rate on rows that neither has seen.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 4 is not 2,
 on a sample of about ``SAMPLE`` labelled rows chosen by a hash of the id; every
-text is scored.  Labels, language, source and id are no inputs of a score.
+text is scored.  Half of the sample gives the lexicon, of at most ``LEXICON``
+terms (the strongest; a parameter of the model, like its trees), three tenths
+the trees and two tenths the calibration, at every size.  Training runs its
+jobs at once.  Labels, language, source and id are no inputs of a score.
 
 Defined results: a null text is an empty one and gets the score of its
 features; labels without a verdict are left out and repeated labels of one id
-count as toxic if any is; with labels of only one kind, or none, the score is
-their rate (0 without labels); repeated rows are scored alike.
+count as toxic if any is; where the sample, its rows for the trees or those for
+the calibration have labels of only one kind, the score is the sample's rate (0
+without labels); repeated rows are scored alike; texts of any length are scored
+whole, slice by slice; columns of any names go along as one struct.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.llm.blocks import (SPACE, U64, as_strings, bound_tables, bounded_batches, buffer_of,
                                 row_slices, span_hash, words_of)
@@ -39,6 +45,7 @@ SAMPLE = 40_000
 LEXICON = 400
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.3
+# this library's own list
 SECOND_PERSON = ("you your yours yourself u ur du dich dir dein deine ihr euch euer sie ihnen "
                  "tu te toi ton ta tes vous votre vos tú ti contigo usted ustedes vosotros "
                  "vuestro su").split()
@@ -207,20 +214,23 @@ def features_of(raw, off, low, low_off, lexicon: Lexicon) -> np.ndarray:
         share["symbol"], _per_row(spaced.first, disguised) / tokens, found, np.log1p(w.counts)], 1)
 
 
-def _featured(rows: DataFrame, lexicon, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns and the features of column ``text``."""
+#: names of what is added beside the rows, which are held in one struct
+_ROW, _COLUMNS = "__row", [f"__{k}" for k in FEATURES]
+
+
+def _featured(rows: DataFrame, lexicon) -> DataFrame:
+    """Every row as one struct ``__row``, and the features of its ``text``."""
     def run(batches):
         words = Lexicon(*lexicon)
         for batch in batches:
-            parts = [features_of(*s, words) for s in _slices(batch.column(len(keep)))]
+            parts = [features_of(*s, words) for s in _slices(batch.column(1))]
             f = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(keep))]
-                + [pa.array(f[:, i]) for i in range(len(FEATURES))], names=[*keep, *FEATURES])
+                [batch.column(0)] + [pa.array(f[:, i]) for i in range(len(FEATURES))],
+                names=[_ROW, *_COLUMNS])
 
-    source = bound_tables(rows, *keep, "text")
-    kinds = dict(source.dtypes)
-    schema = ", ".join([f"{k} {kinds[k]}" for k in keep] + [f"{k} double" for k in FEATURES])
+    source = rows.select(F.struct(*[rows[f"`{c}`"] for c in rows.columns]).alias(_ROW), rows["text"])
+    schema = StructType([source.schema[0], *(StructField(c, DoubleType()) for c in _COLUMNS)])
     return source.mapInArrow(run, schema)
 
 
@@ -246,43 +256,43 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     if rate in (0.0, 1.0):
         return ([], [], []), None, rate
     lexicon = learn_lexicon(rows.where("part < 10"))
-    table = materialize(_featured(rows, lexicon, ["doc_id", "toxic", "part"]), spark, "toxicity-features")
+    table = materialize(_featured(rows.select("toxic", "part", "text"), lexicon).select(
+        "__row.toxic", "__row.part", *_COLUMNS), spark, "toxicity-features")
     fit, spare = table.where("part >= 10 AND part < 16"), table.where("part >= 16")
-    if spare.where("toxic = 1").count() < 30:      # too few for a rate: both on all unseen rows
-        fit = spare = table.where("part >= 10")
-    if fit.select("toxic").distinct().count() < 2:
-        fit = spare = table
+    if any(t.select("toxic").distinct().count() < 2 for t in (fit, spare)):
+        return ([], [], []), None, rate
     trees = Pipeline(stages=[
-        VectorAssembler(inputCols=list(FEATURES), outputCol="vector"),
-        GBTClassifier(featuresCol="vector", labelCol="toxic", maxIter=15, maxDepth=3, stepSize=0.3,
+        VectorAssembler(inputCols=_COLUMNS, outputCol="__vector"),
+        GBTClassifier(featuresCol="__vector", labelCol="toxic", maxIter=15, maxDepth=3, stepSize=0.3,
                       minInstancesPerNode=2, seed=7)]).fit(fit)
     scale = IsotonicRegression(featuresCol="probability", featureIndex=1, labelCol="toxic",
-                               predictionCol="rate").fit(trees.transform(spare))
+                               predictionCol="__rate").fit(trees.transform(spare))
     return lexicon, (trees, scale), rate
 
 
-def score(docs: DataFrame, trained, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns and the score of every row of ``docs``."""
+def score(docs: DataFrame, trained) -> DataFrame:
+    """Every row of ``docs`` as one struct ``__row``, and its ``__score``."""
     bounded_batches(docs.sparkSession)
     lexicon, model, rate = trained
     if model is None:
-        return bound_tables(docs, *keep).withColumn("score", F.lit(float(rate)))
+        return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(_ROW),
+                           F.lit(float(rate)).alias("__score"))
     trees, scale = model
-    out = scale.transform(trees.transform(_featured(docs, lexicon, keep)))
+    out = scale.transform(trees.transform(_featured(docs, lexicon)))
     # a hundredth of the trees' own output keeps order within a calibrated step
     tree = vector_to_array("probability")[1]
-    return out.select(*keep, F.least(F.lit(1.0), F.greatest(
-        F.lit(0.0), 0.99 * F.col("rate") + 0.01 * tree)).alias("score"))
+    return out.select(_ROW, F.least(F.lit(1.0), F.greatest(
+        F.lit(0.0), 0.99 * F.col("__rate") + 0.01 * tree)).alias("__score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs`` (doc_id, text)."""
-    return score(docs, train(docs, labels), ["doc_id"]).select(
-        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    scored = score(bound_tables(docs, "doc_id", "text"), train(docs, labels))
+    return scored.select(
+        "__row.doc_id", (remainder(F.col("__row.doc_id"), 4) == 2).alias("held_out"),
+        F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` (all its columns) below the threshold."""
-    return score(docs, train(docs, labels), [c for c in docs.columns if c != "text"] + ["text"]) \
-        .where(F.col("score") < THRESHOLD).select(*docs.columns)
+    return score(docs, train(docs, labels)).where(F.col("__score") < THRESHOLD).select("__row.*")

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import weakref
 import zlib
 from collections import Counter, defaultdict
@@ -65,6 +66,19 @@ def low(text):
     ("<div class='menu'><a href=x>Home</a></div><p>Main &amp; text</p><p>More\n here</p>"
      "<div id=comments><p>nice</p></div><footer>x</footer>", "Main & text\nMore here"),
     ("<div class=ad>open <article><h1>T</h1><p>Body</article><p>after</p>", "T\nBody"),
+    *[(f"<div {name}><article><p>Keep A</p><p>Keep B</p></article></div>", "Keep A\nKeep B") for name in (
+        "class='has-sidebar'", "class='content no-sidebar'", "id='page-header-wrapper'", "id='social-history'",
+        "class=sidebar")],
+    ("<div id='social-history'><p>Keep A</p></div>", "Keep A"),
+    ("<div class='page sidebar'><p>Most of the page's text.</p></div><p>x</p>", "Most of the page's text.\nx"),
+    ("<article><p>A</p><div class='search-tips'>B</div><div class='search-box'>no</div></article>", "A\nB"),
+    ("<article><p class='share'>share<p>Keep B<p>Keep C</article>", "Keep B\nKeep C"),
+    ("<p>Keep A</p><form>name <input><p>Keep B</p>", "Keep A\nKeep B"),
+    ("<ul><li class='social'>x<li>Keep B</ul><p>Keep C</p>", "Keep B\nKeep C"),
+    ("<p>foo<!-- x -->bar</p>", "foobar"), ("<p>a<!-- <nav> --> b", "a b"),
+    ("<p>" + "Long text. " * 40 + "</p><div class='ad'>Buy</div><p>The end.</p>", "Long text. " * 39 + "Long text.\nThe end."),
+    ("<p>same</p><nav>m</nav><p>same</p>", "same\nsame"),
+    ("<p>" + "word " * 60000 + "</p>", "word " * 59999 + "word"),
     ("<script>var t='</p>';</script><main><p>x &lt;b&gt; y</p></main><aside>s</aside>", "x <b> y"),
 ])
 def test_main_text(page, text):
@@ -72,8 +86,9 @@ def test_main_text(page, text):
 
 
 def test_main_texts_of_a_table(spark):
-    pages = spark.createDataFrame([(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>"), (None, None, None)],
-                                  "page_id long, url string, html string")
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>", "x", 5), (1, "u", "<p>a</p>", "x", 5),
+                                   (None, None, None, None, None)],
+                                  "page_id long, url string, html string, text string, n_chars long")
     assert got(html_text.main_texts(pages), "page_id", "text", "n_chars") == want(
         [(1, "a", 1), (1, "a", 1), (None, "", 0)])
     assert html_text.main_texts(pages.where("false")).count() == 0
@@ -375,6 +390,83 @@ def test_texts_without_frequent_lines(spark):
     assert sum(r.kept for r in full.collect()) == 62
 
 
+def test_frequent_lines_of_hot_hosts_and_of_copies(spark):
+    own = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"own {chr(97 + i % 26) * (1 + i // 26)} {own}" + ("\nwith kind regards" if i % 12 == 0 else ""), "hot") for i in range(480)]
+    rows += [(1000 + i, "Copied whole " + own, "hot") for i in range(25)]         # copies are documents
+    rows += [(2000 + i, f"alone {chr(97 + i)} {own}\nlast line" + "\nlast line" * (i % 2), "b") for i in range(19)]
+    rows += [(3000, f"spread {own}\nwith kind regards", "c")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in line_quality.line_quality(d).collect()}
+    regards = len("withkindregards")
+    assert all(out[i].line_chars_removed == (regards if i % 12 == 0 else 0) and out[i].kept for i in range(480))
+    assert all(out[1000 + i].line_chars_removed == out[1000 + i].word_chars and not out[1000 + i].kept
+               for i in range(25))
+    assert all(out[i].line_chars_removed == 0 for i in out if i >= 2000)       # 19 documents, one of another host
+    # one document in a hundred is not reached, the absolute limit is
+    far = line_quality.line_quality(d, one_in=2, max_docs=40).collect()
+    assert {r.doc_id for r in far if r.line_chars_removed} == {i for i in range(480) if i % 12 == 0}
+
+
+def thue_morse(k, a, b):
+    """Two texts of 2^k symbols whose polynomial hashes of any odd base agree modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(1 << k)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_hashes_of_built_pairs_differ():
+    for k in (5, 10, 11, 12):
+        for x, y in (thue_morse(k, "a", "b"), thue_morse(k, "ab", "cd")):
+            buf, off = blocks.buffer_of(pa.array([x, y]))
+            h = blocks.span_hash(buf, off[:-1], off[1:])
+            assert h[0] != h[1]
+        words = np.array([blocks.span_hash(*blocks.buffer_of(pa.array([w]))[:1], np.array([0]), np.array([1]))[0]
+                          for w in "ab"])
+        p, q = (words[np.array([int(c) for c in t])] for t in thue_morse(k, "0", "1"))
+        _, w = blocks.window_hash(np.concatenate((p, q)), np.array([0, len(p), 2 * len(p)]), len(p))
+        assert len(w) == 2 and w[0] != w[1]
+
+
+def test_window_hashes_depend_on_the_words_alone():
+    rnd = np.random.default_rng(2)
+    for k in (1, 2, 3, 4, 7, 18, 35, 64):
+        h = rnd.integers(0, 3, 400).astype(np.uint64)
+        h[200:200 + k + 20] = h[10:30 + k]
+        first = np.array([0, 150, 150, 400])
+        at, w = blocks.window_hash(h, first, k)
+        assert at.tolist() == [i for a, b in ((0, 150), (150, 400)) for i in range(a, b - k + 1)]
+        by = defaultdict(set)
+        for i, x in zip(at.tolist(), w.tolist()):
+            by[tuple(h[i:i + k].tolist())].add(x)
+        assert all(len(v) == 1 for v in by.values()) and len(set(w.tolist())) == len(by)
+
+
+def test_built_pairs_in_the_operators(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    common = " ".join(f"c{i}" for i in range(34))
+    for k in (10, 11):
+        x, y = thue_morse(k, "a", "b")
+        d = spark.createDataFrame([(1, f"{x} {common}"), (2, f"{y} {common}")], "doc_id long, text string")
+        assert [r.n_removed for r in repeats.repeat_spans(d).collect()] == [0, 0]
+        assert all(r.round_trip for r in pieces.encode_and_check(d.coalesce(1), path).collect())
+        items = spark.createDataFrame([(1, x)], "item_id long, text string")
+        assert [r.doc_id for r in decontam.leaks(d.where("doc_id = 2"), items).collect()] == []
+        own, other = [i for i in range(20) if not ppm.is_held_out(i)][0], [i for i in range(20) if ppm.is_held_out(i)][0]
+        known = {r.doc_id: r.n_known for r in ppm.scores(spark.createDataFrame(
+            [(own, x), (other, y)], "doc_id long, text string")).collect()}
+        assert known == {own: 2, other: 1}       # the other word is not known, the end is
+
+
+def test_segments_of_one_hash_are_kept_apart(spark, monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    monkeypatch.setattr(pieces, "span_hash", lambda buf, start, end: np.zeros(len(start), np.uint64))
+    p = pieces.load_pieces(path)
+    texts = ["one two", "two one", "one one", "", " x ", "two"]
+    buf, off = blocks.buffer_of(pa.array(texts))
+    ids, first, _ = pieces.encode_rows(buf, off, p)
+    assert pieces.decode_rows(ids, first, p) == texts
+
+
 def test_kept_text_of_repeats(docs):
     for r in repeats.repeat_spans(docs, keep_text=True).collect():
         assert hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
@@ -453,6 +545,32 @@ def test_no_sign_of_disguise_means_no_change():
             assert all((k, t.span[a][0], t.span[b - 1][1]) in base for k, a, b in changed), text
 
 
+@pytest.mark.parametrize("text", [
+    "I bought it at amazon.com yesterday", "We met at work.The next day", "look at example.com",
+    "available at shop.example.co.uk", "They laughed at me.So I left", "open at noon.de",
+    "She works at Example.org. Good", "arrive at 10.30 at city.centre"])
+def test_at_before_a_domain_is_no_address(text):
+    assert pii.find(text) == ([], []) and pii.redact(text, pii.find(text)[1]) == text
+
+
+@pytest.mark.parametrize("text, found", [
+    ("reach me: alice at example.com", "alice at example.com"), ("alice.b at example.com", "alice.b at example.com"),
+    ("bob77 at example.org said", "bob77 at example.org"), ("Contact our team, carol at firm.de", "carol at firm.de"),
+    ("dave at example dot com", "dave at example dot com")])
+def test_at_before_a_domain_with_a_second_sign(text, found):
+    assert [text[a:b] for _, a, b in pii.find(text)[1]] == [found]
+
+
+def test_long_white_space_takes_time_in_proportion():
+    took = []
+    for n in (20000, 160000):
+        begin = time.perf_counter()
+        for gap in (" ", "\n", " \t"):
+            pii.find("a (at) b [dot] com" + gap * n + "(at)" + gap * n + "x dot" + gap * n + "y")
+        took.append(time.perf_counter() - begin)
+    assert took[1] < 30 * took[0]      # eight times the text; sixty-four times if quadratic
+
+
 def test_long_unbroken_texts_are_searched_in_one_pass():
     for text in ("x" * 200000 + " at y.z", "a at " + "b." * 100000 + "1", "4O" * 100000 + "x", "O-" * 100000):
         pii.find(text)
@@ -491,6 +609,46 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r.score for r in none.collect()} == {0.0}
     assert toxicity.toxicity(d.where("false"), lab).count() == 0
     assert toxicity.without_toxic(d, lab).columns == d.columns
+    clash = d.selectExpr("*", "1 weight", "2D score", "'x' rate", "3 hits", "4 vector", "5 probability",
+                         "6 prediction", "7 `a b`", "8 `__row`", "9 toxic", "10 part")
+    kept = toxicity.without_toxic(clash, lab)
+    assert kept.columns == clash.columns
+    bad = {r.doc_id for r in out if r.predicted}
+    assert {r.doc_id for r in kept.collect()} >= {r.doc_id for r in out if r.doc_id not in bad and r.doc_id}
+    assert all(tuple(r)[2:] == (1, 2.0, "x", 3, 4, 5, 6, 7, 8, 9, 10) for r in kept.collect())
+
+
+def test_stages_keep_columns_of_clashing_names(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    d = spark.createDataFrame([(1, words, "r", "k", "t", 1), (2, words, "r", "k", "t", 1), (3, "other text", "r", "k", "t", 1)],
+                              "doc_id long, text string, _row string, _key string, _text string, row int")
+    for out, ids in ((simhash.one_of_each_group(d), [1, 3]),
+                     (decontam.without_leaks(d, spark.createDataFrame([(1, words)], "item_id long, text string")), [3])):
+        assert out.columns == d.columns
+        assert sorted(r.doc_id for r in out.collect()) == ids
+        assert {tuple(r)[2:] for r in out.collect()} == {("r", "k", "t", 1)}
+
+
+def test_toxic_features_against_plain_counts(spark):
+    terms = ["grumph", "zork"]
+    lexicon = toxicity.Lexicon(toxicity._text_hash([t.encode() for t in terms]).view(np.int64).tolist(),
+                               [2.0, 3.0], [True, False])
+    texts = ["", "GRUMPH you fool!!", "a calm text, with words.", "zork zork grumph", "you are far from it all today grumph"]
+    raw = pa.array(texts)
+    f = np.concatenate([toxicity.features_of(*s, lexicon) for s in toxicity._slices(raw)])
+    of = {k: f[:, i] for i, k in enumerate(toxicity.FEATURES)}
+    for i, t in enumerate(texts):
+        own = re.findall("[A-Za-z]+", t)
+        low = [w.lower() for w in own]
+        n = max(1, len(own))
+        assert of["hits"][i] == low.count("grumph") and of["weak_hits"][i] == low.count("zork")
+        assert of["hit_density"][i] == pytest.approx(low.count("grumph") / n)
+        assert of["top_weight"][i] == max([0, *(2 * (w == "grumph") + 3 * (w == "zork") for w in low)])
+        assert of["second_person"][i] == pytest.approx(low.count("you") / n)
+        assert of["capitals"][i] == pytest.approx(sum(c.isupper() for c in t) / max(1, len(t)))
+        assert of["shouts"][i] == pytest.approx(sum(c in "!?" for c in t) / max(1, len(t)))
+        assert of["log_words"][i] == pytest.approx(math.log1p(len(own)))
+    assert of["near_second_person"].tolist() == [0, 1, 0, 0, 0]
 
 
 
