@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import bindings as B
+from tessera.plans import events as EV
 from tessera.plans import ingest as I
-from tessera.plans.oracle import SQL as ORACLE_SQL
+from tessera.plans.oracle import SQL as _SQL
 from tessera.plans.report_jobs import REPORT_QUERIES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +73,10 @@ QUERIES: dict[str, QueryFn] = {
     "streaming_word_count": I.q_streaming_word_count,
     # report lines, stored stages and text layouts
     **REPORT_QUERIES,
+    # events: ordered work over hot keys, interval joins, cubes
+    **EV.QUERIES,
 }
 
+ORACLE_SQL: dict[str, str] = {**_SQL, **EV.SQL}
+
 __all__ = ["QUERIES", "ORACLE_SQL", "QueryFn"]
