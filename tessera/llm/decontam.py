@@ -22,6 +22,7 @@ document with several leaked items gives one row for each.
 from __future__ import annotations
 
 from collections import defaultdict
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -44,63 +45,119 @@ GAP = np.ones(256, bool)
 GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def _rolling(x: list[int], size: int):
-    """(start, Karp-Rabin hash) of each window of ``size`` tokens."""
-    top = pow(_BASE, size - 1, _MOD)
-    h = 0
-    for i, v in enumerate(x):
-        if i >= size:
-            h = (h - x[i - size] * top) % _MOD
-        h = (h * _BASE + v) % _MOD
-        if i >= size - 1:
-            yield i - size + 1, h
+def _prefixes(x: list[int]) -> list[int]:
+    """Karp-Rabin hash of every prefix."""
+    out = [0]
+    for v in x:
+        out.append((out[-1] * _BASE + v) % _MOD)
+    return out
+
+
+def _next_used(used: list[bool]) -> list[int]:
+    """Of each position, the first used one from it on."""
+    out = [len(used)] * (len(used) + 1)
+    for i in range(len(used) - 1, -1, -1):
+        out[i] = i if used[i] else out[i + 1]
+    return out
+
+
+class _Marks:
+    """Used positions of one side; a tile's positions know its bounds."""
+
+    def __init__(self, used: list[bool]) -> None:
+        self.used = used
+        self.lo, self.hi = list(range(len(used))), list(range(1, len(used) + 1))
+
+    def mark(self, start: int, size: int) -> None:
+        end = start + size
+        self.used[start:end] = [True] * size
+        self.lo[start:end], self.hi[start:end] = [start] * size, [end] * size
 
 
 def greedy_tiles(pattern: list[int], text: list[int], least: int) -> list[tuple[int, int, int]]:
-    """(pattern start, text start, length) of the tiles.
+    """(pattern start, text start, length) of the tiles: again and again the longest
+    common run of unmarked tokens, of equal ones the first in the pattern, then in the text.
 
     Tokens are compared as integers; negative ones in ``text`` match nothing.
+    The search length runs down from half the shorter side to ``least``; at each
+    length equal windows are linked only where a match begins, so a token that
+    repeats a thousand times costs its places and not their pairs, and a match's
+    length is found by bisection over prefix hashes.  A match that a longer tile
+    cut is put back with what is left of it.
     """
     n, m = len(pattern), len(text)
-    used_p, used_t = [False] * n, [False] * m
     tiles: list[tuple[int, int, int]] = []
+    if min(n, m) < least:
+        return tiles
+    p, t = _Marks([False] * n), _Marks([v < 0 for v in text])
+    hash_p, hash_t = _prefixes(pattern), _prefixes(text)
+    powers = [1]
+    for _ in range(min(n, m)):
+        powers.append(powers[-1] * _BASE % _MOD)
+
+    def window(prefix: list[int], start: int, size: int) -> int:
+        return (prefix[start + size] - prefix[start] * powers[size]) % _MOD
+
+    def common(i: int, j: int, known: int, most: int) -> int:
+        """Length of the match at (i, j), ``known`` to ``most``."""
+        lo, hi = known, most
+        while lo < hi:
+            mid = (lo + hi + 1) // 2
+            if window(hash_p, i, mid) == window(hash_t, j, mid):
+                lo = mid
+            else:
+                hi = mid - 1
+        if pattern[i:i + lo] == text[j:j + lo]:
+            return lo
+        lo = 0                  # two windows of one hash
+        while lo < most and pattern[i + lo] == text[j + lo]:
+            lo += 1
+        return lo
 
     def matches(size: int) -> list[tuple[int, int, int]]:
-        free = defaultdict(list)
-        for i, h in _rolling(pattern, size):
-            if not any(used_p[i:i + size]):
-                free[h].append(i)
+        end_p, end_t = _next_used(p.used), _next_used(t.used)
+        # places by hash, then by the token before them (none: a match begins there in any case)
+        free: dict[int, dict[int | None, list[int]]] = {}
+        for i in range(n - size + 1):
+            if end_p[i] >= i + size:
+                before = None if i == 0 or p.used[i - 1] else pattern[i - 1]
+                free.setdefault(window(hash_p, i, size), {}).setdefault(before, []).append(i)
         found = []
-        for j, h in _rolling(text, size) if free else ():
-            if h not in free or any(used_t[j:j + size]):
+        for j in range(m - size + 1) if free else ():
+            if end_t[j] < j + size:
                 continue
-            for i in free[h]:
-                if i and j and pattern[i - 1] == text[j - 1] and not (used_p[i - 1] or used_t[j - 1]):
+            before = None if j == 0 or t.used[j - 1] else text[j - 1]
+            for token, places in free.get(window(hash_t, j, size), {}).items():
+                if token is not None and token == before:
                     continue        # not the start of a maximal match
-                k = 0
-                while i + k < n and j + k < m and pattern[i + k] == text[j + k] \
-                        and not (used_p[i + k] or used_t[j + k]):
-                    k += 1
-                if k >= size:
-                    found.append((k, i, j))
-        return sorted(found, key=lambda f: (-f[0], f[1], f[2]))
+                for i in places:
+                    k = common(i, j, size, min(end_p[i] - i, end_t[j] - j))
+                    if k >= size:
+                        found.append((-k, i, j))
+        return found
 
-    if min(n, m) < least:
-        return tiles
     size = max(least, min(n, m) // 2)
     while True:
-        again = False
-        for k, i, j in matches(size):
-            if any(used_p[i:i + k]) or any(used_t[j:j + k]):
-                again = True        # what is left of it is looked for once more
-                continue
-            used_p[i:i + k] = [True] * k
-            used_t[j:j + k] = [True] * k
-            tiles.append((i, j, k))
-        if not again:
-            if size == least:
-                return tiles
-            size = max(least, size // 2)
+        heap = matches(size)
+        heapify(heap)
+        while heap:
+            k, i, j = heappop(heap)
+            a, b = 0, -k
+            # a tile marked by now is no shorter, so it covers one end of what it cuts
+            while a < b and (p.used[i + a] or t.used[j + a]):
+                a = max(p.hi[i + a] - i if p.used[i + a] else 0, t.hi[j + a] - j if t.used[j + a] else 0)
+            while a < b and (p.used[i + b - 1] or t.used[j + b - 1]):
+                b = min(p.lo[i + b - 1] - i if p.used[i + b - 1] else b,
+                        t.lo[j + b - 1] - j if t.used[j + b - 1] else b)
+            if b - a == -k:
+                p.mark(i, b)
+                t.mark(j, b)
+                tiles.append((i, j, b))
+            elif b - a >= size:
+                heappush(heap, (a - b, i + a, j + a))
+        if size == least:
+            return tiles
+        size = max(least, size // 2)
 
 
 def _tokens(column):

@@ -96,8 +96,8 @@ def test_main_texts_of_a_table(spark):
 
 # ------------------------------------------------------- 2 decontamination
 def brute_tiles(p, t, least):
-    """Greedy tiling by trying every pair of positions."""
-    up, ut, total = set(), set(), 0
+    """Greedy tiling by trying every pair of positions; of equal runs the first in p, then in t."""
+    up, ut, tiles = set(), {j for j, v in enumerate(t) if v < 0}, []
     while True:
         best = (0, 0, 0)
         for i in range(len(p)):
@@ -108,21 +108,67 @@ def brute_tiles(p, t, least):
                     k += 1
                 best = max(best, (k, -i, -j))
         if best[0] < least:
-            return total
+            return tiles
         k, i, j = best[0], -best[1], -best[2]
         up |= set(range(i, i + k))
         ut |= set(range(j, j + k))
-        total += k
+        tiles.append((i, j, k))
 
 
-def test_greedy_tiles_against_all_pairs():
-    rnd = random.Random(5)
-    for _ in range(200):
-        p = [rnd.randrange(9) for _ in range(rnd.randrange(1, 20))]
-        t = [rnd.randrange(9) for _ in range(rnd.randrange(1, 25))] + p[3:9]
-        tiles = decontam.greedy_tiles(p, t, 3)
-        assert all(p[i:i + k] == t[j:j + k] for i, j, k in tiles)
-        assert abs(sum(k for *_, k in tiles) - brute_tiles(p, t, 3)) <= 2      # ties may differ
+@pytest.mark.parametrize("words", [1, 2, 3, 9])
+def test_greedy_tiles_against_all_pairs(words):
+    rnd = random.Random(words)
+    for least in [1, 2, 3, 4] * 40:
+        p = [rnd.randrange(words) for _ in range(rnd.randrange(1, 22))]
+        t = [rnd.choice([-1, *range(words)]) for _ in range(rnd.randrange(1, 30))] + p[3:9]
+        assert decontam.greedy_tiles(p, t, least) == brute_tiles(p, t, least)
+
+
+def test_tiling_of_repeated_tokens_costs_places_not_pairs():
+    for cycle in ([5], [5, 6, 7]):
+        begun = time.process_time()
+        assert decontam.greedy_tiles(cycle * 900, cycle * 9000, 4) == [(0, 0, 900 * len(cycle))]
+        assert time.process_time() - begun < 5      # pairs of places: minutes
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontam, "_MOD", 3)
+    rnd = random.Random(1)
+    for _ in range(60):
+        p = [rnd.randrange(9) for _ in range(12)]
+        t = [rnd.randrange(9) for _ in range(12)] + p[2:8]
+        tiles = decontam.greedy_tiles(p, t, 2)
+        assert all(p[i:i + k] == t[j:j + k] and k >= 2 for i, j, k in tiles)
+
+
+def test_leaks_against_brute_force(spark):
+    rnd = random.Random(8)
+    some = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rnd.choice(some) for _ in range(rnd.randrange(1, 16)))) for i in range(12)]
+    items += [(12, None), (13, ""), (14, items[3][1])]
+    texts = []
+    for i in range(60):
+        words = [rnd.choice(some) for _ in range(rnd.randrange(0, 20))]
+        for _ in range(rnd.randrange(3)):
+            own = (rnd.choice(items[:12])[1]).split()
+            cut = rnd.randrange(len(own))
+            words += own[cut:] + own[:cut]
+        texts.append((i, " ".join(words)))
+    texts += [(60, None), (61, " ".join(some * 3000) + " " + items[5][1])]
+    expect = []
+    for d, text in texts[:61]:
+        for i, item in items:
+            t, p = (text or "").split(), (item or "").split()
+            number = {w: n for n, w in enumerate(some)}
+            tiles = brute_tiles([number[w] for w in p], [number[w] for w in t], min(4, len(p))) if p else []
+            share = sum(k for *_, k in tiles) / len(p) if p else 0
+            if share >= 0.5:
+                expect.append((d, i, share, len(tiles), max(k for *_, k in tiles)))
+    d = spark.createDataFrame([(i, t, "x", 0) for i, t in texts], "doc_id long, text string, item_id string, _text int")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.leaks(d, b)
+    rows = got(found, "doc_id", "item_id", "coverage", "n_tiles", "longest")
+    assert [r for r in rows if r[0] != 61] == want(expect) and any(r[:2] == (61, 5) for r in rows)
 
 
 def test_leaks_are_found_also_reordered(spark):
