@@ -272,6 +272,19 @@ def sessions(events: DataFrame, keys: Sequence[str], time: str, gap: Column,
             .agg(F.max(f"`{time}`").alias("session_end"), F.count(F.lit(1)).alias("n_events")))
 
 
+def merged_sessions(pieces: DataFrame, keys: Sequence[str], gap: int, ranges: int | None = None) -> DataFrame:
+    """Sessions out of partial ones: rows (keys, session_start, session_end, n_events), long, of a
+    key that overlap or lie at most ``gap`` apart become one.  A single event is a piece of no
+    length.  The result may be merged again with further pieces."""
+    placed = (in_ranges(pieces, keys, ["session_start"], ranges=ranges)
+              .running({"__far": ("max", "session_end")}).shifted({"__prev": ("__far", -1)}))
+    t, prev = F.col("session_start"), F.col("__prev")
+    opens = F.when(prev.isNull() | (t > prev + gap), t)
+    return (placed.running({"__first": ("max", opens)}).result()
+            .groupBy(*_quoted(keys), F.col("__first").alias("session_start"))
+            .agg(F.max("session_end").alias("session_end"), F.sum("n_events").alias("n_events")))
+
+
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                       fractions: Mapping[str, float], ranges: int | None = None) -> DataFrame:
     """One row per key: its count ``n`` of non-null values and, per name, the value at

@@ -1,5 +1,6 @@
 """Jobs over the event stream table and its SQL: as-of and interval joins, running
-measures, sessions, exact percentiles, a cube.  Whole tables; times as microseconds."""
+measures, sessions, percentiles (exact and sketched), a cube, streamed windows and
+sessions with late rows.  Whole tables; times as microseconds."""
 
 from __future__ import annotations
 
@@ -9,12 +10,21 @@ from pyspark.sql import functions as F
 from tessera.operators.cube import cube, rollup
 from tessera.operators.intervals import overlap_join, point_join
 from tessera.operators.ordered import asof_join, exact_percentiles, in_ranges, sessions
+from tessera.operators.sketches import merged, sketch, sketched_percentiles
+from tessera.session import scratch_path
 from tessera.sources.tables import load
+from tessera.sources.writers import materialize
+from tessera.streaming.eventtime import EventSessions, EventWindows
 
 HOUR = 3_600_000_000
 SESSION_GAP = 6 * HOUR
 REACH = 6 * HOUR
 QUANTILES = {"p25": 0.25, "p50": 0.5, "p90": 0.9}
+SKETCH_BITS = 7
+#: the replayed stream: one batch a period of arrival, one event in ten is two days under way
+PERIOD = 6 * 24 * HOUR
+ONE_IN, UNDER_WAY = 10, 48 * HOUR
+WINDOW, SLIDE, DELAY = 24 * HOUR, 12 * HOUR, 12 * HOUR
 
 
 def micros(ts: str) -> Column:
@@ -100,6 +110,49 @@ def q_sales_rollup(spark, d):
     return rollup(_sales(spark, d), ["order_year", "o_orderstatus"], {"cents": F.col("c")})
 
 
+def q_price_percentile_sketch(spark, d):
+    """Percentiles of prices by return flag from sketches by flag and year, stored and merged."""
+    items = load(spark, d, "lineitem").select("l_returnflag", F.year("l_shipdate").alias("year"),
+                                              F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"))
+    stored = materialize(sketch(items, ["l_returnflag", "year"], "cents", SKETCH_BITS), spark, "sketches")
+    return sketched_percentiles(merged(stored, ["l_returnflag"]), ["l_returnflag"], QUANTILES)
+
+
+def _replayed(spark: SparkSession, d: str, folded):
+    """The events as they arrive, one file drop and one run of the streaming query a period:
+    each run resumes from the checkpoint of the run before."""
+    events = load(spark, d, "events").select("event_type", "user_id", micros("ts").alias("t"), "event_id",
+                                             F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    arrival = F.col("t") + F.when(F.col("event_id") % ONE_IN == 0, UNDER_WAY).otherwise(0)
+    dealt = materialize(events.withColumn("drop", F.floor(arrival / PERIOD)), spark, "arrivals", ["drop"])
+    source, checkpoint = scratch_path(spark, "arrived"), scratch_path(spark, "arrived-ckpt")
+    for (drop,) in sorted(dealt.select("drop").distinct().collect()):     # one number a period
+        dealt.where(F.col("drop") == drop).drop("drop").write.mode("append").parquet(source)
+        query = folded.start(spark.readStream.schema(events.schema).parquet(source), checkpoint)
+        query.awaitTermination()
+    return folded
+
+
+def q_stream_windows(spark, d):
+    """Events and cents by type and sliding day, by what became of them in the stream."""
+    w = _replayed(spark, d, EventWindows(scratch_path(spark, "windows"), ["event_type"], "t",
+                                         {"n_events": ("count", "event_id"), "cents": ("sum", "cents")},
+                                         WINDOW, DELAY, SLIDE))
+    return (w.closed(spark).withColumn("fate", F.lit("closed"))
+            .unionByName(w.open(spark).withColumn("fate", F.lit("open")))
+            .unionByName(w.late(spark).withColumn("fate", F.lit("late"))))
+
+
+def q_stream_sessions(spark, d):
+    """Sessions of users as the stream finds them, and the late events."""
+    s = _replayed(spark, d, EventSessions(scratch_path(spark, "sessions"), ["user_id"], "t", SESSION_GAP, DELAY))
+    late = s.late(spark).select("user_id", F.col("event_time").alias("session_start"),
+                                F.col("event_time").alias("session_end"), F.col("n_late").alias("n_events"),
+                                F.lit("late").alias("fate"))
+    return (s.closed(spark).withColumn("fate", F.lit("closed"))
+            .unionByName(s.open(spark).withColumn("fate", F.lit("open"))).unionByName(late))
+
+
 QUERIES = {
     "asof_last_click": q_asof_last_click,
     "asof_next_purchase": q_asof_next_purchase,
@@ -110,6 +163,9 @@ QUERIES = {
     "session_overlaps": q_session_overlaps,
     "sales_cube": q_sales_cube,
     "sales_rollup": q_sales_rollup,
+    "price_percentile_sketch": q_price_percentile_sketch,
+    "stream_windows": q_stream_windows,
+    "stream_sessions": q_stream_sessions,
 }
 
 _E = ("(SELECT user_id, epoch_us(ts) AS t, event_id, event_type, "
@@ -123,6 +179,15 @@ def _sessions(where: str = "TRUE") -> str:
             f"AS opens FROM {_E} WHERE {where})) GROUP BY user_id, s)")
 
 
+# the arrivals with the watermark of their batch, and the last watermark
+_ARRIVED = f"""a AS (SELECT *, (t + CASE WHEN event_id % {ONE_IN} = 0 THEN {UNDER_WAY} ELSE 0 END) // {PERIOD} AS b
+  FROM {_E}), m AS (SELECT b, max(max(t)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - {DELAY} AS mark FROM a GROUP BY b), r AS (SELECT a.*, coalesce(mark, -9000000000000000000) AS mark
+  FROM a JOIN m USING (b)), z AS (SELECT max(t) - {DELAY} AS last FROM a)"""
+_CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+_SHIFT = f"greatest(0, length(bin(abs(c))) - {SKETCH_BITS + 1})"
+_LOW = ", ".join(f"max(CASE WHEN r = greatest(1, ceil(CAST({q} AS DOUBLE) * m)) THEN "
+                 f"sign(c) * ((abs(c) >> {_SHIFT}) << {_SHIFT}) END)::BIGINT AS {n}" for n, q in QUANTILES.items())
 _PLACE = ", ".join(f"max(CASE WHEN r = greatest(1, ceil(CAST({q} AS DOUBLE) * m)) THEN price END) AS {n}"
                    for n, q in QUANTILES.items())
 _SALES = ("(SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year, "
@@ -169,4 +234,24 @@ SELECT o_orderstatus, o_orderpriority, order_year,
     "sales_rollup": f"""
 SELECT order_year, o_orderstatus, GROUPING(order_year, o_orderstatus) AS grouping_id,
   CAST(sum(c) AS BIGINT) AS cents, count(*) AS n FROM {_SALES} GROUP BY ROLLUP (order_year, o_orderstatus)""",
+    "price_percentile_sketch": f"""
+SELECT l_returnflag, count(*) AS n, {_LOW} FROM (SELECT l_returnflag, {_CENTS} AS c,
+  row_number() OVER (PARTITION BY l_returnflag ORDER BY {_CENTS}) AS r,
+  count(*) OVER (PARTITION BY l_returnflag) AS m FROM lineitem WHERE l_extendedprice IS NOT NULL)
+GROUP BY l_returnflag""",
+    "stream_windows": f"""
+WITH {_ARRIVED}, w AS (SELECT *, t - t % {SLIDE} - k * {SLIDE} AS window_start
+  FROM r, range({WINDOW // SLIDE}) AS s(k))
+SELECT event_type, window_start, count(*) AS n_events, CAST(sum(cents) AS BIGINT) AS cents,
+  CASE WHEN window_start + {WINDOW} <= mark THEN 'late' WHEN window_start + {WINDOW} <= last THEN 'closed'
+    ELSE 'open' END AS fate
+FROM w, z GROUP BY event_type, window_start, fate""",
+    "stream_sessions": f"""
+WITH {_ARRIVED}
+SELECT user_id, min(t) AS session_start, max(t) AS session_end, count(*) AS n_events,
+  CASE WHEN max(t) + {SESSION_GAP} < max(last) THEN 'closed' ELSE 'open' END AS fate
+FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY t) AS s FROM (SELECT user_id, t,
+  CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) <= {SESSION_GAP} THEN 0 ELSE 1 END AS opens
+  FROM r WHERE t >= mark)), z GROUP BY user_id, s
+UNION ALL SELECT user_id, t, t, count(*), 'late' FROM r WHERE t < mark GROUP BY user_id, t""",
 }
