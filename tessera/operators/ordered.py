@@ -92,15 +92,15 @@ class Ordered:
         return (Window.partitionBy(*_quoted(self.keys)).orderBy(PART)
                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
 
-    def running(self, measures: Mapping[str, tuple[str, str | Column]]) -> Ordered:
-        """Adds running measures, each row included: name -> (function, column).
+    def running(self, measures: Mapping[str, tuple[str, str | Column]], own: bool = True) -> Ordered:
+        """Adds running measures, each row included unless not ``own``: name -> (function, column).
 
         Functions: ``sum``, ``count``, ``min``, ``max`` and ``last`` (the
         latest non-null value).  Nulls are skipped; a sum, min, max or last of
         nothing is null.  Sums of doubles depend on the ranges in their last
         bits; integers and decimals do not.
         """
-        upto = self._local.rowsBetween(Window.unboundedPreceding, 0)
+        upto = self._local.rowsBetween(Window.unboundedPreceding, 0 if own else -1)
         before = self._ranges_before()
         local, whole, merged, out = {}, {}, {}, {}
         for i, (name, (kind, column)) in enumerate(measures.items()):
@@ -277,7 +277,7 @@ def merged_sessions(pieces: DataFrame, keys: Sequence[str], gap: int, ranges: in
     key that overlap or lie at most ``gap`` apart become one.  A single event is a piece of no
     length.  The result may be merged again with further pieces."""
     placed = (in_ranges(pieces, keys, ["session_start"], ranges=ranges)
-              .running({"__far": ("max", "session_end")}).shifted({"__prev": ("__far", -1)}))
+              .running({"__prev": ("max", "session_end")}, own=False))
     t, prev = F.col("session_start"), F.col("__prev")
     opens = F.when(prev.isNull() | (t > prev + gap), t)
     return (placed.running({"__first": ("max", opens)}).result()

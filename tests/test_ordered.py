@@ -201,3 +201,14 @@ def test_cube_and_rollup(spark):
         (None, None, None, 7, None, 0)]
     with pytest.raises(ValueError, match="dimensions"):
         grouping_sets(df, dims, [("z",)], {})
+
+
+def test_running_measures_of_the_rows_before(left):
+    got = (in_ranges(left, ["k"], ["t", "i"], ranges=7)
+           .running({"s": ("sum", "i"), "n": ("count", "i"), "m": ("max", "i"), "l": ("last", "i")}, own=False).result())
+    want, seen = Counter(), {}
+    for k, t, i in sorted(LEFT, key=lambda r: (r[1] is not None, r[1], r[2])):
+        own = seen.setdefault(k, [])
+        want[(k, t, i, sum(own) if own else None, len(own), max(own, default=None), own[-1] if own else None)] += 1
+        own.append(i)
+    assert counted(got, "k", "t", "i", "s", "n", "m", "l") == want
