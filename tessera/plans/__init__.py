@@ -68,6 +68,7 @@ QUERIES: dict[str, QueryFn] = {
     "format_report": I.q_format_report,
     # further reader/sink operators of the inventory
     "malformed_count": I.q_malformed_count,
+    "bad_record_counts": I.q_bad_record_counts,
     "key_value_hand_over": I.q_key_value_hand_over,
     "cleaned_table_hand_over": I.q_cleaned_table_hand_over,
     "streaming_word_count": I.q_streaming_word_count,

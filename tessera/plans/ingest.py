@@ -17,7 +17,8 @@ from tessera.plans import bindings as B
 from tessera.plans import ratings as R
 from tessera.plans.reports import age_lines
 from tessera.session import scratch_path
-from tessera.sources.csv import read_glob, read_header_inferred, read_quoted_multiline
+from tessera.sources.csv import (bad_records, read_glob, read_header_inferred,
+                                 read_quoted_multiline)
 from tessera.sources.csv_split import read_quoted_split
 from tessera.sources.infer import read_header_one_pass
 from tessera.sources.datasets import REVIEW_SCHEMA, read_cleaned_reviews
@@ -62,6 +63,13 @@ def q_read_delimited_tolerant(spark: SparkSession, d: str) -> DataFrame:
     return read_delimited_tolerant(spark, _part_lines(spark, d), ITEM_FIELDS, min_fields=3)
 
 
+def q_bad_record_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Records of the #34 input that the typed glob reader finds good and bad."""
+    schema = ", ".join(f"{n} {t}" for n, t in ITEM_FIELDS)
+    return bad_records(spark, _part_lines(spark, d), schema).agg(
+        F.sum("n_good").alias("n_good"), F.sum("n_bad").alias("n_bad"))
+
+
 def q_malformed_count(spark: SparkSession, d: str) -> DataFrame:
     """How many lines of the #34 input the tolerant reader keeps and skips
     (FLT-1..3; bad ratings are skipped with a count available)."""

@@ -255,6 +255,10 @@ SQL: dict[str, str] = {
     "malformed_count": (
         f"SELECT count(*) AS kept, CAST({len(MALFORMED_LINES)} AS BIGINT) AS malformed "
         f"FROM part"),
+    # as CSV the two blank lines are no records and "1,2," has its three fields, the last one null
+    "bad_record_counts": (
+        f"SELECT count(*) + 1 AS n_good, CAST({len(MALFORMED_LINES) - 3} AS BIGINT) AS n_bad "
+        f"FROM part"),
     "key_value_hand_over": (
         f"SELECT st.item_id, st.n AS n_scores FROM {ITEM_STATS} st JOIN {ITEMS} i "
         f"USING (item_id)"),

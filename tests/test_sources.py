@@ -5,10 +5,11 @@ import tempfile
 
 import pytest
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.session import checkpoint_root
-from tessera.sources import (malformed_count, materialize, read_delimited,
+from tessera.sources import (bad_records, malformed_count, materialize, read_delimited,
                              read_delimited_tolerant, read_glob, read_header_inferred,
                              read_quoted_multiline, read_wordlist, write_delimited,
                              write_key_value_text, write_report)
@@ -70,6 +71,32 @@ def test_glob_reads_several_files_with_provenance(spark):
     assert got == [("1", "ratings_1.txt"), ("2", "ratings_1.txt"), ("3", "ratings_2.txt")]
 
 
+def test_glob_fails_on_skips_and_counts_bad_records(spark):
+    d = tempfile.mkdtemp(prefix="tessera-test-")
+    _write(os.path.join(d, "ratings_1.txt"), "1,10,4.0\n2,10,x\n\n   \n3,10\n4,10,1.0,9\n5,11,\n")
+    _write(os.path.join(d, "ratings_2.txt"), "6,11,5.0\n")
+    _write(os.path.join(d, "ratings_3.txt"), "y,11,5.0\n")
+    path, schema = os.path.join(d, "ratings_*.txt"), "user int, item int, score double"
+    assert read_glob(spark, path, schema).count() == 7
+    kept = read_glob(spark, path, schema, bad="skip")
+    assert rows(kept.select("user", F.coalesce("score", F.lit(-1.0)).alias("score"))) == [
+        (1, 4.0), (5, -1.0), (6, 5.0)]
+    assert kept.count() == 3 and kept.columns == ["user", "item", "score", "source_file"]
+    assert kept.select("item").count() == 3        # however few columns are in use
+    counts = {os.path.basename(r["source_file"]): (r["n_good"], r["n_bad"])
+              for r in bad_records(spark, path, schema).collect()}
+    assert counts == {"ratings_1.txt": (2, 3), "ratings_2.txt": (1, 0), "ratings_3.txt": (0, 1)}
+    good = os.path.join(d, "ratings_2.txt")
+    assert read_glob(spark, good, schema, bad="fail", source_col=None).collect() == [(6, 11, 5.0)]
+    for use in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("item").collect()):
+        with pytest.raises(Exception, match="bad record in .*ratings_3.txt: y,11,5.0"):
+            use(read_glob(spark, os.path.join(d, "ratings_3.txt"), schema, bad="fail"))
+    with pytest.raises(ValueError, match="bad = "):
+        read_glob(spark, path, schema, bad="drop")
+    with pytest.raises(ValueError, match="reserved"):
+        bad_records(spark, path, "__file string")
+
+
 def test_header_inferred_types(spark):
     d = tempfile.mkdtemp(prefix="tessera-test-")
     _write(os.path.join(d, "c.csv"), "Order_ID;Price;Review_Score\na1;1.5;4\na2;2;abc\n")
