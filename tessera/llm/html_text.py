@@ -8,7 +8,9 @@ drops no element that holds an ``article`` or ``main`` or over ``MOST`` of the
 page's text.  Text lengths are summed over sliding windows of ``WINDOW`` lines.
 Where the sum rises from nothing is a surge point, where it falls back a dive
 point, and the text between them is kept: inside ``article`` or ``main``
-elements, or on pages without such text everywhere.
+elements, or on pages without such text everywhere.  A block inside ``article``
+or ``main`` of ``WINDOW`` or more lines that are all mostly links is a menu and
+is dropped, unless all that text is such lines.
 
 Character references are decoded, white space inside a line becomes one space,
 and lines are joined by one line feed; nothing is cut.
@@ -179,7 +181,12 @@ def main_text(page: str | None) -> str:
     over = np.concatenate(([False], total[WINDOW:] - total[:-WINDOW] > 0, [False]))
     surge = np.flatnonzero(~over[:-1] & over[1:])
     dive = np.flatnonzero(over[:-1] & ~over[1:])
-    return "\n".join(lines[i][0] for a, b in zip(surge, dive) for i in range(a, b)
+    found = list(zip(surge, dive))
+    free = np.array([n if m else 0 for _, n, m in lines], np.int64)
+    if inside and free.any():
+        # a block of WINDOW or more lines that are all mostly links is a menu
+        found = [(a, b) for a, b in found if free[a:b].any() or np.count_nonzero(weight[a:b]) < WINDOW]
+    return "\n".join(lines[i][0] for a, b in found for i in range(a, b)
                      if lines[i][0] and (weight[i] or not inside))
 
 

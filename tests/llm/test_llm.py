@@ -80,6 +80,12 @@ def low(text):
     ("<p>same</p><nav>m</nav><p>same</p>", "same\nsame"),
     ("<p>" + "word " * 60000 + "</p>", "word " * 59999 + "word"),
     ("<script>var t='</p>';</script><main><p>x &lt;b&gt; y</p></main><aside>s</aside>", "x <b> y"),
+    # a block of links apart from the text is a menu; beside it, short, or alone it is kept
+    *[(f"<article><p>Keep A</p></div></div><div><div><ul>{items}</ul></article>", text) for items, text in (
+        ("<li><a>x</a>" * 3, "Keep A"), ("<li><a>x</a>" * 2, "Keep A\nx\nx"),
+        ("<li><a>x</a>" * 3 + "<li>Keep B", "Keep A\nx\nx\nx\nKeep B"))],
+    ("<article><p>Keep A</p><ul>" + "<li><a>x</a>" * 4 + "</ul></article>", "Keep A" + "\nx" * 4),
+    ("<article><h1><a>T</a></h1><ul>" + "<li><a>x</a>" * 4 + "</ul></article>", "T" + "\nx" * 4),
 ])
 def test_main_text(page, text):
     assert html_text.main_text(page) == text
