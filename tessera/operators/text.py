@@ -88,28 +88,14 @@ def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
     category, sentiment); a review whose words were all stopwords disappears.
     Rows sharing a key are merged in a deterministic order (by their text).
 
-    The grouping shuffles the cleaned text once - it is the output.
+    The grouping shuffles the cleaned text once - it is the output.  Of a list
+    read from a file, only the stopwords that a key's reviews hold are brought
+    to that key, whatever the length of the list.
     """
     if isinstance(stopwords, DataFrame):
-        # Rows are identified by a digest of their tokens (which is
-        # deterministic under task retries) with a multiplicity; each word
-        # carries the digest, so what is shuffled is linear in the words.
-        # Of rows with equal key and tokens one is split into words.
-        rows = (token_rows.withColumn("__row", F.sha2(F.to_json(WORDS), 256))
-                .groupBy(*KEYS, "__row")
-                .agg(F.count(F.lit(1)).alias("__n"), F.first(WORDS).alias(WORDS)))
-        toks = rows.select(*KEYS, "__row", "__n",
-                           F.posexplode_outer(WORDS).alias("__pos", "word"))
-        kept = remove_stopwords(toks.filter(F.col("word").isNotNull()), stopwords,
-                                broadcast=broadcast)
-        per_row = kept.groupBy(*KEYS, "__row", "__n").agg(
-            F.array_sort(F.collect_list(F.struct("__pos", "word"))).alias("__w"))
-        text = F.array_join(F.col("__w.word"), ",")
-        per_row = per_row.select(
-            *KEYS, F.explode(F.array_repeat(text, F.col("__n").cast("int"))).alias("__text"))
-    else:
-        words = without_words(WORDS, stopwords)
-        per_row = token_rows.select(*KEYS, F.array_join(words, ",").alias("__text"))
+        return _rebuild_by_key(token_rows, stopwords, broadcast)
+    words = without_words(WORDS, stopwords)
+    per_row = token_rows.select(*KEYS, F.array_join(words, ",").alias("__text"))
     # Empty texts are dropped inside the aggregate (collect_list skips NULL)
     # and empty groups after it, so no filter on the text is pushed down.
     text = F.when(F.col("__text") != "", F.col("__text"))
@@ -118,6 +104,24 @@ def rebuild_clean_text(token_rows: DataFrame, stopwords: Stopwords,
         "id", F.array_join("__parts", ",").alias("review"), "aspect", "category", "sentiment")
 
 
+def _rebuild_by_key(token_rows: DataFrame, stopwords: DataFrame, broadcast: bool) -> DataFrame:
+    """:func:`rebuild_clean_text` with a list of any length.  The distinct words of
+    each row are looked up in the list; those found meet the rows' words where
+    the rows of a key are merged, which shuffles both once."""
+    distinct = token_rows.withColumn(WORDS, F.array_distinct(WORDS))
+    stop = stopwords.select(F.col("stopword").alias("word"))
+    stop = F.broadcast(stop) if broadcast else stop
+    found = _explode_words(distinct, *KEYS).join(stop, "word", "left_semi")
+    both = token_rows.select(*KEYS, WORDS).unionByName(found, allowMissingColumns=True)
+    merged = both.groupBy(*KEYS).agg(F.collect_list(WORDS).alias("__rows"),
+                                     F.collect_set("word").alias("__found"))
+    kept = lambda words: F.filter(words, lambda w: ~F.array_contains("__found", w))
+    texts = F.transform("__rows", lambda words: F.array_join(kept(words), ","))
+    merged = merged.select(*KEYS, F.sort_array(F.filter(texts, lambda t: t != "")).alias("__parts"))
+    return merged.filter(F.size("__parts") > 0).select(
+        "id", F.array_join("__parts", ",").alias("review"), "aspect", "category", "sentiment")
+
+
 def cleaned_keys(token_rows: DataFrame, stopwords: Stopwords, broadcast: bool = False) -> DataFrame:
     """The rows of the cleaned table without their text: distinct keys of the
     reviews that keep at least one non-stopword word.  Only key columns are

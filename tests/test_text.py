@@ -100,6 +100,23 @@ def test_rebuild_clean_text(spark, token_rows, as_table):
         "giá\tcao,phục,vụ,chậm,không,tốt,giá,cao,quá,giá,cao,quá")
 
 
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_rebuild_with_a_stopword_table(spark, broadcast):
+    # null and repeated keys, equal rows, rows and keys of stopwords alone, null and empty words
+    token_rows = spark.createDataFrame(
+        [("1", "a", "c", None, ["the", "b", "the", "a", "b"]), ("1", "a", "c", None, ["b"]),
+         ("1", "a", "c", None, ["b"]), ("1", "a", "c", None, ["the"]), ("2", None, None, None, ["la", "the"]),
+         ("2", None, "c", "p", ["", "x", None]), ("2", None, "c", "p", None), ("3", None, "c", "p", [])],
+        "id string, aspect string, category string, sentiment string, words array<string>")
+    stop = spark.createDataFrame([("the",), ("la",), ("the",), (None,), ("unused",)], "stopword string")
+    table = T.rebuild_clean_text(token_rows, stop, broadcast=broadcast)
+    assert sorted(rows(table), key=str) == [("1", "b,b,b,a,b", "a", "c", None), ("2", ",x", None, "c", "p")]
+    assert rows(table) == rows(T.rebuild_clean_text(token_rows, ["the", "la"]))
+    # no word is sorted or grouped as a row of its own
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "posexplode" not in plan
+
+
 def py_table_rows():
     return [(k[0], v, k[1], k[2], k[3]) for k, v in py_cleaned_table().items()]
 
